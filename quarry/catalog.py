@@ -326,3 +326,201 @@ def q_scan_corpus(spark, sf):
 
 def unused(*_):  # keep imported helpers referenced for readers of this module
     return hex_int
+
+
+# ------------------------------------------------------------------ P4: validation
+
+
+def _validated(spark, sf, bounds=K.TRAINING_BOUNDS):
+    """Landed JSONL shards -> validated lines; ``file`` becomes the shard name."""
+    from .landing import land_lines
+    from .operators import validate as V
+    from .sources.jsonl import scan_lines
+
+    configure(spark)
+    root = land_lines(spark, sf)
+    lines = scan_lines(spark, root, glob="*.txt", recursive=True)
+    lines = lines.withColumn("file", F.regexp_extract("file", r"shard=([^/]+)/", 1))
+    return V.validate_lines(lines, bounds)
+
+
+def _duck_numbered() -> str:
+    return ("numbered AS (SELECT shard, doc_id, line, row_number() OVER (PARTITION BY shard ORDER BY doc_id) "
+            "AS line_no FROM fx_lines)")
+
+
+def _duck_checks(bounds) -> str:
+    items = []
+    for f in K.REQUIRED_FIELDS:
+        items.append(f"CASE WHEN json_type(line, '$.{f}') IS NULL THEN '{f}:required' END")
+    for f, (lo, hi) in bounds.items():
+        t = f"json_type(line, '$.{f}')"
+        n = f"length(json_extract_string(line, '$.{f}'))"
+        items.append(f"CASE WHEN {t} IS NOT NULL AND {t} <> 'VARCHAR' THEN '{f}:type' END")
+        items.append(f"CASE WHEN {t} = 'VARCHAR' AND {n} < {lo} THEN '{f}:minLength' END")
+        items.append(f"CASE WHEN {t} = 'VARCHAR' AND {n} > {hi} THEN '{f}:maxLength' END")
+    for f in K.OPTIONAL_STRING_FIELDS:
+        t = f"json_type(line, '$.{f}')"
+        items.append(f"CASE WHEN {t} IS NOT NULL AND {t} <> 'VARCHAR' THEN '{f}:type' END")
+    return "list_filter([" + ", ".join(items) + "], lambda x: x IS NOT NULL)"
+
+
+def _duck_validated(bounds=K.TRAINING_BOUNDS) -> str:
+    return (W("fx_lines") + ", " + _duck_numbered() + f""",
+parsed AS (SELECT *, coalesce(json_valid(line), false) AS parsed FROM numbered),
+validated AS (SELECT *,
+  CASE WHEN NOT parsed THEN ['json:parse'] WHEN json_type(line) <> 'OBJECT' THEN ['$:type']
+       ELSE {_duck_checks(bounds)} END AS errors FROM parsed),
+v AS (SELECT *, len(errors) = 0 AS valid, errors[1] AS error FROM validated)
+""")
+
+
+@query("scan_jsonl_strict", W("fx_lines") + ", " + _duck_numbered() +
+       " SELECT shard, line_no, line FROM numbered")
+def q_scan_jsonl_strict(spark, sf):
+    return _validated(spark, sf).select(F.col("file").alias("shard"), "line_no", "line")
+
+
+@query("line_numbers", W("fx_lines") + ", " + _duck_numbered() +
+       " SELECT shard, line_no, doc_id FROM numbered")
+def q_line_numbers(spark, sf):
+    """Line numbers recovered from the files, matched to the fixture's doc_id order."""
+    v = _validated(spark, sf)
+    lines = fx(spark, sf, "fx_lines")
+    w = __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("shard").orderBy("doc_id")
+    expected = lines.withColumn("line_no", F.row_number().over(w)).select("shard", "line_no", "doc_id")
+    return v.select(F.col("file").alias("shard"), "line_no").join(expected, ["shard", "line_no"], "left")
+
+
+@query("json_parse_check", _duck_validated() + "SELECT shard, line_no, parsed FROM v")
+def q_json_parse_check(spark, sf):
+    return _validated(spark, sf).select(F.col("file").alias("shard"), "line_no", "parsed")
+
+
+@query("validate_entries", _duck_validated() +
+       "SELECT shard, line_no, valid, error, CAST(len(errors) AS BIGINT) AS n_errors FROM v")
+def q_validate_entries(spark, sf):
+    return _validated(spark, sf).select(F.col("file").alias("shard"), "line_no", "valid", "error",
+                                        F.size("errors").cast("bigint").alias("n_errors"))
+
+
+@query("validate_documented", _duck_validated(K.DOCUMENTED_BOUNDS) +
+       "SELECT shard, line_no, valid, error, CAST(len(errors) AS BIGINT) AS n_errors FROM v")
+def q_validate_documented(spark, sf):
+    return _validated(spark, sf, K.DOCUMENTED_BOUNDS).select(
+        F.col("file").alias("shard"), "line_no", "valid", "error", F.size("errors").cast("bigint").alias("n_errors"))
+
+
+@query("validation_summary", _duck_validated() + """
+SELECT shard, count(*) AS total, count(*) FILTER (WHERE valid) AS valid, count(*) FILTER (WHERE NOT valid) AS invalid
+FROM v GROUP BY shard""")
+def q_validation_summary(spark, sf):
+    from .operators import validate as V
+
+    return V.summary(_validated(spark, sf)).withColumnRenamed("file", "shard")
+
+
+@query("error_sample", _duck_validated() + """
+SELECT shard, line_no, error, coalesce(rk <= 3, false) AS shown FROM (
+  SELECT shard, line_no, error, parsed, row_number() OVER (PARTITION BY shard ORDER BY line_no) AS rk
+  FROM v WHERE NOT valid) WHERE rk <= 10 OR NOT parsed""")
+def q_error_sample(spark, sf):
+    from .operators import validate as V
+
+    return V.error_sample(_validated(spark, sf)).withColumnRenamed("file", "shard")
+
+
+@query("length_stats", _duck_validated() + """
+SELECT shard, avg(li) AS avg_input_length, avg(lo) AS avg_output_length,
+       CAST(min(li) AS BIGINT) AS min_input_length, CAST(max(li) AS BIGINT) AS max_input_length
+FROM (SELECT shard,
+        CASE WHEN json_type(line, '$.input') = 'VARCHAR' THEN length(json_extract_string(line, '$.input')) END AS li,
+        CASE WHEN json_type(line, '$.output') = 'VARCHAR' THEN length(json_extract_string(line, '$.output')) END AS lo
+      FROM v WHERE parsed)
+WHERE li IS NOT NULL AND lo IS NOT NULL GROUP BY shard""")
+def q_length_stats(spark, sf):
+    from .operators import validate as V
+
+    return V.length_stats(_validated(spark, sf)).withColumnRenamed("file", "shard")
+
+
+_DUCK_HIST = """
+hist AS (
+  SELECT shard, 'source' AS field,
+         CASE WHEN json_type(line, '$.source') IS NULL THEN 'unknown' ELSE json_extract_string(line, '$.source') END
+           AS value, count(*) AS n
+  FROM v WHERE parsed AND json_type(line) = 'OBJECT' GROUP BY ALL
+  UNION ALL
+  SELECT shard, 'language' AS field,
+         CASE WHEN json_type(line, '$.language') IS NULL THEN 'unknown'
+              ELSE json_extract_string(line, '$.language') END AS value, count(*) AS n
+  FROM v WHERE parsed AND json_type(line) = 'OBJECT' GROUP BY ALL)
+"""
+
+
+@query("source_language_hist", _duck_validated() + ", " + _DUCK_HIST + "SELECT shard, field, value, n FROM hist")
+def q_source_language_hist(spark, sf):
+    from .operators import validate as V
+
+    return V.histogram(_validated(spark, sf)).withColumnRenamed("file", "shard")
+
+
+@query("top_languages", _duck_validated() + ", " + _DUCK_HIST + """
+SELECT shard, language, n, rank FROM (
+  SELECT shard, value AS language, n,
+         CAST(row_number() OVER (PARTITION BY shard ORDER BY n DESC, value ASC NULLS FIRST) AS INTEGER) AS rank
+  FROM hist WHERE field = 'language') WHERE rank <= 5""")
+def q_top_languages(spark, sf):
+    from .operators import validate as V
+
+    return V.top_languages(V.histogram(_validated(spark, sf))).withColumnRenamed("file", "shard")
+
+
+@query("sample_n", _duck_validated() + """
+SELECT shard, line_no,
+  CASE WHEN json_type(line, '$.instruction') = 'VARCHAR'
+       THEN substring(json_extract_string(line, '$.instruction'), 1, 60) || '...' END AS instruction_preview,
+  CASE WHEN json_type(line, '$.input') = 'VARCHAR'
+       THEN substring(json_extract_string(line, '$.input'), 1, 100) || '...' END AS input_preview,
+  CASE WHEN json_type(line, '$.output') = 'VARCHAR'
+       THEN substring(json_extract_string(line, '$.output'), 1, 100) || '...' END AS output_preview
+FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY md5('42:' || shard || ':' || CAST(line_no AS VARCHAR)))
+        AS rk FROM v WHERE parsed AND json_type(line) = 'OBJECT') WHERE rk <= 5""")
+def q_sample_n(spark, sf):
+    from .operators import validate as V
+
+    return V.sample_entries(_validated(spark, sf), 5).withColumnRenamed("file", "shard")
+
+
+@query("all_valid", _duck_validated() + """
+SELECT CAST(count(*) AS BIGINT) AS n_files, coalesce(bool_and(invalid = 0), false) AND count(*) > 0 AS all_valid
+FROM (SELECT shard, count(*) FILTER (WHERE NOT valid) AS invalid FROM v GROUP BY shard)""")
+def q_all_valid(spark, sf):
+    from .operators import validate as V
+
+    return V.verdict(V.summary(_validated(spark, sf)))
+
+
+@query("validate_job", _duck_validated() + """
+SELECT s.shard, s.total, s.valid, s.invalid, t.avg_input_length, t.avg_output_length, t.min_input_length,
+       t.max_input_length
+FROM (SELECT shard, count(*) AS total, count(*) FILTER (WHERE valid) AS valid,
+             count(*) FILTER (WHERE NOT valid) AS invalid FROM v GROUP BY shard) s
+LEFT JOIN (
+  SELECT shard, avg(li) AS avg_input_length, avg(lo) AS avg_output_length,
+         CAST(min(li) AS BIGINT) AS min_input_length, CAST(max(li) AS BIGINT) AS max_input_length
+  FROM (SELECT shard,
+          CASE WHEN json_type(line, '$.input') = 'VARCHAR' THEN length(json_extract_string(line, '$.input')) END AS li,
+          CASE WHEN json_type(line, '$.output') = 'VARCHAR'
+               THEN length(json_extract_string(line, '$.output')) END AS lo
+        FROM v WHERE parsed)
+  WHERE li IS NOT NULL AND lo IS NOT NULL GROUP BY shard) t ON t.shard = s.shard""")
+def q_validate_job(spark, sf):
+    from .landing import land_lines
+    from .plans.validate import validate_dir
+
+    configure(spark)
+    rep = validate_dir(spark, land_lines(spark, sf), glob="*.txt", recursive=True, persist=False)
+    out = rep.summary.join(rep.stats, "file", "left")
+    return out.select(F.regexp_extract("file", r"shard=([^/]+)/", 1).alias("shard"), "total", "valid", "invalid",
+                      "avg_input_length", "avg_output_length", "min_input_length", "max_input_length")
