@@ -524,3 +524,139 @@ def q_validate_job(spark, sf):
     out = rep.summary.join(rep.stats, "file", "left")
     return out.select(F.regexp_extract("file", r"shard=([^/]+)/", 1).alias("shard"), "total", "valid", "invalid",
                       "avg_input_length", "avg_output_length", "min_input_length", "max_input_length")
+
+
+# ------------------------------------------------------------- P2 / P5: READMEs
+
+
+def _readme_result(spark, sf):
+    from .plans.readmes import curate_readmes
+
+    return curate_readmes(fx(spark, sf, "fx_repos"), fx(spark, sf, "fx_readmes"), fx(spark, sf, "fx_trees"),
+                          with_timestamp=False)
+
+
+REPO_FX = ("fx_repos", "fx_readme_text", "fx_readmes", "fx_trees")
+
+
+@query("decode_readme", W("fx_repos", "fx_readme_text", "fx_readmes") +
+       f"SELECT doc_id, {S.decode_b64('content')} AS readme FROM fx_readmes")
+def q_decode_readme(spark, sf):
+    from .operators.repos import decode_base64_text
+
+    return fx(spark, sf, "fx_readmes").select("doc_id", decode_base64_text("content").alias("readme"))
+
+
+@query("file_tree_depth", W("fx_trees") + f"""
+SELECT doc_id, CAST(len({S.tree_kept('tree')}) AS BIGINT) AS n_items, {S.tree_text(S.tree_kept('tree'))} AS tree_text
+FROM fx_trees""")
+def q_file_tree_depth(spark, sf):
+    from .operators.repos import tree_text, tree_within_depth
+
+    t = tree_within_depth("tree")
+    return fx(spark, sf, "fx_trees").select(
+        "doc_id", F.when(F.col("tree").isNotNull(), F.size(t)).cast("bigint").alias("n_items"),
+        tree_text(t).alias("tree_text"))
+
+
+@query("key_files", W("fx_trees") + f"""
+SELECT doc_id, array_to_string(list_sort({S.key_paths('tree')}), '|') AS key_files FROM fx_trees""")
+def q_key_files(spark, sf):
+    from .operators.repos import key_files
+
+    return fx(spark, sf, "fx_trees").select("doc_id", F.array_join(F.array_sort(key_files("tree")), "|")
+                                            .alias("key_files"))
+
+
+@query("readme_features", W("fx_readme_text") + f"""
+SELECT doc_id, {S.sections('readme')} AS sections, contains(readme, '```') AS has_code FROM fx_readme_text""")
+def q_readme_features(spark, sf):
+    from .operators.repos import readme_features
+
+    return fx(spark, sf, "fx_readme_text").select("doc_id", *readme_features("readme"))
+
+
+@query("filter_readme", W("fx_readme_text") + f"SELECT doc_id FROM fx_readme_text WHERE {S.readme_ok('readme')}")
+def q_filter_readme(spark, sf):
+    from .functions.quality import readme_passes
+
+    return fx(spark, sf, "fx_readme_text").filter(readme_passes("readme")).select("doc_id")
+
+
+@query("select_repos", W("fx_repos") + f"SELECT doc_id, owner, name FROM fx_repos WHERE {S.select_repos_where()}")
+def q_select_repos(spark, sf):
+    from .operators.repos import select_repos
+
+    return select_repos(fx(spark, sf, "fx_repos")).select("doc_id", "owner", "name")
+
+
+@query("topk_repos", W("fx_repos") + f"SELECT language, owner, name, stars FROM ({S.top_repos_sql()})")
+def q_topk_repos(spark, sf):
+    return _readme_result(spark, sf).selected.select("language", "owner", "name", "stars")
+
+
+@query("join_repo_payloads", W(*REPO_FX) + """
+SELECT r.owner, r.name, m.content, CAST(len(t.tree) AS BIGINT) AS tree_items
+FROM fx_repos r JOIN fx_readmes m ON m.owner = r.owner AND m.name = r.name
+LEFT JOIN fx_trees t ON t.owner = r.owner AND t.name = r.name""")
+def q_join_repo_payloads(spark, sf):
+    from .operators.repos import join_payloads
+
+    j = join_payloads(fx(spark, sf, "fx_repos"), fx(spark, sf, "fx_readmes"), fx(spark, sf, "fx_trees"))
+    return j.select("owner", "name", F.col("readme_b64").alias("content"),
+                    F.when(F.col("tree").isNotNull(), F.size("tree")).cast("bigint").alias("tree_items"))
+
+
+@query("compose_repo_record", W(*REPO_FX) + f"""
+SELECT repo_name, url, stars, language, description, readme, {S.tree_text('file_tree')} AS tree_text, status
+FROM ({S.records_sql()})""")
+def q_compose_repo_record(spark, sf):
+    from .operators.repos import tree_text
+
+    r = _readme_result(spark, sf).records
+    return r.select("repo_name", "url", "stars", "language", "description", "readme",
+                    tree_text("file_tree").alias("tree_text"), "status")
+
+
+@query("readme_funnel", W(*REPO_FX) + f"""
+SELECT count(*) AS found, count(*) FILTER (WHERE status = 'scraped') AS scraped,
+       count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status = 'filtered') AS filtered
+FROM ({S.records_sql()})""")
+def q_readme_funnel(spark, sf):
+    return _readme_result(spark, sf).funnel
+
+
+@query("readmes_job", W(*REPO_FX) + f"""
+SELECT repo_name, url, stars, language, description, readme, {S.tree_text('file_tree')} AS tree_text
+FROM ({S.records_sql()}) WHERE status = 'scraped'""")
+def q_readmes_job(spark, sf):
+    from .operators.repos import tree_text
+
+    s = _readme_result(spark, sf).scraped
+    return s.select("repo_name", "url", "stars", "language", "description", "readme",
+                    tree_text("file_tree").alias("tree_text"))
+
+
+@query("prompt_repo_context", W(*REPO_FX) + f"""
+SELECT repo_name, {S.repo_prompt('repo_name', 'file_tree')} AS prompt FROM ({S.records_sql()})
+WHERE status = 'scraped'""")
+def q_prompt_repo_context(spark, sf):
+    from .operators.repos import repo_context_prompt
+
+    s = _readme_result(spark, sf).scraped
+    return s.select("repo_name", repo_context_prompt("repo_name", "file_tree").alias("prompt"))
+
+
+def _readme_examples_sql() -> str:
+    return f"""
+SELECT {S.template('readme_gen', 'ck')} AS instruction, input, output, source, language FROM (
+  SELECT *, {S.rowkey('source', 'language', "''", 'input', 'output')} AS ck FROM (
+    SELECT {S.repo_prompt('repo_name', 'file_tree')} AS input, readme AS output, 'github_readme' AS source, language
+    FROM ({S.records_sql()}) WHERE status = 'scraped'))"""
+
+
+@query("readme_examples_job", W(*REPO_FX) + _readme_examples_sql())
+def q_readme_examples_job(spark, sf):
+    from .plans.readmes import readme_examples
+
+    return readme_examples(_readme_result(spark, sf).scraped).select(*alpaca.EXAMPLE_COLUMNS)

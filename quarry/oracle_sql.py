@@ -152,3 +152,89 @@ def cap_sql(examples: str, cap: int, seed: int = K.DEFAULT_SEED) -> str:
 SELECT instruction, input, output, source, language, ck FROM (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY {seeded(seed, 'cap', 'ck')}) AS rn
   FROM ({examples})) WHERE rn <= {cap}"""
+
+
+# ------------------------------------------------------------------- repositories
+
+def decode_b64(content: str) -> str:
+    """Lenient base64 -> UTF-8 (null on failure), as a scalar subquery-free expression."""
+    s = f"regexp_replace({content}, '[^A-Za-z0-9+/=]', '', 'g')"
+    p = f"strpos({s}, '=')"
+    data = f"(CASE WHEN {p} = 0 THEN {s} ELSE substring({s}, 1, {p} - 1) END)"
+    m = f"(length({data}) % 4)"
+    ok = (f"(CASE WHEN {p} = 0 THEN {m} = 0 ELSE ({m} = 0 OR {m} = 3 OR ({m} = 2 AND "
+          f"substring({s}, {p}, 2) = '==')) END)")
+    return f"(CASE WHEN {ok} THEN try(decode(from_base64({data} || repeat('=', (4 - {m}) % 4)))) END)"
+
+
+def count_of(x: str, needle: str) -> str:
+    return f"CAST((length({x}) - length(replace({x}, {needle}, ''))) / length({needle}) AS BIGINT)"
+
+
+def sections(x: str) -> str:
+    return f"({count_of(x, 'chr(10) || ' + q('## '))} + {count_of(x, 'chr(10) || ' + q('# '))})"
+
+
+def readme_ok(x: str, min_sections: int = K.README_MIN_SECTIONS) -> str:
+    markers = " OR ".join(f"contains({x}, {q(m)})" for m in K.README_TEMPLATE_MARKERS)
+    return f"coalesce((NOT ({markers}) AND {sections(x)} >= {min_sections} AND contains({x}, '```')), false)"
+
+
+def status(x: str) -> str:
+    return (f"CASE WHEN NOT coalesce({x} IS NOT NULL AND length({x}) >= {K.README_MIN_CHARS}, false) THEN 'failed' "
+            f"WHEN NOT {readme_ok(x)} THEN 'filtered' ELSE 'scraped' END")
+
+
+def depth_ok(path: str, d: int = K.TREE_MAX_DEPTH) -> str:
+    return f"(length({path}) - length(replace({path}, '/', ''))) <= {d}"
+
+
+def tree_kept(tree: str) -> str:
+    path = "struct_extract(x, 'path')"
+    inner = f"list_filter({tree}, lambda x: {depth_ok(path)})"
+    return (f"list_transform({inner}, lambda x: {{'path': struct_extract(x, 'path'), "
+            f"'type': struct_extract(x, 'type'), 'size': coalesce(struct_extract(x, 'size'), CAST(0 AS BIGINT))}})")
+
+
+def tree_text(tree: str) -> str:
+    return (f"array_to_string(list_transform({tree}, lambda x: concat_ws(':', struct_extract(x, 'path'), "
+            f"struct_extract(x, 'type'), CAST(struct_extract(x, 'size') AS VARCHAR))), '|')")
+
+
+def key_paths(tree: str) -> str:
+    names = ", ".join(q(n) for n in K.KEY_FILE_NAMES)
+    return (f"list_transform(list_filter({tree}, lambda x: regexp_extract(struct_extract(x, 'path'), "
+            f"'([^/]+)$', 1) IN ({names})), lambda x: struct_extract(x, 'path'))")
+
+
+def select_repos_where(as_of: str = "2026-01-01", min_stars: int = K.SCRAPE_MIN_STARS,
+                       languages: list[str] = K.SCRAPE_LANGUAGES, days: int = K.SCRAPE_PUSHED_WITHIN_DAYS) -> str:
+    langs = ", ".join(q(x.lower()) for x in languages)
+    return (f"stars >= {min_stars} AND lower(language) IN ({langs}) "
+            f"AND CAST(pushed_at AS DATE) > DATE '{as_of}' - {days}")
+
+
+def top_repos_sql(limit: int = K.SCRAPE_LIMIT, languages: list[str] = K.SCRAPE_LANGUAGES) -> str:
+    k = limit // len(languages)
+    return f"""
+SELECT * EXCLUDE (rk) FROM (
+  SELECT *, row_number() OVER (PARTITION BY language ORDER BY stars DESC, owner, name) AS rk
+  FROM fx_repos WHERE {select_repos_where()}) WHERE rk <= {k}"""
+
+
+def records_sql() -> str:
+    return f"""
+SELECT *, {status('readme')} AS status FROM (
+  SELECT r.owner || '/' || r.name AS repo_name, r.html_url AS url, CAST(r.stars AS BIGINT) AS stars, r.language,
+         r.description, {decode_b64('m.content')} AS readme, {tree_kept('t.tree')} AS file_tree
+  FROM ({top_repos_sql()}) r
+  LEFT JOIN fx_readmes m ON m.owner = r.owner AND m.name = r.name
+  LEFT JOIN fx_trees t ON t.owner = r.owner AND t.name = r.name)"""
+
+
+def repo_prompt(repo_name: str, tree: str) -> str:
+    paths = f"list_sort(list_transform({tree}, lambda x: struct_extract(x, 'path')))"
+    keys = f"list_sort({key_paths(tree)})"
+    return (f"('Project: ' || {repo_name} || chr(10) || chr(10) || 'Structure:' || chr(10) || "
+            f"coalesce(array_to_string({paths}, chr(10)), '') || chr(10) || chr(10) || 'Key Files:' || chr(10) || "
+            f"coalesce(array_to_string({keys}, chr(10)), ''))")
