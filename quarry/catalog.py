@@ -660,3 +660,189 @@ def q_readme_examples_job(spark, sf):
     from .plans.readmes import readme_examples
 
     return readme_examples(_readme_result(spark, sf).scraped).select(*alpaca.EXAMPLE_COLUMNS)
+
+
+# ------------------------------------------------------------------ P1: ingest
+
+PAIR5 = "code, docstring, language, repo, path"
+INGEST_MAX = 300  # -> 50 per language over 6 languages
+FILES_MAX = 600  # -> 100 per language over 6 languages
+
+
+def _shard_pairs(spark, sf):
+    from .landing import land_shards
+    from .sources.jsonl import scan_jsonl_pairs
+
+    configure(spark)
+    root = land_shards(spark, sf)
+    lang = F.regexp_extract(F.col("file"), r"language=([^/]+)/", 1)
+    return scan_jsonl_pairs(spark, root, language=lang, suffix=".txt.gz")
+
+
+_DUCK_SHARD_PAIRS = f"""
+shard_pairs AS (
+  SELECT coalesce(code, '') AS code, coalesce(docstring, '') AS docstring, language,
+         coalesce(repo, '') AS repo, coalesce(path, '') AS path
+  FROM fx_pairs WHERE shard = 'train' AND NOT broken_line),
+ingested AS (
+  SELECT {PAIR5} FROM (
+    SELECT *, row_number() OVER (PARTITION BY language ORDER BY
+             {S.seeded(42, 'cap', S.rowkey('code', 'docstring', 'language', 'repo', 'path'))}) AS rk
+    FROM shard_pairs
+    WHERE code <> '' AND docstring <> '' AND length({S.strip('docstring')}) > 10)
+  WHERE rk <= {INGEST_MAX // 6})
+"""
+
+
+@query("scan_jsonl_pairs", W("fx_pairs") + ", " + _DUCK_SHARD_PAIRS + f"SELECT {PAIR5} FROM shard_pairs")
+def q_scan_jsonl_pairs(spark, sf):
+    return _shard_pairs(spark, sf)
+
+
+@query("ingest_job", W("fx_pairs") + ", " + _DUCK_SHARD_PAIRS + f"SELECT {PAIR5} FROM ingested")
+def q_ingest_job(spark, sf):
+    from .plans.ingest import ingest_job
+
+    return ingest_job(spark, _shard_pairs(spark, sf), max_examples=INGEST_MAX).pairs
+
+
+@query("cap_per_language", W("fx_pairs") + ", " + _DUCK_SHARD_PAIRS +
+       "SELECT language, count(*) AS n FROM ingested GROUP BY language")
+def q_cap_per_language(spark, sf):
+    from .plans.ingest import ingest_pairs
+
+    out = ingest_pairs(_shard_pairs(spark, sf), max_examples=INGEST_MAX)
+    return out.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("ingest_stats", W("fx_pairs") + ", " + _DUCK_SHARD_PAIRS +
+       "SELECT language, count(*) AS n FROM ingested GROUP BY ROLLUP (language)")
+def q_ingest_stats(spark, sf):
+    from .plans.ingest import ingest_job
+
+    return ingest_job(spark, _shard_pairs(spark, sf), max_examples=INGEST_MAX).stats
+
+
+@query("sink_parquet_roundtrip", W("fx_pairs") + ", " + _DUCK_SHARD_PAIRS + f"SELECT {PAIR5} FROM ingested")
+def q_sink_parquet_roundtrip(spark, sf):
+    from .landing import landed_dir
+    from .plans.ingest import ingest_job
+
+    out = landed_dir(spark, sf, "out/ingest_parquet")
+    ingest_job(spark, _shard_pairs(spark, sf), out_dir=out, max_examples=INGEST_MAX)
+    return spark.read.parquet(out).select("code", "docstring", "language", "repo", "path")
+
+
+@query("scan_documented_files", W("fx_files") + f"""
+SELECT content, language, path FROM (
+  SELECT *, row_number() OVER (PARTITION BY language ORDER BY
+           {S.seeded(42, 'cap', S.rowkey('content', 'language', 'path'))}) AS rk
+  FROM fx_files WHERE coalesce(CASE
+    WHEN language = 'python' THEN contains(content, repeat(chr(34), 3))
+                                  OR contains(content, repeat(chr(39), 3))
+    WHEN language IN ('javascript', 'typescript') THEN contains(content, '/**') OR contains(content, '///')
+    WHEN language IN ('java', 'go') THEN contains(content, '/**')
+    ELSE contains(content, '/**') OR contains(content, '///') END, false))
+WHERE rk <= {FILES_MAX // 6}""")
+def q_scan_documented_files(spark, sf):
+    from .landing import land_raw
+    from .plans.ingest import ingest_files
+    from .sources.files import scan_whole_files
+
+    configure(spark)
+    files = scan_whole_files(spark, land_raw(spark, sf) + "/the_stack_smol")
+    return ingest_files(files, max_examples=FILES_MAX)
+
+
+@query("scan_tolerant", W("fx_pairs") + "SELECT language, count(*) AS n FROM fx_pairs GROUP BY language")
+def q_scan_tolerant(spark, sf):
+    from .landing import land_raw
+    from .sources.files import scan_language_files
+
+    configure(spark)
+    df = scan_language_files(spark, land_raw(spark, sf) + "/codesearchnet")
+    return df.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
+
+
+INVENTORY_SETS = ["codesearchnet", "code_docstring_corpus", "python_code_instructions", "the_stack_smol", "thevault"]
+
+
+def _duck_inventory() -> str:
+    return W("fx_pairs", "fx_corpus", "fx_instr", "fx_files") + """,
+inv AS (
+  SELECT 'codesearchnet' AS dataset, true AS has_files, (SELECT count(*) FROM fx_pairs) AS n_rows
+  UNION ALL SELECT 'code_docstring_corpus', true, (SELECT count(*) FROM fx_corpus)
+  UNION ALL SELECT 'python_code_instructions', true, (SELECT count(*) FROM fx_instr)
+  UNION ALL SELECT 'the_stack_smol', true, (SELECT count(*) FROM fx_files)
+  UNION ALL SELECT 'thevault', false, CAST(0 AS BIGINT))
+"""
+
+
+@query("file_inventory", _duck_inventory() + "SELECT dataset, has_files, CAST(n_rows AS BIGINT) AS n_rows FROM inv")
+def q_file_inventory(spark, sf):
+    from .landing import land_raw
+    from .plans.ingest import verify
+
+    configure(spark)
+    inv, _ = verify(spark, land_raw(spark, sf), INVENTORY_SETS)
+    return inv.select("dataset", (F.col("n_files") > 0).alias("has_files"), "n_rows")
+
+
+@query("download_gate", _duck_inventory() +
+       "SELECT bool_and(has_files) AS all_valid, CAST(sum(n_rows) AS BIGINT) AS total_rows FROM inv")
+def q_download_gate(spark, sf):
+    from .landing import land_raw
+    from .plans.ingest import verify
+
+    configure(spark)
+    _, gate = verify(spark, land_raw(spark, sf), INVENTORY_SETS)
+    return gate.select("all_valid", "total_rows")
+
+
+# ------------------------------------------------------------------ B: sinks
+
+
+@query("sink_jsonl_roundtrip", W(*ALL_FX) + f"SELECT {EX5}, split FROM ({SPLIT_SQL})")
+def q_sink_jsonl_roundtrip(spark, sf):
+    from .landing import landed_dir
+    from .sources.sinks import write_examples
+
+    ex = P.convert_sources(fixture_sources(spark, sf))
+    out = landed_dir(spark, sf, "out/examples_jsonl")
+    write_examples(P.split_examples(ex, 0.8, 0.1, K.DEFAULT_SEED).drop("_ck"), out)
+    schema = "instruction string, input string, output string, source string, language string"
+    return spark.read.schema(schema).json(out).select(*alpaca.EXAMPLE_COLUMNS, "split")
+
+
+@query("sink_versioned", W(*ALL_FX) + f"SELECT source, split, count(*) AS n FROM ({SPLIT_SQL}) GROUP BY ALL")
+def q_sink_versioned(spark, sf):
+    from .landing import landed_dir
+    from .sources.sinks import write_versioned
+
+    ex = P.convert_sources(fixture_sources(spark, sf))
+    root = landed_dir(spark, sf, "out/versioned")
+    write_versioned(P.split_examples(ex, 0.8, 0.1, K.DEFAULT_SEED).drop("_ck"), root, 1)
+    back = spark.read.schema("instruction string, input string, output string").json(f"{root}/v1")
+    return back.groupBy("source", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("metadata_roundtrip", W(*ALL_FX) + f"""
+SELECT count(*) AS total_examples, count(*) FILTER (WHERE split = 'train') AS train,
+       count(*) FILTER (WHERE split = 'val') AS val, count(*) FILTER (WHERE split = 'test') AS test,
+       count(*) FILTER (WHERE source = 'codesearchnet') AS codesearchnet,
+       count(*) FILTER (WHERE source = 'the_stack_smol') AS the_stack_smol,
+       CAST(42 AS BIGINT) AS seed
+FROM ({SPLIT_SQL})""")
+def q_metadata_roundtrip(spark, sf):
+    from .landing import landed_dir
+
+    out = landed_dir(spark, sf, "out/run")
+    P.preprocess(spark, sources=fixture_sources(spark, sf), out_dir=out)
+    m = spark.read.json(f"{out}/metadata")
+    return m.select(
+        F.col("total_examples").cast("bigint").alias("total_examples"),
+        F.col("splits.train").cast("bigint").alias("train"), F.col("splits.val").cast("bigint").alias("val"),
+        F.col("splits.test").cast("bigint").alias("test"),
+        F.col("sources").getField("CodeSearchNet").cast("bigint").alias("codesearchnet"),
+        F.col("sources").getField("The Stack Smol").cast("bigint").alias("the_stack_smol"),
+        F.col("seed").cast("bigint").alias("seed"))

@@ -116,7 +116,10 @@ SELECT doc_id,
     ELSE text
   END AS docstring,
   concat('org', {_s('doc_id % 7')}, '/proj', {_s('doc_id % 13')}) AS repo,
-  concat('src/mod', {_s('doc_id')}, '.txt') AS path
+  concat('src/mod', {_s('doc_id')}, '.txt') AS path,
+  CASE WHEN source IN ('src0', 'src1', 'src2', 'src3', 'src4') THEN 'test' ELSE 'train' END AS shard,
+  doc_id % 5 = 0 AS alt_keys,
+  doc_id % 23 = 0 AS broken_line
 FROM {d.table('documents')}
 """
 

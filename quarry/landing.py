@@ -16,8 +16,16 @@ from . import fixtures as X
 from .session import scratch_dir
 
 
+LANDING_VERSION = "2"
+
+
 def _tag(sf_dir: str) -> str:
-    return hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    """Folder tag: input folder + fixture definitions, so a changed fixture lands anew."""
+    h = hashlib.md5(sf_dir.rstrip("/").encode())
+    h.update(LANDING_VERSION.encode())
+    for name in sorted(X.FIXTURES):
+        h.update(X.FIXTURES[name][0](X.SPARK).encode())
+    return h.hexdigest()[:16]
 
 
 def _done(spark: SparkSession, marker: str) -> bool:
@@ -47,6 +55,9 @@ def land_raw(spark: SparkSession, sf_dir: str) -> str:
      .write.mode("overwrite").parquet(f"{root}/code_docstring_corpus/train.parquet"))
     (X.fixture(spark, sf_dir, "fx_instr").select("instruction", "input", "output")
      .write.mode("overwrite").parquet(f"{root}/python_code_instructions/train.parquet"))
+    # one unreadable entry: skipped by every reader, still listed by the inventory
+    spark.createDataFrame([("not a parquet file",)], "value string").write.mode("overwrite").text(
+        f"{root}/codesearchnet/broken.parquet")
     filesdf = X.fixture(spark, sf_dir, "fx_files")
     for lang in X.FILE_LANGS:
         (filesdf.filter(F.col("language") == lang).select("content", "path")
@@ -66,3 +77,26 @@ def land_lines(spark: SparkSession, sf_dir: str) -> str:
      .select("shard", "line").write.mode("overwrite").partitionBy("shard").text(root))
     spark.range(1).write.mode("overwrite").parquet(marker)
     return root
+
+
+def land_shards(spark: SparkSession, sf_dir: str) -> str:
+    """gzip JSON-lines shards of raw pairs: ``language=<l>/split=<train|test>/``.
+
+    Every 5th document uses the alternative keys func_code_string /
+    func_documentation_string; every 23rd line is not JSON.  Null fields are
+    left out of the JSON object (absent keys)."""
+    root = landed_dir(spark, sf_dir, "shards")
+    marker = f"{root}_landed"
+    if _done(spark, marker):
+        return root
+    p = X.fixture(spark, sf_dir, "fx_pairs")
+    obj = F.when(
+        F.col("alt_keys"),
+        F.to_json(F.struct(F.col("code").alias("func_code_string"),
+                           F.col("docstring").alias("func_documentation_string"), "repo", "path")),
+    ).otherwise(F.to_json(F.struct("code", "docstring", "repo", "path")))
+    line = F.when(F.col("broken_line"), F.lit("not json")).otherwise(obj)
+    (p.select("language", F.col("shard").alias("split"), line.alias("value"))
+     .write.mode("overwrite").partitionBy("language", "split").option("compression", "gzip").text(root))
+    spark.range(1).write.mode("overwrite").parquet(marker)
+    return root
