@@ -27,6 +27,14 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element transform).
+
+    Used where an expensive value is referenced several times: the optimizer
+    may inline projections into filters and would otherwise copy it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def py_strip(c: Column | str) -> Column:
     """Python ``str.strip()``: remove Unicode whitespace at both ends."""
     return F.trim(col(c), F.lit(PY_WHITESPACE))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.quality import has_code_fence, readme_passes, readme_sections
-from ..functions.text import col
+from ..functions.text import col, let
 from .ranking import top_k_per_group
 
 
@@ -18,16 +18,17 @@ def decode_base64_text(content: Column | str) -> Column:
     first padding that completes a quantum (later data is ignored); a dangling
     single character or incomplete padding fails; bytes must be valid UTF-8.
     """
-    s = F.regexp_replace(col(content), r"[^A-Za-z0-9+/=]", "")
-    p = F.instr(s, "=")
-    data = F.when(p == 0, s).otherwise(F.substring(s, F.lit(1), p - 1))
-    m = F.length(data) % 4
-    ok = F.when(p == 0, m == 0).otherwise(
-        (m == 0) | (m == 3) | ((m == 2) & (F.substring(s, p, F.lit(2)) == F.lit("=="))))
-    padded = F.concat(data, F.repeat(F.lit("="), (F.lit(4) - m) % 4))
-    raw = F.try_to_binary(padded, F.lit("base64"))
-    text = F.try_validate_utf8(raw.cast("string"))
-    return F.when(ok, text)
+
+    def body(s: Column) -> Column:
+        p = F.instr(s, "=")
+        d = F.when(p == 0, s).otherwise(F.substring(s, F.lit(1), p - 1))
+        m = F.length(d) % 4
+        ok = F.when(p == 0, m == 0).otherwise(
+            (m == 0) | (m == 3) | ((m == 2) & (F.substring(s, p, F.lit(2)) == F.lit("=="))))
+        raw = F.try_to_binary(F.concat(d, F.repeat(F.lit("="), (F.lit(4) - m) % 4)), F.lit("base64"))
+        return F.when(ok, F.try_validate_utf8(raw.cast("string")))
+
+    return let(F.regexp_replace(col(content), r"[^A-Za-z0-9+/=]", ""), body)
 
 
 def path_depth(path: Column) -> Column:
@@ -94,11 +95,14 @@ def join_payloads(repos: DataFrame, readmes: DataFrame, trees: DataFrame | None,
 def readme_status(readme: Column | str, min_chars: int = K.README_MIN_CHARS,
                   min_sections: int = K.README_MIN_SECTIONS) -> Column:
     """'failed' (missing or short README), 'filtered' (quality gate) or 'scraped'."""
-    r = col(readme)
-    present = r.isNotNull() & (F.length(r) >= min_chars)
-    return (F.when(~F.coalesce(present, F.lit(False)), F.lit("failed"))
-            .when(~readme_passes(r, min_sections), F.lit("filtered"))
-            .otherwise(F.lit("scraped")))
+
+    def body(r: Column) -> Column:
+        present = r.isNotNull() & (F.length(r) >= min_chars)
+        return (F.when(~F.coalesce(present, F.lit(False)), F.lit("failed"))
+                .when(~readme_passes(r, min_sections), F.lit("filtered"))
+                .otherwise(F.lit("scraped")))
+
+    return let(col(readme), body)
 
 
 def repo_records(joined: DataFrame, max_depth: int = K.TREE_MAX_DEPTH, with_timestamp: bool = True) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.text import preview
+from ..functions.text import let, preview
 from ..sources.jsonl import field, field_string, is_object, parse_strict
 from .ranking import top_k_per_group
 
@@ -47,9 +47,9 @@ def error_codes(v: Column, bounds: dict[str, tuple[int, int]] = K.TRAINING_BOUND
 
 def validate_lines(lines: DataFrame, bounds: dict[str, tuple[int, int]] = K.TRAINING_BOUNDS) -> DataFrame:
     """(file, line_no, line) -> + v, parsed, errors, valid, error (first code)."""
-    v = parse_strict("line")
-    out = lines.withColumn("v", v)
-    errs = F.when(F.col("v").isNull(), F.array(F.lit(PARSE_ERROR))).otherwise(error_codes(F.col("v"), bounds))
+    out = lines.withColumn("v", parse_strict("line"))
+    errs = let(F.col("v"), lambda v: F.when(v.isNull(), F.array(F.lit(PARSE_ERROR)))
+               .otherwise(error_codes(v, bounds)))
     return (
         out.withColumn("errors", errs)
         .withColumn("parsed", F.col("v").isNotNull())
@@ -97,8 +97,8 @@ def length_stats(validated: DataFrame) -> DataFrame:
 
 def field_value_or_unknown(v: Column, name: str) -> Column:
     """Absent key -> 'unknown'; JSON null -> null; else the value as text."""
-    f = field(v, name)
-    return F.when(f.isNull(), F.lit("unknown")).otherwise(F.try_variant_get(f, "$", "string"))
+    return let(field(v, name), lambda f: F.when(f.isNull(), F.lit("unknown"))
+               .otherwise(F.try_variant_get(f, "$", "string")))
 
 
 def histogram(validated: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import col
+from ..functions.text import col, let
 
 
 def scan_lines(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
@@ -42,8 +42,8 @@ def parse_strict(line: Column | str) -> Column:
     Wrapping the line in brackets rejects trailing junk, blank lines and
     several documents on one line (duplicate keys: last wins)."""
     wrapped = F.try_parse_json(F.concat(F.lit("["), col(line), F.lit("]")))
-    size_ok = F.size(wrapped.cast("array<variant>")) == 1
-    return F.when(size_ok, F.try_variant_get(wrapped, "$[0]", "variant"))
+    return let(wrapped, lambda w: F.when(F.size(w.cast("array<variant>")) == 1,
+                                         F.try_variant_get(w, "$[0]", "variant")))
 
 
 def is_object(v: Column) -> Column:
@@ -61,17 +61,21 @@ def field_is_string(v: Column, name: str) -> Column:
 
 def field_string(v: Column, name: str) -> Column:
     """String value of a field when it is a JSON string, else null."""
-    f = field(v, name)
-    return F.when(F.schema_of_variant(f) == F.lit("STRING"), F.try_variant_get(f, "$", "string"))
+    return let(field(v, name), lambda f: F.when(F.schema_of_variant(f) == F.lit("STRING"),
+                                                F.try_variant_get(f, "$", "string")))
 
 
 def field_text_or(v: Column, names: list[str], default: str | None) -> Column:
     """First *present* key among names (JSON null stays null), else the default."""
-    expr = F.lit(default).cast("string")
-    for n in reversed(names):
-        f = field(v, n)
-        expr = F.when(f.isNotNull(), F.try_variant_get(f, "$", "string")).otherwise(expr)
-    return expr
+
+    def body(vv: Column) -> Column:
+        expr = F.lit(default).cast("string")
+        for n in reversed(names):
+            f = field(vv, n)
+            expr = F.when(f.isNotNull(), F.try_variant_get(f, "$", "string")).otherwise(expr)
+        return expr
+
+    return let(v, body)
 
 
 def scan_jsonl_pairs(spark: SparkSession, path: str, language: Column | str | None = None,
