@@ -846,3 +846,236 @@ def q_metadata_roundtrip(spark, sf):
         F.col("sources").getField("CodeSearchNet").cast("bigint").alias("codesearchnet"),
         F.col("sources").getField("The Stack Smol").cast("bigint").alias("the_stack_smol"),
         F.col("seed").cast("bigint").alias("seed"))
+
+
+# ------------------------------------------------------------------ spec tier
+
+
+def docs(spark, sf):
+    configure(spark)
+    return X.base_table(spark, sf, "documents")
+
+
+@query("token_count", f"SELECT doc_id, {S.token_count('text')} AS tokens FROM documents")
+def q_token_count(spark, sf):
+    from .functions.text import token_count
+
+    return docs(spark, sf).select("doc_id", token_count("text").alias("tokens"))
+
+
+@query("non_ascii_ratio", f"SELECT doc_id, {S.non_ascii('text')} AS non_ascii_ratio FROM documents")
+def q_non_ascii_ratio(spark, sf):
+    from .functions.text import non_ascii_ratio
+
+    return docs(spark, sf).select("doc_id", non_ascii_ratio("text").alias("non_ascii_ratio"))
+
+
+def _filler_sql(x: str) -> str:
+    s = S.strip(x)
+    return "(" + " OR ".join(f"left({s}, {len(p)}) = {S.q(p)}" for p in K.FILLER_OPENINGS) + ")"
+
+
+@query("style_flags", W("fx_readme_text") + f"""
+SELECT doc_id, coalesce({_filler_sql('readme')}, false) AS filler_opening,
+  coalesce(regexp_matches(readme, '(?m)^[ \\t]*(?:[-*]|[0-9]+\\.)[ \\t]'), false) AS has_bullets,
+  contains(readme, '```') AS has_code_example,
+  coalesce(length({S.strip("split_part(readme, chr(10), 1)")}) BETWEEN 1 AND 120, false) AS short_first_line
+FROM fx_readme_text""")
+def q_style_flags(spark, sf):
+    from .functions.quality import filler_opening_flag, has_bullets, has_code_fence, short_first_line
+
+    d = fx(spark, sf, "fx_readme_text")
+    return d.select("doc_id", F.coalesce(filler_opening_flag("readme"), F.lit(False)).alias("filler_opening"),
+                    has_bullets("readme").alias("has_bullets"), has_code_fence("readme").alias("has_code_example"),
+                    short_first_line("readme").alias("short_first_line"))
+
+
+@query("detect_license", f"""
+SELECT doc_id, license, {S.license_family('license')} AS family
+FROM (SELECT doc_id, {S.license_name('text')} AS license FROM documents)""")
+def q_detect_license(spark, sf):
+    from .functions.quality import license_family, license_name
+
+    d = docs(spark, sf).select("doc_id", license_name("text").alias("license"))
+    return d.withColumn("family", license_family("license"))
+
+
+@query("filter_license", f"""
+SELECT doc_id FROM documents WHERE {S.license_family(S.license_name('text'))} = 'permissive'""")
+def q_filter_license(spark, sf):
+    from .operators.filters import permissive_only
+
+    return permissive_only(docs(spark, sf), "text").select("doc_id")
+
+
+@query("license_audit", f"""
+SELECT source, license, count(*) AS n, {S.license_family('license')} AS family
+FROM (SELECT source, {S.license_name('text')} AS license FROM documents) GROUP BY source, license""")
+def q_license_audit(spark, sf):
+    from .operators.stats import license_audit
+
+    return license_audit(docs(spark, sf)).select("source", "license", "n", "family")
+
+
+@query("filter_token_length", W(*ALL_FX) + f"""
+SELECT {EX5} FROM ({S.ex_all()}) WHERE {S.tokens_ok('input', 'output')}""")
+def q_filter_token_length(spark, sf):
+    from .operators.filters import token_length_ok
+
+    ex = P.convert_sources(fixture_sources(spark, sf))
+    return ex.filter(token_length_ok("input", "output")).select(*alpaca.EXAMPLE_COLUMNS)
+
+
+@query("boilerplate_ratio", S.boilerplate_sql("documents", "doc_id", "text"))
+def q_boilerplate_ratio(spark, sf):
+    from .operators.dedup import boilerplate_ratio
+
+    return boilerplate_ratio(docs(spark, sf), "doc_id", "text")
+
+
+@query("quality_heuristics", f"""
+SELECT b.doc_id, {S.reason('d.text', 'b.boilerplate_ratio')} AS reason
+FROM ({S.boilerplate_sql("documents", "doc_id", "text")}) b JOIN documents d ON d.doc_id = b.doc_id""")
+def q_quality_heuristics(spark, sf):
+    from .operators.dedup import boilerplate_ratio
+    from .operators.filters import rejection_reason
+
+    d = docs(spark, sf)
+    b = boilerplate_ratio(d, "doc_id", "text")
+    return d.join(b, "doc_id").select("doc_id", rejection_reason("text", "boilerplate_ratio").alias("reason"))
+
+
+@query("detect_language", f"SELECT doc_id, lang, {S.detect_language('text')} AS predicted FROM documents")
+def q_detect_language(spark, sf):
+    from .functions.quality import detect_language
+
+    return docs(spark, sf).select("doc_id", "lang", detect_language("text").alias("predicted"))
+
+
+@query("filter_english", f"SELECT doc_id FROM documents WHERE {S.detect_language('text')} = 'en'")
+def q_filter_english(spark, sf):
+    from .operators.filters import english_only
+
+    return english_only(docs(spark, sf), "text").select("doc_id")
+
+
+@query("filter_readme_strict", W("fx_readme_text") + f"""
+SELECT doc_id FROM fx_readme_text
+WHERE coalesce(length(readme) > {K.README_MIN_CHARS} AND {S.readme_ok('readme', 3)}
+               AND {S.detect_language('readme')} = 'en', false)""")
+def q_filter_readme_strict(spark, sf):
+    from .operators.filters import readme_strict_ok
+
+    return fx(spark, sf, "fx_readme_text").filter(readme_strict_ok("readme")).select("doc_id")
+
+
+@query("dedup_exact", f"""
+SELECT doc_id, lang FROM documents
+WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY md5({S.normalized('text')}))""")
+def q_dedup_exact(spark, sf):
+    from .operators.dedup import dedup_exact
+
+    return dedup_exact(docs(spark, sf), "doc_id", "text").select("doc_id", "lang")
+
+
+def _diff_prompt_sql(prev: str, code: str, docs_: str) -> str:
+    fence_ = lambda x: f"'```python' || chr(10) || {x} || chr(10) || '```,'"
+    return (f"('Original Code:' || chr(10) || {fence_(prev)} || chr(10) || chr(10) || 'Updated Code:' || chr(10) || "
+            f"{fence_(code)} || chr(10) || chr(10) || 'Current Documentation:' || chr(10) || {docs_})")
+
+
+@query("prompt_diff", W("fx_versions") + f"""
+SELECT repo, path, version, {_diff_prompt_sql('prev_code', 'code', 'docs')} AS prompt FROM (
+  SELECT *, lag(code) OVER (PARTITION BY repo, path ORDER BY version) AS prev_code FROM fx_versions)
+WHERE prev_code IS NOT NULL""")
+def q_prompt_diff(spark, sf):
+    from .operators.windows import lag_within
+
+    v = fx(spark, sf, "fx_versions")
+    lagged = lag_within(v, ["repo", "path"], "version", ["code"], bucket=2)
+    fence_ = lambda x: F.concat(F.lit("```python\n"), F.col(x), F.lit("\n```,"))
+    prompt = F.concat(F.lit("Original Code:\n"), fence_("prev_code"), F.lit("\n\nUpdated Code:\n"), fence_("code"),
+                      F.lit("\n\nCurrent Documentation:\n"), F.col("docs"))
+    return lagged.filter(F.col("prev_code").isNotNull()).select("repo", "path", "version", prompt.alias("prompt"))
+
+
+@query("curated_semi_join", W("fx_repos") + """
+SELECT doc_id, topic FROM fx_repos WHERE topic IN (
+  SELECT lower(regexp_replace(regexp_extract(href, '([^/]*)$', 1), '[.,;:!?]+$', ''))
+  FROM (SELECT unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href FROM pages))""")
+def q_curated_semi_join(spark, sf):
+    from .operators.joins import linked_from_pages
+
+    pages = X.base_table(spark, sf, "pages")
+    return linked_from_pages(fx(spark, sf, "fx_repos"), pages, "topic").select("doc_id", "topic")
+
+
+@query("documented_stats", W(*ALL_FX) + f"""
+SELECT count(*) AS total_entries, avg({S.token_count('input')}) AS avg_input_tokens,
+       avg({S.token_count('output')}) AS avg_output_tokens FROM ({S.ex_all()})""")
+def q_documented_stats(spark, sf):
+    from .operators.stats import documented_summary
+
+    return documented_summary(P.convert_sources(fixture_sources(spark, sf)))
+
+
+@query("language_distribution", W(*ALL_FX) + f"""
+SELECT dimension, key, n, 100.0 * n / sum(n) OVER (PARTITION BY dimension) AS pct FROM (
+  SELECT 'language' AS dimension, language AS key, count(*) AS n FROM ({S.ex_all()}) GROUP BY language
+  UNION ALL
+  SELECT 'instruction_type', {S.task_type('source')}, count(*) FROM ({S.ex_all()}) GROUP BY 2)""")
+def q_language_distribution(spark, sf):
+    from .operators.stats import distribution
+
+    return distribution(P.convert_sources(fixture_sources(spark, sf)))
+
+
+@query("quality_score", W(*REPO_FX) + f"""
+SELECT repo_name, (2.0 * align + 2.0 * concise + 2.0 * lic + 1.0 * recency + 1.0 * (1.0 - share)) / 8.0 AS score
+FROM (
+  SELECT repo_name,
+    CASE WHEN len({S.word_set('description')}) = 0 THEN 0.0
+         ELSE CAST(len(list_intersect({S.word_set('description')}, {S.word_set('readme')})) AS DOUBLE)
+              / CAST(len({S.word_set('description')}) AS DOUBLE) END AS align,
+    least(1.0, 500.0 / CAST(greatest({S.word_count('readme')}, 1) AS DOUBLE)) AS concise,
+    CASE {S.license_family(S.license_name('readme'))} WHEN 'permissive' THEN 1.0 WHEN 'unknown' THEN 0.5
+         ELSE 0.0 END AS lic,
+    1.0 / (1.0 + CAST(date_diff('day', CAST(pushed_at AS DATE), DATE '2026-01-01') AS DOUBLE) / 365.0) AS recency,
+    CAST(count(*) OVER (PARTITION BY language) AS DOUBLE) / CAST(count(*) OVER () AS DOUBLE) AS share
+  FROM ({S.records_sql()}) WHERE readme IS NOT NULL)""")
+def q_quality_score(spark, sf):
+    from .operators.stats import quality_score
+
+    recs = _readme_result(spark, sf).records.filter(F.col("readme").isNotNull())
+    return quality_score(recs)
+
+
+_STRAT_EX = f"""
+SELECT *, {S.length_bucket('output')} AS length_bucket, {S.task_type('source')} AS task_type FROM ({S.ex_all()})"""
+
+
+@query("stratified_split", W(*ALL_FX) + f"""
+SELECT {EX5}, split FROM ({S.split_sql(_STRAT_EX, partition='language, length_bucket, task_type')})""")
+def q_stratified_split(spark, sf):
+    from .plans.documented import stratified_split
+
+    ex = P.convert_sources(fixture_sources(spark, sf))
+    return stratified_split(ex).select(*alpaca.EXAMPLE_COLUMNS, "split")
+
+
+def _documented_sql() -> str:
+    kept = f"""
+SELECT * FROM ({S.ex_all()}) e
+WHERE ck IN (SELECT min(ck) FROM ({S.ex_all()})
+             GROUP BY md5({S.normalized('input')} || chr(31) || {S.normalized('output')}))
+  AND {S.detect_language('output')} = 'en' AND {S.tokens_ok('input', 'output')} AND {S.reason('output')} IS NULL"""
+    strat = f"SELECT *, {S.length_bucket('output')} AS length_bucket, {S.task_type('source')} AS task_type FROM ({kept})"
+    return f"SELECT {EX5}, split FROM ({S.split_sql(strat, partition='language, length_bucket, task_type')})"
+
+
+@query("documented_job", W(*ALL_FX) + _documented_sql())
+def q_documented_job(spark, sf):
+    from .plans.documented import documented_preprocess
+
+    ex = P.convert_sources(fixture_sources(spark, sf))
+    return documented_preprocess(ex).split.select(*alpaca.EXAMPLE_COLUMNS, "split")

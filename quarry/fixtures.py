@@ -228,7 +228,8 @@ SELECT doc_id,
                   WHEN 3 THEN 'go' ELSE 'rust' END AS language,
   {d.minus_days(d.ts(AS_OF + ' 00:00:00'), '(doc_id % 1000)')} AS pushed_at,
   CASE doc_id % 9 WHEN 0 THEN CAST(NULL AS STRING) ELSE concat('Project ', {_s('doc_id')}, ': ', text) END
-    AS description
+    AS description,
+  lower(regexp_extract(text, '^([^ ,.]+)', 1)) AS topic
 FROM {d.table('documents')}
 """
 

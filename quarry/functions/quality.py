@@ -108,7 +108,7 @@ def license_name(text: Column | str) -> Column:
     t = F.coalesce(col(text), F.lit(""))
     expr = None
     for name, _family, pattern in K.LICENSE_RULES:
-        cond = t.rlike("(?i)" + pattern)
+        cond = t.rlike("(?iu)" + pattern)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     return expr.otherwise(F.lit("unknown"))
 
@@ -119,3 +119,46 @@ def license_family(name: Column | str) -> Column:
     for lic, family, _pattern in K.LICENSE_RULES:
         expr = F.when(n == lic, F.lit(family)) if expr is None else expr.when(n == lic, F.lit(family))
     return expr.otherwise(F.lit("unknown"))
+
+
+def has_bullets(text: Column | str) -> Column:
+    """A line that starts (after spaces) with '-', '*' or 'N.' followed by a space."""
+    return F.coalesce(col(text).rlike(r"(?m)^[ \t]*(?:[-*]|[0-9]+\.)[ \t]"), F.lit(False))
+
+
+def first_line(text: Column | str) -> Column:
+    return F.substring_index(col(text), "\n", 1)
+
+
+def short_first_line(text: Column | str, max_chars: int = 120) -> Column:
+    """[decision] The first line is a one-line description: 1..max_chars code points."""
+    n = F.length(py_strip(first_line(text)))
+    return F.coalesce((n >= 1) & (n <= max_chars), F.lit(False))
+
+
+def language_tokens(text: Column | str) -> Column:
+    """Lower-cased letter runs (split on anything that is not a letter)."""
+    return F.split(F.lower(F.coalesce(col(text), F.lit(""))), r"[^\p{L}]+")
+
+
+def stopword_hits(tokens: Column, lang: str) -> Column:
+    words = K.STOPWORDS[lang]
+    return F.size(F.filter(tokens, lambda t: t.isin(words))).cast("bigint")
+
+
+def detect_language(text: Column | str) -> Column:
+    """[decision] Language with the most stopword hits (en, de, fr, es order on
+    ties); 'unknown' without any hit."""
+    from .text import let
+
+    def pick(h: Column) -> Column:
+        en, de, fr, es = (h[i] for i in range(4))
+        best = F.array_max(h)
+        return (F.when(best == 0, F.lit("unknown"))
+                .when(en == best, F.lit("en")).when(de == best, F.lit("de"))
+                .when(fr == best, F.lit("fr")).otherwise(F.lit("es")))
+
+    def body(tokens: Column) -> Column:
+        return let(F.array(*(stopword_hits(tokens, x) for x in ("en", "de", "fr", "es"))), pick)
+
+    return let(language_tokens(text), body)

@@ -112,7 +112,10 @@ def count_occurrences(c: Column | str, needle: str) -> Column:
 
 def token_count(c: Column | str) -> Column:
     """[decision] Token-count proxy: identifier runs plus single punctuation marks."""
-    return F.regexp_count(F.coalesce(col(c), F.lit("")), F.lit(r"[A-Za-z0-9_]+|[^A-Za-z0-9_\s]")).cast("bigint")
+    return F.regexp_count(F.coalesce(col(c), F.lit("")), F.lit(TOKEN_PATTERN)).cast("bigint")
+
+
+TOKEN_PATTERN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\x0B\f\r]"
 
 
 def non_ascii_ratio(c: Column | str) -> Column:

@@ -115,6 +115,7 @@ def repo_records(joined: DataFrame, max_depth: int = K.TREE_MAX_DEPTH, with_time
         F.col("stars").cast("bigint").alias("stars"),
         F.col("language"),
         F.col("description"),
+        F.col("pushed_at"),
         readme.alias("readme"),
         tree_within_depth("tree", max_depth).alias("file_tree"),
     ]

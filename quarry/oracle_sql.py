@@ -226,7 +226,7 @@ def records_sql() -> str:
     return f"""
 SELECT *, {status('readme')} AS status FROM (
   SELECT r.owner || '/' || r.name AS repo_name, r.html_url AS url, CAST(r.stars AS BIGINT) AS stars, r.language,
-         r.description, {decode_b64('m.content')} AS readme, {tree_kept('t.tree')} AS file_tree
+         r.description, r.pushed_at, {decode_b64('m.content')} AS readme, {tree_kept('t.tree')} AS file_tree
   FROM ({top_repos_sql()}) r
   LEFT JOIN fx_readmes m ON m.owner = r.owner AND m.name = r.name
   LEFT JOIN fx_trees t ON t.owner = r.owner AND t.name = r.name)"""
@@ -238,3 +238,92 @@ def repo_prompt(repo_name: str, tree: str) -> str:
     return (f"('Project: ' || {repo_name} || chr(10) || chr(10) || 'Structure:' || chr(10) || "
             f"coalesce(array_to_string({paths}, chr(10)), '') || chr(10) || chr(10) || 'Key Files:' || chr(10) || "
             f"coalesce(array_to_string({keys}, chr(10)), ''))")
+
+
+# ------------------------------------------------------------------- spec tier
+
+def token_count(x: str) -> str:
+    from .functions.text import TOKEN_PATTERN
+
+    return f"CAST(len(regexp_extract_all(coalesce({x}, ''), {q(TOKEN_PATTERN)})) AS BIGINT)"
+
+
+def non_ascii(x: str) -> str:
+    t = f"coalesce({x}, '')"
+    return (f"(CASE WHEN length({t}) = 0 THEN 0.0 ELSE CAST(length(regexp_replace({t}, '[\\x00-\\x7F]', '', 'g')) "
+            f"AS DOUBLE) / CAST(length({t}) AS DOUBLE) END)")
+
+
+def license_name(x: str) -> str:
+    t = f"coalesce({x}, '')"
+    parts = " ".join(f"WHEN regexp_matches({t}, {q('(?i)' + pat)}) THEN {q(name)}" for name, _f, pat in K.LICENSE_RULES)
+    return f"(CASE {parts} ELSE 'unknown' END)"
+
+
+def license_family(n: str) -> str:
+    parts = " ".join(f"WHEN {n} = {q(name)} THEN {q(fam)}" for name, fam, _p in K.LICENSE_RULES)
+    return f"(CASE {parts} ELSE 'unknown' END)"
+
+
+def generic_flag(x: str) -> str:
+    return "(" + " OR ".join(f"contains({x}, {q(p)})" for p in K.GENERIC_PHRASES) + ")"
+
+
+def template_flag(x: str) -> str:
+    return "(" + " OR ".join(f"contains({x}, {q(p)})" for p in K.TEMPLATE_PLACEHOLDERS) + ")"
+
+
+def reason(x: str, boilerplate: str | None = None) -> str:
+    bp = f"WHEN {boilerplate} > {K.MAX_BOILERPLATE_RATIO} THEN 'boilerplate' " if boilerplate else ""
+    return (f"(CASE WHEN {generic_flag(x)} THEN 'generic_phrase' WHEN {template_flag(x)} THEN 'template_marker' "
+            f"{bp}WHEN {non_ascii(x)} > {K.MAX_NON_ASCII_RATIO} THEN 'non_ascii' END)")
+
+
+def detect_language(x: str) -> str:
+    toks = f"string_split_regex(lower(coalesce({x}, '')), '[^\\p{{L}}]+')"
+    hits = {lang: f"len(list_filter({toks}, lambda t: t IN ({', '.join(q(w) for w in K.STOPWORDS[lang])})))"
+            for lang in ("en", "de", "fr", "es")}
+    best = f"greatest({hits['en']}, {hits['de']}, {hits['fr']}, {hits['es']})"
+    return (f"(CASE WHEN {best} = 0 THEN 'unknown' WHEN {hits['en']} = {best} THEN 'en' "
+            f"WHEN {hits['de']} = {best} THEN 'de' WHEN {hits['fr']} = {best} THEN 'fr' ELSE 'es' END)")
+
+
+def tokens_ok(i: str, o: str) -> str:
+    (ilo, ihi), (olo, ohi) = K.TOKEN_LIMITS["input"], K.TOKEN_LIMITS["output"]
+    return f"({token_count(i)} BETWEEN {ilo} AND {ihi} AND {token_count(o)} BETWEEN {olo} AND {ohi})"
+
+
+def normalized(x: str) -> str:
+    return f"lower({strip(f'regexp_replace({x}, {q(chr(91) + B + chr(93) + chr(43))}, {q(chr(32))}, {q(chr(103))})')})"
+
+
+def boilerplate_sql(src: str, id_col: str, text_col: str, k: int = K.BOILERPLATE_MIN_DOCS) -> str:
+    return f"""
+SELECT d.{id_col}, CASE WHEN coalesce(s.total, 0) = 0 THEN 0.0
+       ELSE CAST(s.common_len AS DOUBLE) / CAST(s.total AS DOUBLE) END AS boilerplate_ratio
+FROM {src} d LEFT JOIN (
+  SELECT l.{id_col}, sum(length(l.line)) AS total,
+         sum(CASE WHEN f.line IS NOT NULL THEN length(l.line) ELSE 0 END) AS common_len
+  FROM (SELECT {id_col}, {strip('x')} AS line
+        FROM (SELECT {id_col}, unnest(string_split(coalesce({text_col}, ''), chr(10))) AS x FROM {src})) l
+  LEFT JOIN (SELECT line FROM (SELECT DISTINCT {id_col}, {strip('x')} AS line
+                               FROM (SELECT {id_col}, unnest(string_split(coalesce({text_col}, ''), chr(10))) AS x
+                                     FROM {src}))
+             WHERE line <> '' GROUP BY line HAVING count(*) >= {k}) f ON f.line = l.line
+  WHERE l.line <> '' GROUP BY l.{id_col}) s ON s.{id_col} = d.{id_col}"""
+
+
+def word_set(x: str) -> str:
+    return f"list_distinct(list_filter(string_split_regex(lower(coalesce({x}, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> ''))"
+
+
+def length_bucket(x: str) -> str:
+    a, b = K.LENGTH_BUCKETS
+    return f"(CASE WHEN length({x}) < {a} THEN 'short' WHEN length({x}) < {b} THEN 'medium' ELSE 'long' END)"
+
+
+def task_type(src: str) -> str:
+    from .operators.stats import TASK_BY_SOURCE
+
+    parts = " ".join(f"WHEN {src} = {q(s)} THEN {q(t)}" for s, t in TASK_BY_SOURCE.items())
+    return f"(CASE {parts} ELSE 'other' END)"
