@@ -1079,3 +1079,46 @@ def q_documented_job(spark, sf):
 
     ex = P.convert_sources(fixture_sources(spark, sf))
     return documented_preprocess(ex).split.select(*alpaca.EXAMPLE_COLUMNS, "split")
+
+
+# ------------------------------------------------------------------ I3: near duplicates
+
+
+def _duck_near_pairs() -> str:
+    ws = f"[{S.B}]+"
+    return f"""
+kept AS (SELECT doc_id, text FROM documents
+         WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY md5({S.normalized('text')}))),
+toks AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), {S.q(ws)}), lambda w: w <> '') AS t
+         FROM kept),
+sets AS (SELECT doc_id, list_distinct(list_transform(range(1, len(t) - 1), lambda i: array_to_string(t[i:i + 2], ' ')))
+           AS s FROM toks WHERE len(t) >= 3),
+rows_ AS (SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM sets),
+inter AS (SELECT a.doc_id AS id_a, b.doc_id AS id_b, count(*) AS n_inter, any_value(a.n) AS na, any_value(b.n) AS nb
+          FROM rows_ a JOIN rows_ b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+simpairs AS (SELECT id_a, id_b, n_inter, CAST(na + nb - n_inter AS BIGINT) AS n_union FROM inter
+             WHERE {K.JACCARD_DEN} * n_inter >= {K.JACCARD_NUM} * (na + nb - n_inter))
+"""
+
+
+@query("near_dup_pairs", "WITH " + _duck_near_pairs() + "SELECT id_a, id_b, n_inter, n_union FROM simpairs")
+def q_near_dup_pairs(spark, sf):
+    from .operators.dedup import dedup_exact
+    from .operators.neardup import shingle_sets, similar_pairs
+
+    kept = dedup_exact(docs(spark, sf), "doc_id", "text")
+    return similar_pairs(shingle_sets(kept, "doc_id", "text"))
+
+
+@query("dedup_near", "WITH RECURSIVE " + _duck_near_pairs() + """,
+edges AS (SELECT id_a AS s, id_b AS d FROM simpairs UNION SELECT id_b, id_a FROM simpairs),
+reach(s, d) AS (SELECT s, d FROM edges UNION SELECT r.s, e.d FROM reach r JOIN edges e ON e.s = r.d),
+dropped AS (SELECT s AS doc_id FROM reach GROUP BY s HAVING min(d) < s)
+SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM kept)
+  AND doc_id NOT IN (SELECT doc_id FROM dropped)""")
+def q_dedup_near(spark, sf):
+    from .operators.dedup import dedup_exact
+    from .operators.neardup import dedup_near
+
+    kept = dedup_exact(docs(spark, sf), "doc_id", "text")
+    return dedup_near(spark, kept, "doc_id", "text").select("doc_id", "lang")
