@@ -329,7 +329,10 @@ FIXTURES = {
 
 
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from .session import rebalance_inputs
+
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df.hint("rebalance") if rebalance_inputs(spark) else df
 
 
 def register_base(spark: SparkSession, sf_dir: str, name: str) -> str:

@@ -14,6 +14,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -21,12 +22,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
         .config("spark.sql.variant.allowDuplicateKeys", "true")
+        # local test files are single parquet row groups (one scan task each):
+        # rebalance base tables into small AQE partitions so all cores work
+        .config(REBALANCE_CONF, "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+REBALANCE_CONF = "spark.quarry.rebalanceInputs"
+
+
+def rebalance_inputs(spark: SparkSession) -> bool:
+    """Whether base tables are rebalanced after the scan (off unless configured).
+
+    Useful only when the input has fewer splits than cores (e.g. one large
+    parquet row group); on a cluster reading many files it would add a shuffle."""
+    return str(spark.conf.get(REBALANCE_CONF, "false")).lower() == "true"
+
+
 def configure(spark: SparkSession) -> None:
     """Session settings the library relies on; safe to call repeatedly.
 
