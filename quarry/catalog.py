@@ -630,9 +630,17 @@ def q_readme_funnel(spark, sf):
 SELECT repo_name, url, stars, language, description, readme, {S.tree_text('file_tree')} AS tree_text
 FROM ({S.records_sql()}) WHERE status = 'scraped'""")
 def q_readmes_job(spark, sf):
+    """README curation from landed JSON payloads."""
+    from .landing import land_payloads
     from .operators.repos import tree_text
+    from .plans.readmes import curate_readmes
+    from .sources import repos as RS
 
-    s = _readme_result(spark, sf).scraped
+    configure(spark)
+    root = land_payloads(spark, sf)
+    res = curate_readmes(RS.read_hits(spark, f"{root}/hits"), RS.read_readmes(spark, f"{root}/readmes"),
+                         RS.read_trees(spark, f"{root}/trees"), with_timestamp=False)
+    s = res.scraped
     return s.select("repo_name", "url", "stars", "language", "description", "readme",
                     tree_text("file_tree").alias("tree_text"))
 
@@ -1122,3 +1130,22 @@ def q_dedup_near(spark, sf):
 
     kept = dedup_exact(docs(spark, sf), "doc_id", "text")
     return dedup_near(spark, kept, "doc_id", "text").select("doc_id", "lang")
+
+
+@query("scan_repo_payloads", W(*REPO_FX) + """
+SELECT r.owner, r.name, CAST(r.stars AS BIGINT) AS stars, r.language, r.pushed_at, m.content IS NOT NULL AS has_readme,
+       CAST(len(t.tree) AS BIGINT) AS tree_items
+FROM fx_repos r LEFT JOIN fx_readmes m ON m.owner = r.owner AND m.name = r.name
+LEFT JOIN fx_trees t ON t.owner = r.owner AND t.name = r.name""")
+def q_scan_repo_payloads(spark, sf):
+    from .landing import land_payloads
+    from .sources import repos as RS
+
+    configure(spark)
+    root = land_payloads(spark, sf)
+    hits = RS.read_hits(spark, f"{root}/hits")
+    j = hits.join(RS.read_readmes(spark, f"{root}/readmes"), ["owner", "name"], "left").join(
+        RS.read_trees(spark, f"{root}/trees"), ["owner", "name"], "left")
+    return j.select("owner", "name", "stars", "language", "pushed_at",
+                    F.col("content").isNotNull().alias("has_readme"),
+                    F.when(F.col("tree").isNotNull(), F.size("tree")).cast("bigint").alias("tree_items"))

@@ -100,3 +100,21 @@ def land_shards(spark: SparkSession, sf_dir: str) -> str:
      .write.mode("overwrite").partitionBy("language", "split").option("compression", "gzip").text(root))
     spark.range(1).write.mode("overwrite").parquet(marker)
     return root
+
+
+def land_payloads(spark: SparkSession, sf_dir: str) -> str:
+    """Repository payloads as JSON lines: hits/ (nested owner), readmes/, trees/."""
+    root = landed_dir(spark, sf_dir, "payloads")
+    marker = f"{root}_landed"
+    if _done(spark, marker):
+        return root
+    repos = X.fixture(spark, sf_dir, "fx_repos")
+    repos.select(F.struct(F.col("owner").alias("login")).alias("owner"), "name", "html_url",
+                 F.col("stars").alias("stargazers_count"), "language", "description", "pushed_at").write.mode(
+        "overwrite").json(f"{root}/hits")
+    X.fixture(spark, sf_dir, "fx_readmes").select("owner", "name", "content").write.mode("overwrite").json(
+        f"{root}/readmes")
+    X.fixture(spark, sf_dir, "fx_trees").select("owner", "name", "tree").write.mode("overwrite").option(
+        "ignoreNullFields", "false").json(f"{root}/trees")
+    spark.range(1).write.mode("overwrite").parquet(marker)
+    return root
