@@ -16,8 +16,7 @@ from . import fixtures as X
 from . import oracle_sql as S
 from .functions import constants as K
 from .functions.quality import has_doc_marker, is_quality_doc
-from .functions.text import (clean_text, code_len, fence, hex_int, preview, py_strip, row_key,
-                             seeded_key)
+from .functions.text import clean_text, code_len, fence, preview, py_strip, row_key, seeded_key
 from .operators import alpaca
 from .plans import preprocess as P
 from .session import configure
@@ -324,8 +323,6 @@ def q_scan_corpus(spark, sf):
     return scan_corpus(spark, land_raw(spark, sf) + "/code_docstring_corpus")
 
 
-def unused(*_):  # keep imported helpers referenced for readers of this module
-    return hex_int
 
 
 # ------------------------------------------------------------------ P4: validation
@@ -1149,3 +1146,21 @@ def q_scan_repo_payloads(spark, sf):
     return j.select("owner", "name", "stars", "language", "pushed_at",
                     F.col("content").isNotNull().alias("has_readme"),
                     F.when(F.col("tree").isNotNull(), F.size("tree")).cast("bigint").alias("tree_items"))
+
+
+@query("readme_batch_roundtrip", W(*REPO_FX) + f"""
+SELECT repo_name, url, stars, language, description, readme, {S.tree_text('file_tree')} AS tree_text
+FROM ({S.records_sql()}) WHERE status = 'scraped'""")
+def q_readme_batch_roundtrip(spark, sf):
+    """B4: scraped records written under batch=<timestamp>/ and read back."""
+    from .landing import landed_dir
+    from .operators.repos import tree_text
+    from .plans.readmes import write_batch
+
+    scraped = _readme_result(spark, sf).scraped
+    root = landed_dir(spark, sf, "out/readme_batches")
+    write_batch(scraped, root, "20260101_000000")
+    schema = scraped.schema
+    back = spark.read.schema(schema).json(f"{root}/batch=20260101_000000")
+    return back.select("repo_name", "url", "stars", "language", "description", "readme",
+                       tree_text("file_tree").alias("tree_text"))
