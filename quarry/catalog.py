@@ -1068,17 +1068,49 @@ def q_stratified_split(spark, sf):
     return stratified_split(ex).select(*alpaca.EXAMPLE_COLUMNS, "split")
 
 
+def _duck_near_pairs(src: str = "kept", id_col: str = "doc_id", text_col: str = "text", p: str = "",
+                     kept_sql: str | None = None) -> str:
+    """CTEs ending in ``{p}simpairs`` (id_a, id_b, n_inter, n_union) over ``src``."""
+    ws = f"[{S.B}]+"
+    if kept_sql is None:
+        kept_sql = f"""{src} AS (SELECT doc_id, text FROM documents
+         WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY md5({S.normalized('text')}))),"""
+    return f"""
+{kept_sql}
+{p}toks AS (SELECT {id_col} AS id, list_filter(string_split_regex(lower(coalesce({text_col}, '')), {S.q(ws)}),
+                                           lambda w: w <> '') AS t FROM {src}),
+{p}sets AS (SELECT id, list_distinct(list_transform(range(1, len(t) - 1), lambda i: array_to_string(t[i:i + 2], ' ')))
+           AS s FROM {p}toks WHERE len(t) >= 3),
+{p}rows AS (SELECT id, len(s) AS n, unnest(s) AS sh FROM {p}sets),
+{p}inter AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS n_inter, any_value(a.n) AS na, any_value(b.n) AS nb
+          FROM {p}rows a JOIN {p}rows b ON a.sh = b.sh AND a.id < b.id GROUP BY 1, 2),
+{p}simpairs AS (SELECT id_a, id_b, n_inter, CAST(na + nb - n_inter AS BIGINT) AS n_union FROM {p}inter
+             WHERE {K.JACCARD_DEN} * n_inter >= {K.JACCARD_NUM} * (na + nb - n_inter))
+"""
+
+
 def _documented_sql() -> str:
-    kept = f"""
-SELECT * FROM ({S.ex_all()}) e
-WHERE ck IN (SELECT min(ck) FROM ({S.ex_all()})
-             GROUP BY md5({S.normalized('input')} || chr(31) || {S.normalized('output')}))
-  AND {S.detect_language('output')} = 'en' AND {S.tokens_ok('input', 'output')} AND {S.reason('output')} IS NULL"""
-    strat = f"SELECT *, {S.length_bucket('output')} AS length_bucket, {S.task_type('source')} AS task_type FROM ({kept})"
-    return f"SELECT {EX5}, split FROM ({S.split_sql(strat, partition='language, length_bucket, task_type')})"
+    ex = S.ex_all()
+    k1 = f"""k1 AS (SELECT * FROM ({ex}) e
+  WHERE ck IN (SELECT min(ck) FROM ({ex})
+               GROUP BY md5({S.normalized('input')} || chr(31) || {S.normalized('output')}))),"""
+    near = _duck_near_pairs(src="k1", id_col="ck", text_col="output", p="nd_", kept_sql=k1)
+    comps = """,
+nd_edges AS (SELECT id_a AS s, id_b AS d FROM nd_simpairs UNION SELECT id_b, id_a FROM nd_simpairs),
+nd_reach(s, d) AS (SELECT s, d FROM nd_edges UNION SELECT r.s, e.d FROM nd_reach r JOIN nd_edges e ON e.s = r.d),
+nd_dropped AS (SELECT s AS ck FROM nd_reach GROUP BY s HAVING min(d) < s),"""
+    k3 = f"""
+k3 AS (SELECT * FROM k1 WHERE ck NOT IN (SELECT ck FROM nd_dropped)
+         AND {S.detect_language('output')} = 'en' AND {S.tokens_ok('input', 'output')}),
+bp AS ({S.boilerplate_sql('k3', 'ck', 'output')}),
+k4 AS (SELECT k3.* FROM k3 JOIN bp ON bp.ck = k3.ck WHERE {S.reason('k3.output', 'bp.boilerplate_ratio')} IS NULL)
+"""
+    strat = f"SELECT *, {S.length_bucket('output')} AS length_bucket, {S.task_type('source')} AS task_type FROM k4"
+    return (near + comps + k3 +
+            f"SELECT {EX5}, split FROM ({S.split_sql(strat, partition='language, length_bucket, task_type')})")
 
 
-@query("documented_job", W(*ALL_FX) + _documented_sql())
+@query("documented_job", W(*ALL_FX).replace("WITH ", "WITH RECURSIVE ", 1) + ", " + _documented_sql())
 def q_documented_job(spark, sf):
     from .plans.documented import documented_preprocess
 
@@ -1089,23 +1121,6 @@ def q_documented_job(spark, sf):
 # ------------------------------------------------------------------ I3: near duplicates
 
 
-def _duck_near_pairs() -> str:
-    ws = f"[{S.B}]+"
-    return f"""
-kept AS (SELECT doc_id, text FROM documents
-         WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY md5({S.normalized('text')}))),
-toks AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), {S.q(ws)}), lambda w: w <> '') AS t
-         FROM kept),
-sets AS (SELECT doc_id, list_distinct(list_transform(range(1, len(t) - 1), lambda i: array_to_string(t[i:i + 2], ' ')))
-           AS s FROM toks WHERE len(t) >= 3),
-rows_ AS (SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM sets),
-inter AS (SELECT a.doc_id AS id_a, b.doc_id AS id_b, count(*) AS n_inter, any_value(a.n) AS na, any_value(b.n) AS nb
-          FROM rows_ a JOIN rows_ b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
-simpairs AS (SELECT id_a, id_b, n_inter, CAST(na + nb - n_inter AS BIGINT) AS n_union FROM inter
-             WHERE {K.JACCARD_DEN} * n_inter >= {K.JACCARD_NUM} * (na + nb - n_inter))
-"""
-
-
 @query("near_dup_pairs", "WITH " + _duck_near_pairs() + "SELECT id_a, id_b, n_inter, n_union FROM simpairs")
 def q_near_dup_pairs(spark, sf):
     from .operators.dedup import dedup_exact
