@@ -1091,10 +1091,11 @@ def _duck_near_pairs(src: str = "kept", id_col: str = "doc_id", text_col: str =
 
 def _documented_sql() -> str:
     ex = S.ex_all()
-    k1 = f"""k1 AS (SELECT * FROM ({ex}) e
-  WHERE ck IN (SELECT min(ck) FROM ({ex})
-               GROUP BY md5({S.normalized('input')} || chr(31) || {S.normalized('output')}))),"""
-    near = _duck_near_pairs(src="k1", id_col="ck", text_col="output", p="nd_", kept_sql=k1)
+    # one row per normalized (input, output): the one with the smallest content key
+    k1 = f"""k1 AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY md5({S.normalized('input')} || chr(31) || {S.normalized('output')})
+                               ORDER BY ck) AS rn FROM ({ex})) WHERE rn = 1),"""
+    near = _duck_near_pairs(src="k1", id_col="ck", text_col="(input || chr(10) || output)", p="nd_", kept_sql=k1)
     comps = """,
 nd_edges AS (SELECT id_a AS s, id_b AS d FROM nd_simpairs UNION SELECT id_b, id_a FROM nd_simpairs),
 nd_reach(s, d) AS (SELECT s, d FROM nd_edges UNION SELECT r.s, e.d FROM nd_reach r JOIN nd_edges e ON e.s = r.d),
