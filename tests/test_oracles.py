@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as E
 from conftest import SMALL_SF
 from oracle_check import compare
+from quarry import catalog
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = catalog.ORACLES
 
 
 def test_every_query_has_an_oracle_or_is_listed():
