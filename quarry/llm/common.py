@@ -43,3 +43,16 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
 def id_remainder(column: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (null ids: crc32 of '')."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def write_shared(spark: SparkSession, name: str, data: bytes) -> str:
+    """Write a small file of the driver into the shared folder; returns its URI."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/{name}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(path, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    return files.makeQualified(path).toString()
