@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, common, toxicity
+from quarry.llm import bpe, common, neardup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +26,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.roundtrip(common.table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(common.table(spark, sf_dir, "documents"))
