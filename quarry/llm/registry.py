@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, common, neardup, toxicity
+from quarry.llm import bpe, common, neardup, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(common.table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_blob_ledger"] = secrets.oracle_sql()
