@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, common, neardup, secrets, toxicity
+from quarry.llm import bpe, common, neardup, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,11 @@ def op10_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_blob_ledger"] = secrets.oracle_sql()
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.roundtrip(common.table(spark, sf_dir, "pages"))
+
+
+ORACLES["op9_warc"] = warc.ORACLE_SQL
