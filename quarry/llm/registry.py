@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, common, neardup, secrets, toxicity, warc
+from quarry.llm import bpe, common, neardup, quality, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,11 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_warc"] = warc.ORACLE_SQL
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(common.table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_quality"] = quality.oracle_sql()
