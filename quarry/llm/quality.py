@@ -51,7 +51,7 @@ class Threshold:
 THRESHOLDS = (
     Threshold("word_length", "word_chars / greatest(n_words, 1)", 2.0, 20.0),
     Threshold("symbol_ratio", "n_symbols / greatest(n_words, 1)", None, 0.5),
-    Threshold("stop_word_ratio", "n_stop / greatest(n_words, 1)", 0.02, None),
+    Threshold("stop_word_ratio", "(n_stop + 1) / greatest(n_words, 1)", 0.02, None),
     Threshold("duplicate_line_ratio", "n_dup_lines / greatest(n_lines, 1)", None, 0.5),
     Threshold("bullet_line_ratio", "n_bullets / greatest(n_lines, 1)", None, 0.9),
     Threshold("ellipsis_line_ratio", "n_ellipses / greatest(n_lines, 1)", None, 0.5),
