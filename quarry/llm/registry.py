@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, common, langid, neardup, quality, secrets, toxicity, warc
+from quarry.llm import bpe, common, langid, lm, neardup, quality, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,8 @@ ORACLES["op4_quality"] = quality.oracle_sql()
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.train(docs))
+
+
+@query
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(common.table(spark, sf_dir, "documents"))
