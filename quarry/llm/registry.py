@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, common, langid, lm, neardup, quality, secrets, toxicity, warc
+from quarry.llm import bpe, common, covertree, langid, lm, neardup, quality, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,11 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(common.table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.top_k(common.table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op8_cover_tree"] = covertree.oracle_sql()
