@@ -1,16 +1,20 @@
-"""Exact ranking, caps, splits and samples without a single-partition sort.
+"""Exact ranking, caps, splits and samples without a global sort.
 
 ``ordered_slices`` is the one custom plan pattern: it gives every row the slice
 of its exact position in a hash order (as ``row_number() over (order by key)``
-would), but
-
-* identical rows are first collapsed with a map-side-combined count, so a value
-  copied into a third of the table is one row in every shuffle;
-* positions come from a bucketed cumulative count: a tiny per-bucket total
-  table (at most 16**digits rows per partition value) plus a window inside each
-  bucket, so no task sees more than one bucket;
-* copies are expanded back at the end; groups larger than ``chunk_rows`` are cut
-  into chunks that are spread over tasks before they are expanded.
+would).  Only the cut points matter:
+
+* counts per (group, key prefix) tell which prefix bucket holds each cut; they
+  are combined map-side and carry no other column;
+* the keys of those few buckets alone are ranked, which gives each cut a key
+  and, where equal keys straddle it, the number of them below it;
+* every row is then labelled where it stands, by comparing its key with the cuts
+  of its group.  Only rows whose key straddles a cut are counted and numbered;
+  identical ones are one row in that shuffle, and groups larger than
+  ``chunk_rows`` are cut into chunks that are spread over tasks.
+
+So no content column is shuffled, whatever the size of the table or the skew of
+its groups, and nothing is checkpointed.
 """
 
 from __future__ import annotations
@@ -19,18 +23,44 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from ..session import scratch_dir
+from pyspark.sql import types as T
 
 CHUNK_ROWS = 100_000
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
+DIGITS = 4  # leading hex digits of a bucket: 65,536 buckets in a group
+LOCAL_GROUPS = 20_000  # cut tables of so many groups at most are sent to every task
+
+
+def _cuts(df: DataFrame, key: str, bounds: Callable[[Column], list[Column]], part: list[str], digits: int) -> DataFrame:
+    """One row per group: ``cuts``, an array of (key, take) by cut number.
+
+    A row is above cut i if its key is greater than the cut's, or equal and at
+    least ``take`` equal keys come before it.  A null key: nothing is above."""
+    keys = df.select(*part, F.col(key).alias("_k")).withColumn("_b", F.substring("_k", 1, digits))
+    counts = keys.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    # at most 16**digits rows of each group; a window over counts, not over rows
+    order = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*part)
+    placed = counts.withColumn("_end", F.sum("_c").over(order)).withColumn("_n", F.sum("_c").over(whole))
+    ends = F.array(*[b.cast("bigint") for b in bounds(F.col("_n"))])
+    wanted = (
+        placed.select(*part, "_b", (F.col("_end") - F.col("_c")).alias("_start"), "_end", F.posexplode(ends).alias("_i", "_at"))
+        .filter((F.col("_at") >= F.col("_start")) & (F.col("_at") < F.col("_end")))
+    )
+    # rank the keys of the buckets that hold a cut
+    held = wanted.groupBy(*part, "_b").agg(F.min("_start").alias("_start"), F.collect_list(F.struct("_i", "_at")).alias("_wanted"))
+    same = held.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(part)], F.col("_b").alias("_hb"), "_start", "_wanted")
+    on = F.col("_b") == F.col("_hb")
+    for i, c in enumerate(part):
+        on = on & F.col(c).eqNullSafe(F.col(f"_p{i}"))
+    near = keys.groupBy(*part, "_b", "_k").agg(F.count(F.lit(1)).alias("_c")).join(same, on)
+    order = Window.partitionBy(*part, "_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = near.withColumn("_to", F.col("_start") + F.sum("_c").over(order)).withColumn("_from", F.col("_to") - F.col("_c"))
+    crossing = (
+        ranked.select(*part, "_k", "_from", "_to", F.explode("_wanted").alias("_w"))
+        .filter((F.col("_w._at") >= F.col("_from")) & (F.col("_w._at") < F.col("_to")))
+        .select(*part, F.struct(F.col("_w._i").alias("i"), F.col("_k").alias("key"), (F.col("_w._at") - F.col("_from")).alias("take")).alias("_cut"))
+    )
+    return crossing.groupBy(*part).agg(F.collect_list("_cut").alias("_cuts"))
 
 
 def ordered_slices(
@@ -40,9 +70,8 @@ def ordered_slices(
     partition_by: Sequence[str] = (),
     keep: Sequence[int] | None = None,
     slice_col: str = "slice",
-    digits: int = 3,
+    digits: int = DIGITS,
     chunk_rows: int = CHUNK_ROWS,
-    materialize: bool = True,
 ) -> DataFrame:
     """Label rows by the slice their rank falls in.
 
@@ -50,75 +79,58 @@ def ordered_slices(
     ``partition_by`` group.  ``bounds(n)`` maps the group size ``n`` to the
     cumulative slice ends ``[b1, b2, ...]``: rank r (0-based) is in slice i when
     ``b_i <= r < b_{i+1}`` (b_0 = 0, last slice open).  Only ``keep`` slices are
-    returned.  Rows with the same key must be interchangeable (equal key means
-    equal content); distinct rows sharing a key are tie-broken by their content
-    hash, so the result stays deterministic.
-    """
-    part = list(partition_by)
-    other = [c for c in df.columns if c not in part and c != key]
-    bcol, ccol, startcol, ncol = "_q_bucket", "_q_count", "_q_start", "_q_n"
-
-    # 1. collapse identical rows (partial aggregation before the shuffle)
-    grouped = df.groupBy(*part, key, *other).agg(F.count(F.lit(1)).alias(ccol))
-    grouped = grouped.withColumn("_q_tie", F.xxhash64(*other) if other else F.lit(0))
-    grouped = grouped.withColumn(bcol, F.substring(F.col(key), 1, digits))
-
-    # 2. exact start offsets: bucket totals (bounded table) + window inside buckets
-    totals = grouped.groupBy(*part, bcol).agg(F.sum(ccol).alias("_q_btot"))
-    wp = Window.partitionBy(*part).orderBy(bcol) if part else Window.orderBy(bcol)
-    wall = Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))
-    totals = totals.select(
-        *part,
-        bcol,
-        F.coalesce(F.sum("_q_btot").over(wp.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_q_bstart"),
-        F.sum("_q_btot").over(wall).alias(ncol),
-    )
-    wb = Window.partitionBy(*part, bcol).orderBy(key, "_q_tie", *other)
-    within = grouped.withColumn(
-        "_q_in", F.coalesce(F.sum(ccol).over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    )
-    if not part:
-        totals = F.broadcast(totals)  # at most 16**digits rows
-    joined = within.join(totals, _null_safe_on(within, totals, [*part, bcol]), "inner").select(
-        *[within[c] for c in [*part, key, *other, ccol]],
-        (totals["_q_bstart"] + within["_q_in"]).alias(startcol),
-        totals[ncol],
-    )
+    returned.  Distinct rows sharing a key are ordered by their content hash.
 
-    # 3. split each group's [start, start + count) over the slice intervals
-    ends = [b.cast("bigint") for b in bounds(F.col(ncol))]
-    s, e = F.col(startcol), F.col(startcol) + F.col(ccol)
-    lows = [F.lit(0).cast("bigint"), *ends]
-    pieces = []
-    for i, lo in enumerate(lows):
-        hi = ends[i] if i < len(ends) else e
-        n_i = F.greatest(F.lit(0).cast("bigint"), F.least(e, hi) - F.greatest(s, lo))
-        pieces.append(F.struct(F.lit(i).alias("i"), n_i.alias("n")))
-    keep_set = list(range(len(lows))) if keep is None else list(keep)
-    sliced = joined.select(
-        *part, key, *other,
-        F.explode(F.filter(F.array(*pieces), lambda p: (p["n"] > 0) & p["i"].isin(keep_set))).alias("_q_p"),
-    ).select(*part, key, *other, F.col("_q_p.i").alias(slice_col), F.col("_q_p.n").alias("_q_n"))
-
-    if materialize:
-        scratch_dir(df.sparkSession)
-        sliced = sliced.checkpoint(eager=True)
-
-    # 4. expand copies; large groups are chunked and spread before expansion
+    The cut table (one small row per group) is computed when this is called: up
+    to ``LOCAL_GROUPS`` groups it goes to every task, beyond that it is joined.
+    """
+    spark, part = df.sparkSession, list(partition_by)
+    cuts = _cuts(df, key, bounds, part, digits)
+    rows = cuts.limit(LOCAL_GROUPS + 1).collect()
+    small = len(rows) <= LOCAL_GROUPS
+    if small:
+        cuts = spark.createDataFrame(rows, T.StructType(cuts.schema.fields))
+    names = {c: f"_g{i}" for i, c in enumerate(part)}
+    cuts = cuts.select(*[F.col(c).alias(n) for c, n in names.items()], "_cuts")
+    on = F.lit(True)
+    for c, n in names.items():
+        on = on & F.col(c).eqNullSafe(F.col(n))
+    joined = df.join(F.broadcast(cuts) if small else cuts, on, "left").drop(*names.values())
+    cut = F.coalesce("_cuts", F.array().cast(cuts.schema["_cuts"].dataType))
+    joined = joined.withColumn("_cuts", cut)
+    k = F.col(key)
+    astride = F.exists("_cuts", lambda c: (c["key"] == k) & (c["take"] > 0))
+
+    def above(rank: Column) -> Column:
+        """How many cuts a row is above, given its rank among equal keys."""
+        return F.size(F.filter("_cuts", lambda c: (k > c["key"]) | ((k == c["key"]) & (rank >= c["take"])))).cast("int")
+
+    keep_set = None if keep is None else [int(i) for i in keep]
     out_cols = [*df.columns, slice_col]
-    small = sliced.filter(F.col("_q_n") <= chunk_rows).select(
-        *out_cols, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_q_n"))).alias("_q_x")
-    )
-    big = (
-        sliced.filter(F.col("_q_n") > chunk_rows)
-        .select(*out_cols, "_q_n", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                         F.ceil(F.col("_q_n") / chunk_rows) - 1)).alias("_q_c"))
-        .repartition(key, "_q_c")
-        .select(*out_cols, F.explode(F.sequence(
-            F.lit(1).cast("bigint"),
-            F.least(F.lit(chunk_rows).cast("bigint"), F.col("_q_n") - F.col("_q_c") * chunk_rows))).alias("_q_x"))
-    )
-    return small.select(*out_cols).unionByName(big.select(*out_cols))
+    clear = joined.filter(~astride).withColumn(slice_col, above(F.lit(0)))
+    if keep_set is not None:
+        clear = clear.filter(F.col(slice_col).isin(keep_set))
+
+    # rows whose key straddles a cut: identical ones are counted, then numbered
+    other = [c for c in df.columns if c not in part and c != key]
+    groups = joined.filter(astride).groupBy(*df.columns, "_cuts").agg(F.count(F.lit(1)).alias("_c"))
+    order = Window.partitionBy(*part, key).orderBy(F.xxhash64(*other) if other else F.lit(0), *other)
+    groups = groups.withColumn("_s", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_c"))
+    # a group's ranks [s, s + c) are split at the cuts of its key
+    takes = F.transform(F.filter("_cuts", lambda c: c["key"] == k), lambda c: c["take"])
+    start, end = F.col("_s"), F.col("_s") + F.col("_c")
+    marks = F.array_sort(F.array_distinct(F.concat(F.array(start), F.filter(takes, lambda t: (t > start) & (t < end)))))
+    pieces = groups.withColumn("_marks", marks).select("*", F.posexplode("_marks").alias("_m", "_lo"))
+    pieces = pieces.withColumn("_hi", F.coalesce(F.get("_marks", F.col("_m") + 1), end)).withColumn(slice_col, above(F.col("_lo")))
+    pieces = pieces.withColumn("_len", F.col("_hi") - F.col("_lo"))
+    if keep_set is not None:
+        pieces = pieces.filter(F.col(slice_col).isin(keep_set))
+    # copies are expanded in chunks, large ones spread over tasks first
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_len") - 1) / chunk_rows))
+    spread = pieces.select(*out_cols, "_len", F.explode(chunks).alias("_chunk")).repartition(key, "_chunk")
+    size = F.least(F.lit(chunk_rows).cast("bigint"), F.col("_len") - F.col("_chunk") * chunk_rows)
+    copies = spread.select(*out_cols, F.explode(F.sequence(F.lit(1).cast("bigint"), size)).alias("_x"))
+    return clear.select(*out_cols).unionByName(copies.select(*out_cols))
 
 
 def split_bounds(train_ratio: float, val_ratio: float) -> Callable[[Column], list[Column]]:
@@ -147,22 +159,18 @@ def exact_split(
     val_ratio: float,
     partition_by: Sequence[str] = (),
     split_col: str = "split",
-    materialize: bool = True,
 ) -> DataFrame:
     """Exact train/val/test split in ``key`` order (per stratum if given)."""
-    out = ordered_slices(df, key, split_bounds(train_ratio, val_ratio), partition_by,
-                         slice_col="_q_slice", materialize=materialize)
+    out = ordered_slices(df, key, split_bounds(train_ratio, val_ratio), partition_by, slice_col="_q_slice")
     names = F.element_at(F.array(*[F.lit(x) for x in SPLIT_NAMES]), F.col("_q_slice") + 1)
     return out.withColumn(split_col, names).drop("_q_slice")
 
 
-def cap_per_group(df: DataFrame, key: str, n_max: int, partition_by: Sequence[str] = (),
-                  materialize: bool = True) -> DataFrame:
+def cap_per_group(df: DataFrame, key: str, n_max: int, partition_by: Sequence[str] = ()) -> DataFrame:
     """First ``n_max`` rows of each group in ``key`` order; n_max <= 0 = no cap."""
     if n_max <= 0:
         return df
-    out = ordered_slices(df, key, cap_bounds(n_max), partition_by, keep=[0], slice_col="_q_slice",
-                         materialize=materialize)
+    out = ordered_slices(df, key, cap_bounds(n_max), partition_by, keep=[0], slice_col="_q_slice")
     return out.drop("_q_slice")
 
 
@@ -180,9 +188,9 @@ def top_k_per_group(df: DataFrame, k: int, partition_by: Sequence[str], order: S
     return out.drop("_q_rn")
 
 
-def head_in_order(df: DataFrame, key: str, n: int, materialize: bool = True) -> DataFrame:
+def head_in_order(df: DataFrame, key: str, n: int) -> DataFrame:
     """First n rows in ``key`` order; n <= 0 = all rows."""
-    return cap_per_group(df, key, n, (), materialize=materialize)
+    return cap_per_group(df, key, n, ())
 
 
 def sample_n(df: DataFrame, key: str, n: int) -> DataFrame:

@@ -30,13 +30,12 @@ def language_quota(max_examples: int, n_languages: int) -> int:
     return max_examples // max(n_languages, 1)
 
 
-def cap_per_language(df: DataFrame, quota: int, content_cols: list[str], seed: int = K.DEFAULT_SEED,
-                     materialize: bool = True) -> DataFrame:
+def cap_per_language(df: DataFrame, quota: int, content_cols: list[str], seed: int = K.DEFAULT_SEED) -> DataFrame:
     """First ``quota`` rows per language in a seeded content-hash order."""
     if quota <= 0:
         return df
     keyed = df.withColumn("_kc", seeded_key(seed, "cap", row_key(*content_cols)))
-    return cap_per_group(keyed, "_kc", quota, ["language"], materialize=materialize).drop("_kc")
+    return cap_per_group(keyed, "_kc", quota, ["language"]).drop("_kc")
 
 
 PAIR_COLS = ["code", "docstring", "language", "repo", "path"]

@@ -57,17 +57,16 @@ def effective_cap(max_per_source: int, dry_run: bool) -> int:
     return min(caps) if caps else 0
 
 
-def cap_sources(examples: DataFrame, cap: int, seed: int, materialize: bool = True) -> DataFrame:
+def cap_sources(examples: DataFrame, cap: int, seed: int) -> DataFrame:
     if cap <= 0:
         return examples
     keyed = examples.withColumn("_kc", seeded_key(seed, "cap", "_ck"))
-    return cap_per_group(keyed, "_kc", cap, ["source"], materialize=materialize).drop("_kc")
+    return cap_per_group(keyed, "_kc", cap, ["source"]).drop("_kc")
 
 
-def split_examples(examples: DataFrame, train_ratio: float, val_ratio: float, seed: int,
-                   materialize: bool = True) -> DataFrame:
+def split_examples(examples: DataFrame, train_ratio: float, val_ratio: float, seed: int) -> DataFrame:
     keyed = examples.withColumn("_ks", seeded_key(seed, "split", "_ck"))
-    return exact_split(keyed, "_ks", train_ratio, val_ratio, materialize=materialize).drop("_ks")
+    return exact_split(keyed, "_ks", train_ratio, val_ratio).drop("_ks")
 
 
 def processor_table(spark: SparkSession) -> DataFrame:
@@ -116,14 +115,13 @@ def preprocess(
     seed: int = K.DEFAULT_SEED,
     max_per_source: int = 0,
     dry_run: bool = False,
-    materialize: bool = True,
 ) -> PreprocessResult:
     """The preprocessing job; writes only when ``out_dir`` is given and not a dry run."""
     if sources is None:
         sources = read_sources(spark, raw_dir)
     examples = convert_sources(sources, seed)
-    examples = cap_sources(examples, effective_cap(max_per_source, dry_run), seed, materialize)
-    split = split_examples(examples, train_ratio, val_ratio, seed, materialize)
+    examples = cap_sources(examples, effective_cap(max_per_source, dry_run), seed)
+    split = split_examples(examples, train_ratio, val_ratio, seed)
     result = PreprocessResult(
         examples=examples,
         split=split.drop("_ck"),

@@ -43,7 +43,7 @@ def test_split_matches_sort_with_hot_value_and_chunks(spark):
         from quarry.operators import ranking
 
         out = ranking.ordered_slices(df.select("v", "k"), "k", ranking.split_bounds(0.8, 0.1),
-                                     slice_col="s", chunk_rows=chunk, materialize=chunk == 7)
+                                     slice_col="s", chunk_rows=chunk)
         out = out.withColumn("split", F.element_at(F.array(*[F.lit(x) for x in ranking.SPLIT_NAMES]),
                                                    F.col("s") + 1))
         got = _counts(out, ["v", "split"])
@@ -69,3 +69,27 @@ def test_top_k_per_group(spark):
     df = spark.createDataFrame([(g, i) for g in "xyz" for i in range(50)], "g string, i int")
     out = top_k_per_group(df, 3, ["g"], [F.col("i").desc()])
     assert sorted((r.g, r.i) for r in out.collect()) == [(g, i) for g in "xyz" for i in (47, 48, 49)]
+
+
+def test_slices_shuffle_no_content(spark):
+    rows = [(f"text {i % 997}", i % 3) for i in range(5000)]
+    df = spark.createDataFrame(rows, "v string, g int").withColumn("k", F.md5("v"))
+    out = exact_split(df, "k", 0.8, 0.1, ["g"])
+    for g in (0, 1, 2):
+        got = _counts(out.filter(F.col("g") == g), ["split"])
+        n = len([1 for _, x in rows if x == g])
+        assert got[("train",)] == int(n * 0.8) and got[("val",)] == int(n * 0.1)
+    plan = out._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Union":
+        plan = plan.children().apply(0)
+    clear = plan.children().apply(0).toString()
+    assert not any(x in clear for x in ("Repartition", "Window", "Aggregate"))
+
+
+def test_groups_beyond_the_local_limit_are_joined(spark, monkeypatch):
+    from quarry.operators import ranking
+
+    monkeypatch.setattr(ranking, "LOCAL_GROUPS", 2)
+    df = spark.createDataFrame([(f"v{i}", i % 7 or None) for i in range(700)], "v string, g int").withColumn("k", F.md5("v"))
+    got = _counts(cap_per_group(df, "k", 30, ["g"]), ["g"])
+    assert got == {(g,): 30 for g in (None, 1, 2, 3, 4, 5, 6)}
