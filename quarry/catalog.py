@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import fixtures as X
@@ -384,7 +384,7 @@ def q_line_numbers(spark, sf):
     """Line numbers recovered from the files, matched to the fixture's doc_id order."""
     v = _validated(spark, sf)
     lines = fx(spark, sf, "fx_lines")
-    w = __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("shard").orderBy("doc_id")
+    w = Window.partitionBy("shard").orderBy("doc_id")
     expected = lines.withColumn("line_no", F.row_number().over(w)).select("shard", "line_no", "doc_id")
     return v.select(F.col("file").alias("shard"), "line_no").join(expected, ["shard", "line_no"], "left")
 
@@ -517,7 +517,7 @@ def q_validate_job(spark, sf):
     from .plans.validate import validate_dir
 
     configure(spark)
-    rep = validate_dir(spark, land_lines(spark, sf), glob="*.txt", recursive=True, persist=False)
+    rep = validate_dir(spark, land_lines(spark, sf), glob="*.txt", recursive=True)
     out = rep.summary.join(rep.stats, "file", "left")
     return out.select(F.regexp_extract("file", r"shard=([^/]+)/", 1).alias("shard"), "total", "valid", "invalid",
                       "avg_input_length", "avg_output_length", "min_input_length", "max_input_length")
@@ -526,11 +526,12 @@ def q_validate_job(spark, sf):
 # ------------------------------------------------------------- P2 / P5: READMEs
 
 
-def _readme_result(spark, sf):
+def _readme_result(spark, sf, limit=None):
+    """Curated READMEs of all selected repositories, or of the top ``limit``."""
     from .plans.readmes import curate_readmes
 
     return curate_readmes(fx(spark, sf, "fx_repos"), fx(spark, sf, "fx_readmes"), fx(spark, sf, "fx_trees"),
-                          with_timestamp=False)
+                          limit=limit, with_timestamp=False)
 
 
 REPO_FX = ("fx_repos", "fx_readme_text", "fx_readmes", "fx_trees")
@@ -589,7 +590,7 @@ def q_select_repos(spark, sf):
 
 @query("topk_repos", W("fx_repos") + f"SELECT language, owner, name, stars FROM ({S.top_repos_sql()})")
 def q_topk_repos(spark, sf):
-    return _readme_result(spark, sf).selected.select("language", "owner", "name", "stars")
+    return _readme_result(spark, sf, K.SCRAPE_LIMIT).selected.select("language", "owner", "name", "stars")
 
 
 @query("join_repo_payloads", W(*REPO_FX) + """
@@ -606,7 +607,7 @@ def q_join_repo_payloads(spark, sf):
 
 @query("compose_repo_record", W(*REPO_FX) + f"""
 SELECT repo_name, url, stars, language, description, readme, {S.tree_text('file_tree')} AS tree_text, status
-FROM ({S.records_sql()})""")
+FROM ({S.records_sql(None)})""")
 def q_compose_repo_record(spark, sf):
     from .operators.repos import tree_text
 
@@ -620,7 +621,7 @@ SELECT count(*) AS found, count(*) FILTER (WHERE status = 'scraped') AS scraped,
        count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status = 'filtered') AS filtered
 FROM ({S.records_sql()})""")
 def q_readme_funnel(spark, sf):
-    return _readme_result(spark, sf).funnel
+    return _readme_result(spark, sf, K.SCRAPE_LIMIT).funnel
 
 
 @query("readmes_job", W(*REPO_FX) + f"""
@@ -643,7 +644,7 @@ def q_readmes_job(spark, sf):
 
 
 @query("prompt_repo_context", W(*REPO_FX) + f"""
-SELECT repo_name, {S.repo_prompt('repo_name', 'file_tree')} AS prompt FROM ({S.records_sql()})
+SELECT repo_name, {S.repo_prompt('repo_name', 'file_tree')} AS prompt FROM ({S.records_sql(None)})
 WHERE status = 'scraped'""")
 def q_prompt_repo_context(spark, sf):
     from .operators.repos import repo_context_prompt
@@ -657,7 +658,7 @@ def _readme_examples_sql() -> str:
 SELECT {S.template('readme_gen', 'ck')} AS instruction, input, output, source, language FROM (
   SELECT *, {S.rowkey('source', 'language', "''", 'input', 'output')} AS ck FROM (
     SELECT {S.repo_prompt('repo_name', 'file_tree')} AS input, readme AS output, 'github_readme' AS source, language
-    FROM ({S.records_sql()}) WHERE status = 'scraped'))"""
+    FROM ({S.records_sql(None)}) WHERE status = 'scraped'))"""
 
 
 @query("readme_examples_job", W(*REPO_FX) + _readme_examples_sql())
@@ -670,8 +671,7 @@ def q_readme_examples_job(spark, sf):
 # ------------------------------------------------------------------ P1: ingest
 
 PAIR5 = "code, docstring, language, repo, path"
-INGEST_MAX = 300  # -> 50 per language over 6 languages
-FILES_MAX = 600  # -> 100 per language over 6 languages
+CAP_MAX = 300  # of cap_per_language: 50 per language over 6 languages; the jobs are uncapped
 
 
 def _shard_pairs(spark, sf):
@@ -690,12 +690,14 @@ shard_pairs AS (
          coalesce(repo, '') AS repo, coalesce(path, '') AS path
   FROM fx_pairs WHERE shard = 'train' AND NOT broken_line),
 ingested AS (
+  SELECT {PAIR5} FROM shard_pairs
+  WHERE code <> '' AND docstring <> '' AND length({S.strip('docstring')}) > 10),
+capped AS (
   SELECT {PAIR5} FROM (
     SELECT *, row_number() OVER (PARTITION BY language ORDER BY
              {S.seeded(42, 'cap', S.rowkey('code', 'docstring', 'language', 'repo', 'path'))}) AS rk
-    FROM shard_pairs
-    WHERE code <> '' AND docstring <> '' AND length({S.strip('docstring')}) > 10)
-  WHERE rk <= {INGEST_MAX // 6})
+    FROM ingested)
+  WHERE rk <= {CAP_MAX // 6})
 """
 
 
@@ -708,16 +710,15 @@ def q_scan_jsonl_pairs(spark, sf):
 def q_ingest_job(spark, sf):
     from .plans.ingest import ingest_job
 
-    return ingest_job(spark, _shard_pairs(spark, sf), max_examples=INGEST_MAX).pairs
+    return ingest_job(spark, _shard_pairs(spark, sf)).pairs
 
 
 @query("cap_per_language", W("fx_pairs") + ", " + _DUCK_SHARD_PAIRS +
-       "SELECT language, count(*) AS n FROM ingested GROUP BY language")
+       f"SELECT {PAIR5} FROM capped")
 def q_cap_per_language(spark, sf):
     from .plans.ingest import ingest_pairs
 
-    out = ingest_pairs(_shard_pairs(spark, sf), max_examples=INGEST_MAX)
-    return out.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
+    return ingest_pairs(_shard_pairs(spark, sf), max_examples=CAP_MAX)
 
 
 @query("ingest_stats", W("fx_pairs") + ", " + _DUCK_SHARD_PAIRS +
@@ -725,7 +726,7 @@ def q_cap_per_language(spark, sf):
 def q_ingest_stats(spark, sf):
     from .plans.ingest import ingest_job
 
-    return ingest_job(spark, _shard_pairs(spark, sf), max_examples=INGEST_MAX).stats
+    return ingest_job(spark, _shard_pairs(spark, sf)).stats
 
 
 @query("sink_parquet_roundtrip", W("fx_pairs") + ", " + _DUCK_SHARD_PAIRS + f"SELECT {PAIR5} FROM ingested")
@@ -734,21 +735,17 @@ def q_sink_parquet_roundtrip(spark, sf):
     from .plans.ingest import ingest_job
 
     out = landed_dir(spark, sf, "out/ingest_parquet")
-    ingest_job(spark, _shard_pairs(spark, sf), out_dir=out, max_examples=INGEST_MAX)
+    ingest_job(spark, _shard_pairs(spark, sf), out_dir=out)
     return spark.read.parquet(out).select("code", "docstring", "language", "repo", "path")
 
 
 @query("scan_documented_files", W("fx_files") + f"""
-SELECT content, language, path FROM (
-  SELECT *, row_number() OVER (PARTITION BY language ORDER BY
-           {S.seeded(42, 'cap', S.rowkey('content', 'language', 'path'))}) AS rk
-  FROM fx_files WHERE coalesce(CASE
+SELECT content, language, path FROM fx_files WHERE coalesce(CASE
     WHEN language = 'python' THEN contains(content, repeat(chr(34), 3))
                                   OR contains(content, repeat(chr(39), 3))
     WHEN language IN ('javascript', 'typescript') THEN contains(content, '/**') OR contains(content, '///')
     WHEN language IN ('java', 'go') THEN contains(content, '/**')
-    ELSE contains(content, '/**') OR contains(content, '///') END, false))
-WHERE rk <= {FILES_MAX // 6}""")
+    ELSE contains(content, '/**') OR contains(content, '///') END, false)""")
 def q_scan_documented_files(spark, sf):
     from .landing import land_raw
     from .plans.ingest import ingest_files
@@ -756,17 +753,22 @@ def q_scan_documented_files(spark, sf):
 
     configure(spark)
     files = scan_whole_files(spark, land_raw(spark, sf) + "/the_stack_smol")
-    return ingest_files(files, max_examples=FILES_MAX)
+    return ingest_files(files)
 
 
-@query("scan_tolerant", W("fx_pairs") + "SELECT language, count(*) AS n FROM fx_pairs GROUP BY language")
+@query("scan_tolerant", W("fx_pairs") + """
+SELECT language AS entry, false AS skipped, count(*) AS n FROM fx_pairs GROUP BY language
+UNION ALL SELECT 'broken', true, CAST(0 AS BIGINT)""")
 def q_scan_tolerant(spark, sf):
+    """Rows of each readable entry, and the entries that were left out."""
     from .landing import land_raw
-    from .sources.files import scan_language_files
+    from .sources.files import scan_language_files, skipped_entries
 
     configure(spark)
-    df = scan_language_files(spark, land_raw(spark, sf) + "/codesearchnet")
-    return df.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
+    folder = land_raw(spark, sf) + "/codesearchnet"
+    read = scan_language_files(spark, folder).groupBy(F.col("language").alias("entry")).agg(F.count(F.lit(1)).alias("n"))
+    left = skipped_entries(spark, folder).select("entry", F.lit(True).alias("skipped"), F.lit(0).cast("long").alias("n"))
+    return read.select("entry", F.lit(False).alias("skipped"), "n").unionByName(left)
 
 
 INVENTORY_SETS = ["codesearchnet", "code_docstring_corpus", "python_code_instructions", "the_stack_smol", "thevault"]
@@ -775,33 +777,38 @@ INVENTORY_SETS = ["codesearchnet", "code_docstring_corpus", "python_code_instruc
 def _duck_inventory() -> str:
     return W("fx_pairs", "fx_corpus", "fx_instr", "fx_files") + """,
 inv AS (
-  SELECT 'codesearchnet' AS dataset, true AS has_files, (SELECT count(*) FROM fx_pairs) AS n_rows
-  UNION ALL SELECT 'code_docstring_corpus', true, (SELECT count(*) FROM fx_corpus)
-  UNION ALL SELECT 'python_code_instructions', true, (SELECT count(*) FROM fx_instr)
-  UNION ALL SELECT 'the_stack_smol', true, (SELECT count(*) FROM fx_files)
-  UNION ALL SELECT 'thevault', false, CAST(0 AS BIGINT))
+  SELECT 'codesearchnet' AS dataset, 7 AS n_files, (SELECT count(*) FROM fx_pairs) AS n_rows
+  UNION ALL SELECT 'code_docstring_corpus', 1, (SELECT count(*) FROM fx_corpus)
+  UNION ALL SELECT 'python_code_instructions', 1, (SELECT count(*) FROM fx_instr)
+  UNION ALL SELECT 'the_stack_smol', """ + str(len(X.FILE_LANGS)) + """, (SELECT count(*) FROM fx_files)
+  UNION ALL SELECT 'thevault', 0, CAST(0 AS BIGINT))
 """
 
 
-@query("file_inventory", _duck_inventory() + "SELECT dataset, has_files, CAST(n_rows AS BIGINT) AS n_rows FROM inv")
+@query("file_inventory", _duck_inventory() + "SELECT dataset, CAST(n_files AS BIGINT) AS n_files, CAST(n_rows AS BIGINT) AS n_rows FROM inv")
 def q_file_inventory(spark, sf):
     from .landing import land_raw
     from .plans.ingest import verify
 
     configure(spark)
     inv, _ = verify(spark, land_raw(spark, sf), INVENTORY_SETS)
-    return inv.select("dataset", (F.col("n_files") > 0).alias("has_files"), "n_rows")
+    return inv
 
 
 @query("download_gate", _duck_inventory() +
-       "SELECT bool_and(has_files) AS all_valid, CAST(sum(n_rows) AS BIGINT) AS total_rows FROM inv")
+       """SELECT CASE WHEN g THEN 'present' ELSE 'all' END AS datasets, bool_and(n_files > 0) AS all_valid,
+  CAST(sum(n_files) AS BIGINT) AS total_files, CAST(sum(n_rows) AS BIGINT) AS total_rows
+FROM inv, (VALUES (true), (false)) v(g) WHERE NOT g OR dataset <> 'thevault' GROUP BY g""")
 def q_download_gate(spark, sf):
+    """The gate over all expected data sets (one is absent) and over those present."""
     from .landing import land_raw
     from .plans.ingest import verify
 
     configure(spark)
-    _, gate = verify(spark, land_raw(spark, sf), INVENTORY_SETS)
-    return gate.select("all_valid", "total_rows")
+    root = land_raw(spark, sf)
+    out = [verify(spark, root, sets)[1].select(F.lit(name).alias("datasets"), "all_valid", "total_files", "total_rows")
+           for name, sets in (("all", INVENTORY_SETS), ("present", INVENTORY_SETS[:-1]))]
+    return out[0].unionByName(out[1])
 
 
 # ------------------------------------------------------------------ B: sinks
@@ -1047,7 +1054,7 @@ FROM (
          ELSE 0.0 END AS lic,
     1.0 / (1.0 + CAST(date_diff('day', CAST(pushed_at AS DATE), DATE '2026-01-01') AS DOUBLE) / 365.0) AS recency,
     CAST(count(*) OVER (PARTITION BY language) AS DOUBLE) / CAST(count(*) OVER () AS DOUBLE) AS share
-  FROM ({S.records_sql()}) WHERE readme IS NOT NULL)""")
+  FROM ({S.records_sql(None)}) WHERE readme IS NOT NULL)""")
 def q_quality_score(spark, sf):
     from .operators.stats import quality_score
 
@@ -1166,7 +1173,7 @@ def q_scan_repo_payloads(spark, sf):
 
 @query("readme_batch_roundtrip", W(*REPO_FX) + f"""
 SELECT repo_name, url, stars, language, description, readme, {S.tree_text('file_tree')} AS tree_text
-FROM ({S.records_sql()}) WHERE status = 'scraped'""")
+FROM ({S.records_sql(None)}) WHERE status = 'scraped'""")
 def q_readme_batch_roundtrip(spark, sf):
     """B4: scraped records written under batch=<timestamp>/ and read back."""
     from .landing import landed_dir

@@ -13,15 +13,23 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as X
-from .session import scratch_dir
+from .session import scratch_dir, write_file
 
 
-LANDING_VERSION = "2"
+LANDING_VERSION = "3"
 
 
-def _tag(sf_dir: str) -> str:
-    """Folder tag: input folder + fixture definitions, so a changed fixture lands anew."""
+def _tag(spark: SparkSession, sf_dir: str) -> str:
+    """Folder tag: input files (path, size, time) and fixture definitions, so that a
+    changed input or fixture lands anew."""
     h = hashlib.md5(sf_dir.rstrip("/").encode())
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+    seen = []
+    while files.hasNext():
+        f = files.next()
+        seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    h.update("\n".join(sorted(seen)).encode())
     h.update(LANDING_VERSION.encode())
     for name in sorted(X.FIXTURES):
         h.update(X.FIXTURES[name][0](X.SPARK).encode())
@@ -32,12 +40,14 @@ def _done(spark: SparkSession, marker: str) -> bool:
     try:
         spark.read.parquet(marker).limit(1).count()
         return True
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
 
 
 def landed_dir(spark: SparkSession, sf_dir: str, what: str) -> str:
-    return f"{scratch_dir(spark)}/quarry-landed/{_tag(sf_dir)}/{what}"
+    return f"{scratch_dir(spark)}/quarry-landed/{_tag(spark, sf_dir)}/{what}"
 
 
 def land_raw(spark: SparkSession, sf_dir: str) -> str:
@@ -56,8 +66,7 @@ def land_raw(spark: SparkSession, sf_dir: str) -> str:
     (X.fixture(spark, sf_dir, "fx_instr").select("instruction", "input", "output")
      .write.mode("overwrite").parquet(f"{root}/python_code_instructions/train.parquet"))
     # one unreadable entry: skipped by every reader, still listed by the inventory
-    spark.createDataFrame([("not a parquet file",)], "value string").write.mode("overwrite").text(
-        f"{root}/codesearchnet/broken.parquet")
+    write_file(spark, f"{root}/codesearchnet/broken.parquet", b"not a parquet file")
     filesdf = X.fixture(spark, sf_dir, "fx_files")
     for lang in X.FILE_LANGS:
         (filesdf.filter(F.col("language") == lang).select("content", "path")
@@ -109,9 +118,13 @@ def land_payloads(spark: SparkSession, sf_dir: str) -> str:
     if _done(spark, marker):
         return root
     repos = X.fixture(spark, sf_dir, "fx_repos")
-    repos.select(F.struct(F.col("owner").alias("login")).alias("owner"), "name", "html_url",
-                 F.col("stars").alias("stargazers_count"), "language", "description", "pushed_at").write.mode(
-        "overwrite").json(f"{root}/hits")
+    hit = F.struct(F.struct(F.col("owner").alias("login")).alias("owner"), "name", "html_url",
+                   F.col("stars").alias("stargazers_count"), "language", "description",
+                   F.date_format("pushed_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("pushed_at"))
+    # half of the hits as search pages with an ``items`` array, the others one per line
+    paged = repos.filter("doc_id % 2 = 0").groupBy((F.col("doc_id") % 64).alias("page")).agg(F.collect_list(hit).alias("items"))
+    paged.select(F.size("items").alias("total_count"), "items").write.mode("overwrite").json(f"{root}/hits")
+    repos.filter("doc_id % 2 = 1").select(hit.alias("h")).select("h.*").write.mode("append").json(f"{root}/hits")
     X.fixture(spark, sf_dir, "fx_readmes").select("owner", "name", "content").write.mode("overwrite").json(
         f"{root}/readmes")
     X.fixture(spark, sf_dir, "fx_trees").select("owner", "name", "tree").write.mode("overwrite").option(

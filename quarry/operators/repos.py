@@ -69,13 +69,16 @@ def select_repos(hits: DataFrame, min_stars: int = K.SCRAPE_MIN_STARS,
     )
 
 
-def top_repos(selected: DataFrame, limit: int = K.SCRAPE_LIMIT,
+def top_repos(selected: DataFrame, limit: int | None = K.SCRAPE_LIMIT,
               languages: list[str] = K.SCRAPE_LANGUAGES) -> DataFrame:
-    """``limit // len(languages)`` repos per language by stars (desc), then name.
-    A quota of 0 returns nothing."""
+    """``limit // len(languages)`` repos per language (whatever its case) by stars
+    (desc), then name.  A quota of 0 returns nothing; ``limit=None`` all repos."""
+    if limit is None:
+        return selected
     k = limit // max(len(languages), 1)
-    return top_k_per_group(selected, k, ["language"],
-                           [F.col("stars").desc(), F.col("owner"), F.col("name")])
+    keyed = selected.withColumn("_lang", F.lower("language"))
+    return top_k_per_group(keyed, k, ["_lang"],
+                           [F.col("stars").desc(), F.col("owner"), F.col("name")]).drop("_lang")
 
 
 def join_payloads(repos: DataFrame, readmes: DataFrame, trees: DataFrame | None,

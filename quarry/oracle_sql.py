@@ -214,20 +214,22 @@ def select_repos_where(as_of: str = "2026-01-01", min_stars: int = K.SCRAPE_MIN_
             f"AND CAST(pushed_at AS DATE) > DATE '{as_of}' - {days}")
 
 
-def top_repos_sql(limit: int = K.SCRAPE_LIMIT, languages: list[str] = K.SCRAPE_LANGUAGES) -> str:
+def top_repos_sql(limit: int | None = K.SCRAPE_LIMIT, languages: list[str] = K.SCRAPE_LANGUAGES) -> str:
+    if limit is None:
+        return f"SELECT * FROM fx_repos WHERE {select_repos_where()}"
     k = limit // len(languages)
     return f"""
 SELECT * EXCLUDE (rk) FROM (
-  SELECT *, row_number() OVER (PARTITION BY language ORDER BY stars DESC, owner, name) AS rk
+  SELECT *, row_number() OVER (PARTITION BY lower(language) ORDER BY stars DESC, owner, name) AS rk
   FROM fx_repos WHERE {select_repos_where()}) WHERE rk <= {k}"""
 
 
-def records_sql() -> str:
+def records_sql(limit: int | None = K.SCRAPE_LIMIT) -> str:
     return f"""
 SELECT *, {status('readme')} AS status FROM (
   SELECT r.owner || '/' || r.name AS repo_name, r.html_url AS url, CAST(r.stars AS BIGINT) AS stars, r.language,
          r.description, r.pushed_at, {decode_b64('m.content')} AS readme, {tree_kept('t.tree')} AS file_tree
-  FROM ({top_repos_sql()}) r
+  FROM ({top_repos_sql(limit)}) r
   LEFT JOIN fx_readmes m ON m.owner = r.owner AND m.name = r.name
   LEFT JOIN fx_trees t ON t.owner = r.owner AND t.name = r.name)"""
 

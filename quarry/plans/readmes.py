@@ -28,7 +28,7 @@ class ReadmeResult:
 
 def curate_readmes(hits: DataFrame, readmes: DataFrame, trees: DataFrame | None,
                    min_stars: int = K.SCRAPE_MIN_STARS, languages: list[str] = K.SCRAPE_LANGUAGES,
-                   limit: int = K.SCRAPE_LIMIT, as_of: str = "2026-01-01",
+                   limit: int | None = K.SCRAPE_LIMIT, as_of: str = "2026-01-01",
                    with_timestamp: bool = True) -> ReadmeResult:
     selected = R.top_repos(R.select_repos(hits, min_stars, languages, as_of), limit, languages)
     joined = R.join_payloads(selected, readmes, trees, keep_missing_readme=True)
@@ -42,7 +42,7 @@ def curate_readmes(hits: DataFrame, readmes: DataFrame, trees: DataFrame | None,
 
 
 def write_batch(scraped: DataFrame, root: str, batch: str) -> None:
-    """Scraped records as JSON lines under ``batch=<timestamp>/`` (append)."""
+    """Scraped records as JSON lines under ``batch=<timestamp>/``; a batch written again is replaced."""
     scraped.write.mode("overwrite").option("compression", "none").json(f"{root.rstrip('/')}/batch={batch}")
 
 

@@ -51,16 +51,32 @@ def configure(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
+def write_file(spark: SparkSession, path: str, data: bytes) -> str:
+    """Write a small file of the driver through Hadoop's file systems; returns its URI."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(target, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    return files.makeQualified(target).toString()
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when none is configured
-    (tests, local runs) a private folder is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``.  Only a local master without one
+    (tests, local runs) gets a private folder: on a cluster, executors could not
+    share it, so a missing setting is an error there.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.sparkContext.getCheckpointDir()
     if not conf_dir:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
         spark.sparkContext.setCheckpointDir(conf_dir)

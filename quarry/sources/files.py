@@ -1,18 +1,24 @@
 """Readers for landed raw files.
 
-All readers return typed DataFrames and never fail on an absent folder (an
-empty DataFrame with the expected schema is returned instead), matching the
-processors' "skip what is missing" behaviour.  Unreadable files are skipped
-with ``ignoreCorruptFiles``.
+A folder holds ``{name}.parquet`` entries, each a file or a directory of part
+files.  Every entry is read with its own schema, as the processors read file by
+file, so entries of different columns or types can lie side by side and no
+footers are merged.  An absent folder gives an empty DataFrame of the expected
+schema; an entry without a readable footer is left out and named by
+``skipped_entries``.  Any other error is raised.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SUFFIX = ".parquet"
+
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
@@ -22,26 +28,43 @@ def _string_or_default(df: DataFrame, candidates: list[str], default: str | None
     """First *present* column among candidates (plan-time choice), else a literal."""
     for c in candidates:
         if c in df.columns:
-            return F.col(c).cast("string")
+            return F.col(f"`{c}`").cast("string")
     return F.lit(default).cast("string")
 
 
-def read_parquet_dir(spark: SparkSession, path: str) -> DataFrame | None:
-    """``path/*.parquet`` (non-recursive); None when nothing is there."""
+def entries(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """(path, stem) of the ``*.parquet`` entries of a folder (non-recursive)."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/*{SUFFIX}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted((s.getPath().toString(), s.getPath().getName()[: -len(SUFFIX)]) for s in found or [])
+
+
+def _read_entry(spark: SparkSession, path: str) -> DataFrame | None:
+    """One entry; None when no footer in it can be read."""
     try:
-        return (
-            spark.read.option("ignoreCorruptFiles", "true")
-            .option("mergeSchema", "true")
-            .parquet(f"{path.rstrip('/')}/*.parquet")
-        )
-    except AnalysisException:
-        return None
+        return spark.read.option("ignoreCorruptFiles", "true").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER"):
+            return None
+        raise
 
 
-def file_stem(path_col: F.Column) -> F.Column:
-    """Stem of the ``*.parquet`` entry under the folder: 'python' for both
-    ``.../python.parquet`` and ``.../python.parquet/part-0000.parquet``."""
-    return F.regexp_extract(path_col, r"/([^/]+)\.parquet(?:/[^/]+)?$", 1)
+def read_entries(spark: SparkSession, folder: str, schema: T.StructType,
+                 project: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Union of ``project(entry, stem)`` over the readable entries of a folder."""
+    out = None
+    for path, stem in entries(spark, folder):
+        df = _read_entry(spark, path)
+        if df is not None:
+            part = project(df, stem)
+            out = part if out is None else out.unionByName(part)
+    return _empty(spark, schema) if out is None else out
+
+
+def skipped_entries(spark: SparkSession, folder: str) -> DataFrame:
+    """(entry) of the entries that the readers leave out."""
+    names = [(stem,) for path, stem in entries(spark, folder) if _read_entry(spark, path) is None]
+    return spark.createDataFrame(names, "entry string")
 
 
 PAIR_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
@@ -50,16 +73,8 @@ PAIR_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
 
 def scan_language_files(spark: SparkSession, path: str) -> DataFrame:
     """``{language}.parquet`` files: language is the file stem, not a column."""
-    df = read_parquet_dir(spark, path)
-    if df is None:
-        return _empty(spark, PAIR_SCHEMA)
-    return df.select(
-        file_stem(F.col("_metadata.file_path")).alias("language"),
-        _string_or_default(df, ["code"]).alias("code"),
-        _string_or_default(df, ["docstring"]).alias("docstring"),
-        _string_or_default(df, ["repo"]).alias("repo"),
-        _string_or_default(df, ["path"]).alias("path"),
-    )
+    return read_entries(spark, path, PAIR_SCHEMA, lambda df, stem: df.select(
+        F.lit(stem).alias("language"), *[_string_or_default(df, [c]).alias(c) for c in ("code", "docstring", "repo", "path")]))
 
 
 CORPUS_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ["desc", "decl", "bodies"]])
@@ -67,14 +82,8 @@ CORPUS_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ["desc",
 
 def scan_corpus(spark: SparkSession, path: str) -> DataFrame:
     """Docstring corpus (desc, decl, bodies); a constant language is added later."""
-    df = read_parquet_dir(spark, path)
-    if df is None:
-        return _empty(spark, CORPUS_SCHEMA)
-    return df.select(
-        _string_or_default(df, ["desc"]).alias("desc"),
-        _string_or_default(df, ["decl"]).alias("decl"),
-        _string_or_default(df, ["bodies"]).alias("bodies"),
-    )
+    return read_entries(spark, path, CORPUS_SCHEMA, lambda df, stem: df.select(
+        *[_string_or_default(df, [c]).alias(c) for c in ("desc", "decl", "bodies")]))
 
 
 INSTR_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ["instruction", "input", "output"]])
@@ -90,10 +99,7 @@ def resolve_instruction_columns(df: DataFrame) -> DataFrame:
 
 
 def scan_instructions(spark: SparkSession, path: str) -> DataFrame:
-    df = read_parquet_dir(spark, path)
-    if df is None:
-        return _empty(spark, INSTR_SCHEMA)
-    return resolve_instruction_columns(df)
+    return read_entries(spark, path, INSTR_SCHEMA, lambda df, stem: resolve_instruction_columns(df))
 
 
 FILE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ["language", "content", "path"]])
@@ -101,49 +107,49 @@ FILE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ["language
 
 def scan_whole_files(spark: SparkSession, path: str) -> DataFrame:
     """``{language}.parquet`` whole-file records (content, path)."""
-    df = read_parquet_dir(spark, path)
-    if df is None:
-        return _empty(spark, FILE_SCHEMA)
-    return df.select(
-        file_stem(F.col("_metadata.file_path")).alias("language"),
-        _string_or_default(df, ["content"]).alias("content"),
-        _string_or_default(df, ["path"]).alias("path"),
-    )
+    return read_entries(spark, path, FILE_SCHEMA, lambda df, stem: df.select(
+        F.lit(stem).alias("language"), *[_string_or_default(df, [c]).alias(c) for c in ("content", "path")]))
+
+
+def _decoded(path: F.Column) -> F.Column:
+    """A ``_metadata.file_path`` as a plain path (it is percent-encoded; '+' is not)."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def file_inventory(spark: SparkSession, root: str, datasets: list[str]) -> DataFrame:
-    """Per expected dataset folder: parquet files found (recursive) and rows.
+    """Per expected dataset folder: ``*.parquet`` entries (recursive) and rows.
 
-    Files are listed with the binaryFile source selecting only path/length (no
-    content is read); rows come from the parquet footers of readable files.
-    Expected names absent on disk still appear with zero files.
+    Paths come from the binaryFile source (no content is read), taken relative
+    to the qualified root; rows are counted under an empty schema, from footers
+    alone, so neither differing schemas nor an unreadable file changes the count
+    of the others.  Expected names absent on disk appear with zero files.
     """
-    root = root.rstrip("/")
+    top = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/"))
+    top = top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toString()
+    plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+    below = F.lit(len(_one_slash(top)) + 2)
     names = spark.createDataFrame([(d,) for d in datasets], "dataset string")
+    options = {"pathGlobFilter": f"*{SUFFIX}", "recursiveFileLookup": "true"}
     try:
-        listed = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", "true")
-            .load(root)
-            .select("path", "length")
-        )
-    except AnalysisException:
-        listed = spark.createDataFrame([], "path string, length bigint")
-    listed = listed.withColumn("dataset", F.regexp_extract("path", r"^.*?" + _tail(root) + r"/([^/]+)/", 1))
-    try:
+        listed = spark.read.format("binaryFile").options(**options).load(root).select(plain(F.col("path")).alias("path"))
         counted = (
-            spark.read.option("ignoreCorruptFiles", "true")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .parquet(root)
-            .groupBy(F.col("_metadata.file_path").alias("path"))
-            .agg(F.count(F.lit(1)).alias("rows"))
+            spark.read.schema("_none boolean").options(ignoreCorruptFiles="true", **options).parquet(root)
+            .groupBy(plain(_decoded(F.col("_metadata.file_path"))).alias("path")).agg(F.count(F.lit(1)).alias("rows"))
         )
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        listed = spark.createDataFrame([], "path string")
         counted = spark.createDataFrame([], "path string, rows bigint")
-    files = listed.join(counted, "path", "left").groupBy("dataset").agg(
-        F.count("path").alias("n_files"), F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("n_rows")
+    relative = F.expr("substring(path, _below)")
+    files = (
+        listed.join(counted, "path", "left").withColumn("_below", below).withColumn("relative", relative)
+        .select(
+            F.substring_index("relative", "/", 1).alias("dataset"), "rows",
+            # a directory of part files is one entry
+            F.regexp_extract("relative", r"^(.*?\.parquet)(?:/|$)", 1).alias("entry"),
+        )
+        .groupBy("dataset").agg(F.countDistinct("entry").alias("n_files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("n_rows"))
     )
     return names.join(files, "dataset", "left").select(
         "dataset",
@@ -152,7 +158,7 @@ def file_inventory(spark: SparkSession, root: str, datasets: list[str]) -> DataF
     )
 
 
-def _tail(root: str) -> str:
-    import re
-
-    return re.escape(root.split("/")[-1])
+def _one_slash(uri: str) -> str:
+    """A URI with one slash after its scheme, whatever number it was written with."""
+    scheme, sep, rest = uri.partition(":")
+    return f"{scheme}:/{rest.lstrip('/')}" if sep else uri

@@ -78,19 +78,24 @@ def field_text_or(v: Column, names: list[str], default: str | None) -> Column:
     return let(v, body)
 
 
+def encoded_root(spark: SparkSession, path: str) -> str:
+    """The path of a folder as it appears in ``_metadata.file_path``, without scheme."""
+    return spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/")).toUri().getRawPath()
+
+
 def scan_jsonl_pairs(spark: SparkSession, path: str, language: Column | str | None = None,
                      name_contains: str = "train", suffix: str = ".jsonl.gz") -> DataFrame:
     """Code/docstring pairs from gzip JSON-lines shards.
 
-    Only files whose path contains ``name_contains`` and ends with ``suffix``
-    are read (gzip is decoded by the text source, one task per file).  Lines
+    Only files whose path below the root contains ``name_contains`` and ends with
+    ``suffix`` are read (gzip is decoded by the text source, one task per file).  Lines
     that are not one JSON object are skipped.  Fields fall back by key presence:
     code <- code | func_code_string | '', docstring likewise, repo/path <- ''.
     """
     lines = (
         spark.read.option("recursiveFileLookup", "true").text(path)
         .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
-        .filter(F.col("file").contains(name_contains) & F.col("file").endswith(suffix))
+        .filter(F.substring_index("file", encoded_root(spark, path) + "/", -1).contains(name_contains) & F.col("file").endswith(suffix))
     )
     v = parse_strict("line")
     parsed = lines.select("file", v.alias("v")).filter(is_object(F.col("v")))
@@ -102,37 +107,3 @@ def scan_jsonl_pairs(spark: SparkSession, path: str, language: Column | str | No
         field_text_or(F.col("v"), ["repo"], "").alias("repo"),
         field_text_or(F.col("v"), ["path"], "").alias("path"),
     )
-
-
-def unzip_members(spark: SparkSession, path: str, name_contains: str = "train",
-                  suffix: str = ".jsonl.gz") -> DataFrame:
-    """Lines of gzip JSON-lines members inside ZIP archives.
-
-    ZIP is not splittable: each archive is one task (binaryFile), unpacked with
-    the standard library inside ``mapInPandas``; only matching members are read.
-    Output: (archive, member, line_no, line); repartition afterwards to spread.
-    """
-    import gzip
-    import io
-    import zipfile
-
-    import pandas as pd
-
-    def unpack(batches):
-        for pdf in batches:
-            for archive, content in zip(pdf["path"], pdf["content"], strict=True):
-                rows = []
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    for member in zf.namelist():
-                        if name_contains in member and member.endswith(suffix):
-                            with zf.open(member) as fh, gzip.open(fh, "rt", encoding="utf-8") as gz:
-                                for i, line in enumerate(gz, 1):
-                                    rows.append((archive, member, i, line.rstrip("\n")))
-                                    if len(rows) >= 10000:
-                                        yield pd.DataFrame(rows, columns=["archive", "member", "line_no", "line"])
-                                        rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=["archive", "member", "line_no", "line"])
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
-    return files.mapInPandas(unpack, "archive string, member string, line_no long, line string")

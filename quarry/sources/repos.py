@@ -14,15 +14,17 @@ TREE_ITEM = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("type", T.StringType()),
     T.StructField("size", T.LongType()),
 ])
-HIT_SCHEMA = T.StructType([
+HIT = T.StructType([
     T.StructField("owner", T.StructType([T.StructField("login", T.StringType())])),
     T.StructField("name", T.StringType()),
     T.StructField("html_url", T.StringType()),
     T.StructField("stargazers_count", T.LongType()),
     T.StructField("language", T.StringType()),
     T.StructField("description", T.StringType()),
-    T.StructField("pushed_at", T.TimestampNTZType()),
+    T.StructField("pushed_at", T.StringType()),
 ])
+# a line is one hit, or a page of search results with an array of hits
+HIT_SCHEMA = T.StructType([*HIT.fields, T.StructField("items", T.ArrayType(HIT))])
 README_SCHEMA = T.StructType([
     T.StructField("owner", T.StringType()), T.StructField("name", T.StringType()),
     T.StructField("content", T.StringType()),
@@ -36,8 +38,12 @@ TREE_SCHEMA = T.StructType([
 def read_hits(spark: SparkSession, path: str) -> DataFrame:
     """Search hits flattened to (owner, name, html_url, stars, language, pushed_at, description)."""
     raw = spark.read.schema(HIT_SCHEMA).json(path)
-    return raw.select(F.col("owner.login").alias("owner"), "name", "html_url",
-                      F.col("stargazers_count").alias("stars"), "language", "pushed_at", "description")
+    one = F.struct(*[F.col(f.name) for f in HIT.fields])
+    hits = raw.select(F.explode(F.coalesce("items", F.array(one))).alias("h")).select("h.*")
+    # the API writes UTC times with a trailing Z
+    pushed = F.expr("try_cast(regexp_replace(pushed_at, 'Z$', '') AS timestamp_ntz)")
+    return hits.select(F.col("owner.login").alias("owner"), "name", "html_url",
+                       F.col("stargazers_count").alias("stars"), "language", pushed.alias("pushed_at"), "description")
 
 
 def read_readmes(spark: SparkSession, path: str) -> DataFrame:

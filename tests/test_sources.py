@@ -1,17 +1,15 @@
-"""Sources: exact line numbers across file blocks, lenient base64, ZIP shards."""
+"""Sources: exact line numbers across file blocks, lenient base64, landed files and payloads."""
 
 import base64
 import gzip
-import io
 import json
 import os
 import tempfile
-import zipfile
 
 from pyspark.sql import functions as F
 
 from quarry.operators.repos import decode_base64_text
-from quarry.sources.jsonl import scan_lines, unzip_members
+from quarry.sources.jsonl import scan_jsonl_pairs, scan_lines
 
 
 def test_line_numbers_across_blocks(spark):
@@ -53,15 +51,71 @@ def test_base64_matches_python(spark):
         assert got[c] == _py_lenient(c), c
 
 
-def test_zip_members(spark):
-    d = tempfile.mkdtemp(prefix="quarry-zip-")
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w") as zf:
-        for name in ["python/final/jsonl/train/a.jsonl.gz", "python/final/jsonl/test/b.jsonl.gz", "README.txt"]:
-            payload = "\n".join(json.dumps({"code": f"c{i}", "docstring": f"d{i}"}) for i in range(5)) + "\n"
-            zf.writestr(name, gzip.compress(payload.encode()) if name.endswith(".gz") else payload)
-    with open(os.path.join(d, "python.zip"), "wb") as fh:
-        fh.write(buf.getvalue())
-    rows = unzip_members(spark, d).collect()
-    assert len(rows) == 5 and all("train" in r.member for r in rows)
-    assert [r.line_no for r in sorted(rows, key=lambda r: r.line_no)] == [1, 2, 3, 4, 5]
+def test_entries_of_differing_schemas_and_names(spark, tmp_path):
+    from quarry.session import write_file
+    from quarry.sources.files import file_inventory, scan_instructions, scan_whole_files, skipped_entries
+
+    root = f"{tmp_path}/raw/x/raw"
+    write = lambda rows, schema, path: spark.createDataFrame(rows, schema).write.parquet(f"{root}/{path}.parquet")
+    write([("i", "o")], "instruction string, output string", "mixed/a")
+    write([("p", "r")], "prompt string, response string", "mixed/b")
+    rows = {(r.instruction, r.input, r.output) for r in scan_instructions(spark, f"{root}/mixed").collect()}
+    assert rows == {("i", "", "o"), ("p", "", "r")}
+    for name in ("c#", "c++", "objective c"):
+        write([("text", "f")], "content string, path string", f"files/{name}")
+    write([(1,)], "content int", "files/number")
+    write_file(spark, f"{root}/files/bad.parquet", b"no parquet")
+    got = {(r.language, r.content) for r in scan_whole_files(spark, f"{root}/files").collect()}
+    assert got == {("c#", "text"), ("c++", "text"), ("objective c", "text"), ("number", "1")}
+    assert [r.entry for r in skipped_entries(spark, f"{root}/files").collect()] == ["bad"]
+    counts = {r.dataset: (r.n_files, r.n_rows) for r in file_inventory(spark, root, ["mixed", "files", "none"]).collect()}
+    assert counts == {"mixed": (2, 2), "files": (5, 4), "none": (0, 0)}
+    assert scan_whole_files(spark, f"{root}/absent").count() == 0
+
+
+def test_search_pages_and_single_hits(spark, tmp_path):
+    from quarry.operators.repos import select_repos, top_repos
+    from quarry.sources.repos import read_hits
+
+    hit = lambda i, lang, at: {"owner": {"login": "o"}, "name": f"n{i}", "stargazers_count": 9000 + i, "language": lang, "pushed_at": at}
+    page = {"total_count": 2, "items": [hit(1, "Python", "2025-11-26T19:06:43Z"), hit(2, "python", "2025-12-01T00:00:00Z")]}
+    lines = [page, hit(3, "PYTHON", "2025-12-02T01:02:03")]
+    (tmp_path / "hits.json").write_text("\n".join(json.dumps(x) for x in lines))
+    hits = read_hits(spark, str(tmp_path))
+    assert {(r.name, str(r.pushed_at)) for r in hits.collect()} == {
+        ("n1", "2025-11-26 19:06:43"), ("n2", "2025-12-01 00:00:00"), ("n3", "2025-12-02 01:02:03")}
+    chosen = select_repos(hits, min_stars=1, languages=["python"])
+    assert [r.name for r in top_repos(chosen, 2, ["python"]).orderBy("name").collect()] == ["n2", "n3"]
+    assert top_repos(chosen, None).count() == 3
+
+
+def test_split_is_tested_below_the_root(spark, tmp_path):
+    root = tmp_path / "training-data"
+    for split in ("train", "test"):
+        (root / f"split={split}").mkdir(parents=True)
+        with gzip.open(root / f"split={split}" / "a.jsonl.gz", "wt") as f:
+            f.write(json.dumps({"code": split, "docstring": None}) + "\n")
+    rows = scan_jsonl_pairs(spark, str(root), language="x").collect()
+    assert [(r.code, r.docstring, r.repo) for r in rows] == [("train", None, "")]  # a null is kept, an absent key is ''
+
+
+def test_no_local_scratch_off_a_local_master(monkeypatch, spark):
+    import pytest
+
+    from quarry import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Remote:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Remote())
