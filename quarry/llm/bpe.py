@@ -19,6 +19,7 @@ import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -28,8 +29,11 @@ from quarry.llm import common
 from quarry.llm.lexicon import Lexicon, compile_words
 
 LEXICON_WORDS = 100_000  # frequent words compiled into the transducer
+NONE = 1 << 60  # the rank of pairs that don't merge
+LONG = 48  # bytes of a word from which symbols are linked and kept in a heap
 LONGEST = 64  # bytes of a lexicon word at most
-MEMO = 300_000  # words remembered per worker before the memo starts anew
+MEMO = 500_000  # words remembered per worker before the memo starts anew
+CHUNK = 1 << 20  # characters whose words are looked up together
 
 # letters, digits, others and spaces, as the tokenizer file's pattern splits them
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -54,9 +58,13 @@ def byte_letters() -> dict[str, int]:
 class Vocabulary:
     """Merges and token bytes of a byte-level BPE file."""
 
-    def __init__(self, merges: dict[int, tuple[int, int]], tokens: list[bytes], special: dict[str, int]):
-        self.merges, self.tokens, self.special = merges, tokens, special
+    def __init__(self, ranks: dict[int, int], made: list[int], tokens: list[bytes], special: dict[str, int]):
+        self.ranks, self.made, self.tokens, self.special = ranks, made, tokens, special
         self.of_byte = {t[0]: i for i, t in reversed([*enumerate(tokens)]) if len(t) == 1}
+        self.byte_ids = np.array([self.of_byte.get(b, 0) for b in range(256)], np.int64)
+        keys, places = np.array([*ranks, -1], np.int64), np.array([*ranks.values(), NONE], np.int64)
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks, self.made_ids = keys[order], places[order], np.array(made or [0], np.int64)
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -69,50 +77,75 @@ class Vocabulary:
             tokens[i] = token.encode() if token in special else bytes(letters[c] for c in token)
         for token, i in special.items():
             tokens[i] = token.encode()
-        merges = {}
-        for rank, pair in enumerate(spec["model"]["merges"]):
-            a, b = pair.split(" ") if isinstance(pair, str) else pair
-            merges[vocab[a] << 32 | vocab[b]] = (rank, vocab[a + b])
-        return cls(merges, tokens, special)
+        pairs = [p.split(" ") if isinstance(p, str) else p for p in spec["model"]["merges"]]
+        ranks = {vocab[a] << 32 | vocab[b]: rank for rank, (a, b) in enumerate(pairs)}
+        return cls(ranks, [vocab[a + b] for a, b in pairs], tokens, special)
 
     def merge(self, word: bytes) -> list[int]:
         """Exact BPE of one word: the pair of lowest rank first, leftmost on ties."""
-        ids, merges = [self.of_byte[b] for b in word], self.merges
-        if len(ids) > 48:
-            return self._merge_long(ids)
-        while len(ids) > 1:
-            best, at, new = 1 << 60, -1, 0
-            a = ids[0]
-            for i, b in enumerate(ids[1:]):
-                got = merges.get(a << 32 | b)
-                if got is not None and got[0] < best:
-                    best, new = got
-                    at = i
-                a = b
-            if at < 0:
-                break
-            ids[at : at + 2] = [new]
-        return ids
+        return np.frombuffer(self.merge_all([word])[0], "<u4").tolist()
+
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of many words; each round makes one merge in every word."""
+        short = [i for i, w in enumerate(words) if len(w) <= LONG]
+        out = [b"" if len(w) <= LONG else _pack(self._merge_long([self.of_byte[x] for x in w])) for w in words]
+        word = np.repeat(np.array(short, np.int64), [len(words[i]) for i in short])
+        ids = self.byte_ids[np.frombuffer(b"".join(words[i] for i in short), np.uint8)]
+        rank = self._rank(ids, word, np.arange(len(ids)))
+        while len(ids):
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            size = np.diff(np.append(first, len(word)))
+            least = np.minimum.reduceat(rank, first)
+            done = least == NONE
+            if done.any():
+                gone = np.repeat(done, size)
+                packed, at = ids[gone].astype("<u4").tobytes(), 0
+                for i, n in zip(word[first[done]].tolist(), size[done].tolist(), strict=True):
+                    out[i] = packed[at : at + 4 * n]
+                    at += 4 * n
+                ids, word, rank = ids[~gone], word[~gone], rank[~gone]
+                if not len(ids):
+                    break
+                size, least = size[~done], least[~done]
+            at = np.flatnonzero(rank == np.repeat(least, size))
+            at = at[np.concatenate([[True], word[at[1:]] != word[at[:-1]]])]  # leftmost of each word
+            ids[at] = self.made_ids[least]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids, word, rank = ids[keep], word[keep], rank[keep]
+            at -= np.arange(len(at))
+            rank[at] = self._rank(ids, word, at)
+            left = at[at > 0] - 1
+            rank[left] = self._rank(ids, word, left)
+        return out
+
+    def _rank(self, ids: np.ndarray, word: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Rank of the pairs that begin at these symbols; NONE across words."""
+        after = np.minimum(at + 1, len(ids) - 1)
+        key = ids[at] << 32 | ids[after]
+        place = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        fits = (self.pair_keys[place] == key) & (after > at) & (word[at] == word[after])
+        return np.where(fits, self.pair_ranks[place], NONE)
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap over linked symbols, for long words."""
-        n, merges = len(ids), self.merges
+        n, get, made = len(ids), self.ranks.get, self.made
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
         heap = []
 
         def offer(i: int) -> None:
             j = after[i]
-            if j >= 0 and (got := merges.get(ids[i] << 32 | ids[j])):
-                heapq.heappush(heap, (got[0], i, ids[i], ids[j], got[1]))
+            if j >= 0 and (rank := get(ids[i] << 32 | ids[j], NONE)) != NONE:
+                heapq.heappush(heap, (rank, i, ids[i], ids[j]))
 
         for i in range(n):
             offer(i)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = made[rank], -1
             after[i] = after[j]
             if after[j] >= 0:
                 before[after[j]] = i
@@ -159,7 +192,7 @@ def compile_lexicon(docs: DataFrame, vocabulary: Vocabulary, size: int = LEXICON
     top = count_words(docs).filter(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(size)
     words = top.select("word").toArrow().column("word").to_pylist()
     name = f"lexicon-{uuid.uuid4().hex}"
-    spark.sparkContext.addFile(common.write_shared(spark, name, compile_words([(w, vocabulary.merge(w)) for w in words])))
+    spark.sparkContext.addFile(common.write_shared(spark, name, compile_words([(w, np.frombuffer(ids, "<u4").tolist()) for w, ids in zip(words, vocabulary.merge_all(words), strict=True)])))
     return name
 
 
@@ -170,14 +203,19 @@ class Words(dict):
         super().__init__()
         self.vocabulary, self.lexicon = vocabulary, lexicon
 
-    def learn(self, words: list[str]) -> None:
-        new = [w for w in set(words) if w not in self]
+    def learn(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self]
         if len(self) + len(new) > MEMO:
             self.clear()
-            new = list(set(words))
+            new = list(words)
         raw = [w.encode() for w in new]
+        unseen = []
         for word, text, ids in zip(new, raw, self.lexicon.outputs(raw), strict=True):
-            self[word] = ids.astype("<u4").tobytes() if ids is not None else _pack(self.vocabulary.merge(text))
+            if ids is None:
+                unseen.append((word, text))
+            else:
+                self[word] = ids.astype("<u4").tobytes()
+        self.update(zip([w for w, _ in unseen], self.vocabulary.merge_all([t for _, t in unseen]), strict=True))
 
 
 def _pack(ids: list[int]) -> bytes:
@@ -186,23 +224,33 @@ def _pack(ids: list[int]) -> bytes:
 
 def encode(docs: DataFrame, lexicon: str, vocabulary: Vocabulary) -> DataFrame:
     """doc_id and ids (little-endian unsigned 32-bit integers) of each text."""
-    held = docs.sparkSession.sparkContext.broadcast((vocabulary.merges, vocabulary.tokens, vocabulary.special))
+    held = docs.sparkSession.sparkContext.broadcast((vocabulary.ranks, vocabulary.made, vocabulary.tokens, vocabulary.special))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = Vocabulary(*held.value)
         words, split = Words(vocab, Lexicon(SparkFiles.get(lexicon))), splitter()
         marks = re.compile("(" + "|".join(map(re.escape, sorted(vocab.special, key=len, reverse=True))) + ")") if vocab.special else None
 
-        def ids_of(text: str) -> bytes:
+        def parts(text: str) -> list[list[str] | bytes]:
+            """The text's words; between them, packed ids of special tokens."""
             if marks is None or not marks.search(text):
-                found = split(text)
-                words.learn(found)
-                return b"".join(map(words.__getitem__, found))
-            return b"".join(_pack([vocab.special[p]]) if p in vocab.special else ids_of(p) for p in marks.split(text))
+                return [split(text)]
+            return [_pack([vocab.special[p]]) if p in vocab.special else split(p) for p in marks.split(text)]
+
+        def ids_of(texts: list[str]) -> list[bytes]:
+            cut = [parts(t) for t in texts]
+            words.learn({w for found in cut for part in found if isinstance(part, list) for w in part})
+            return [b"".join(p if isinstance(p, bytes) else b"".join(map(words.__getitem__, p)) for p in found) for found in cut]
 
         for b in batches:
-            texts = b.column("text").to_pylist()
-            ids = [ids_of(t or "") for t in texts]
+            ids, held_texts, size = [], [], 0
+            for text in b.column("text").to_pylist():
+                held_texts.append(text or "")
+                size += len(held_texts[-1])
+                if size >= CHUNK:
+                    ids += ids_of(held_texts)
+                    held_texts, size = [], 0
+            ids += ids_of(held_texts)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return common.narrow(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, ids binary")
@@ -213,8 +261,6 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     held = encoded.sparkSession.sparkContext.broadcast(vocabulary.tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         token = held.value.__getitem__
         for b in batches:
             texts = [b"".join(map(token, np.frombuffer(i or b"", "<u4").tolist())).decode("utf-8", "replace") for i in b.column("ids").to_pylist()]
