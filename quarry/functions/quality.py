@@ -114,11 +114,16 @@ def license_name(text: Column | str) -> Column:
 
 
 def license_family(name: Column | str) -> Column:
-    n = col(name)
-    expr = None
-    for lic, family, _pattern in K.LICENSE_RULES:
-        expr = F.when(n == lic, F.lit(family)) if expr is None else expr.when(n == lic, F.lit(family))
-    return expr.otherwise(F.lit("unknown"))
+    """Family of a license name; the name is evaluated once, whatever it is computed from."""
+    from .text import let
+
+    def body(n: Column) -> Column:
+        expr = None
+        for lic, family, _pattern in K.LICENSE_RULES:
+            expr = F.when(n == lic, F.lit(family)) if expr is None else expr.when(n == lic, F.lit(family))
+        return expr.otherwise(F.lit("unknown"))
+
+    return let(col(name), body)
 
 
 def has_bullets(text: Column | str) -> Column:

@@ -112,10 +112,10 @@ def count_occurrences(c: Column | str, needle: str) -> Column:
 
 def token_count(c: Column | str) -> Column:
     """[decision] Token-count proxy: identifier runs plus single punctuation marks."""
-    return F.regexp_count(F.coalesce(col(c), F.lit("")), F.lit(TOKEN_PATTERN)).cast("bigint")
-
-
-TOKEN_PATTERN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\x0B\f\r]"
+    # every identifier run becomes one letter and blanks go: what is left are the tokens,
+    # counted as characters without an array of strings
+    runs = F.regexp_replace(F.coalesce(col(c), F.lit("")), r"[A-Za-z0-9_]+", "w")
+    return F.length(F.regexp_replace(runs, r"[ \t\n\x0B\f\r]+", "")).cast("bigint")
 
 
 def non_ascii_ratio(c: Column | str) -> Column:

@@ -59,6 +59,10 @@ def fence(lang: str, code: str) -> str:
     return f"('```' || {lang} || chr(10) || {code} || chr(10) || '```')"
 
 
+# a token: an identifier run or one other character that is not a blank
+TOKEN_PATTERN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_ \t\n\x0B\f\r]"
+
+
 def hexint(h: str, digits: int = 7) -> str:
     return f"CAST(('0x' || substr({h}, 1, {digits})) AS BIGINT)"
 
@@ -245,7 +249,6 @@ def repo_prompt(repo_name: str, tree: str) -> str:
 # ------------------------------------------------------------------- spec tier
 
 def token_count(x: str) -> str:
-    from .functions.text import TOKEN_PATTERN
 
     return f"CAST(len(regexp_extract_all(coalesce({x}, ''), {q(TOKEN_PATTERN)})) AS BIGINT)"
 
