@@ -498,29 +498,54 @@ def q_all_valid(spark, sf):
     return V.verdict(V.summary(_validated(spark, sf)))
 
 
-@query("validate_job", _duck_validated() + """
-SELECT s.shard, s.total, s.valid, s.invalid, t.avg_input_length, t.avg_output_length, t.min_input_length,
-       t.max_input_length
-FROM (SELECT shard, count(*) AS total, count(*) FILTER (WHERE valid) AS valid,
-             count(*) FILTER (WHERE NOT valid) AS invalid FROM v GROUP BY shard) s
-LEFT JOIN (
-  SELECT shard, avg(li) AS avg_input_length, avg(lo) AS avg_output_length,
-         CAST(min(li) AS BIGINT) AS min_input_length, CAST(max(li) AS BIGINT) AS max_input_length
-  FROM (SELECT shard,
-          CASE WHEN json_type(line, '$.input') = 'VARCHAR' THEN length(json_extract_string(line, '$.input')) END AS li,
-          CASE WHEN json_type(line, '$.output') = 'VARCHAR'
-               THEN length(json_extract_string(line, '$.output')) END AS lo
-        FROM v WHERE parsed)
-  WHERE li IS NOT NULL AND lo IS NOT NULL GROUP BY shard) t ON t.shard = s.shard""")
+def _duck_reports() -> str:
+    """All reports of the validation job as (report, shard, key, n, value) rows."""
+    lengths = ("avg_input_length", "avg_output_length", "min_input_length", "max_input_length")
+    parts = [f"SELECT 'lines' AS report, shard, '{c}' AS key, CAST({c} AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS value "
+             f"FROM ({ORACLES['validation_summary']})" for c in ("total", "valid", "invalid")]
+    parts += [f"SELECT 'length', shard, '{c}', NULL, CAST({c} AS DOUBLE) FROM ({ORACLES['length_stats']})" for c in lengths]
+    parts += [
+        f"SELECT field, shard, value, CAST(n AS BIGINT), NULL FROM ({ORACLES['source_language_hist']})",
+        f"SELECT 'top_language', shard, language, CAST(rank AS BIGINT), NULL FROM ({ORACLES['top_languages']})",
+        f"SELECT 'error', shard, error, CAST(line_no AS BIGINT), CAST(shown AS DOUBLE) FROM ({ORACLES['error_sample']})",
+        f"SELECT 'sample', shard, input_preview, CAST(line_no AS BIGINT), NULL FROM ({ORACLES['sample_n']})",
+        f"SELECT 'verdict', NULL, 'all_valid', n_files, CAST(all_valid AS DOUBLE) FROM ({ORACLES['all_valid']})",
+    ]
+    return " UNION ALL ".join(parts)
+
+
+@query("validate_job", _duck_reports())
 def q_validate_job(spark, sf):
+    """The whole validation job: counts, lengths, histograms, errors, samples, verdict,
+    from lines that are scanned and parsed once."""
     from .landing import land_lines
-    from .plans.validate import validate_dir
+    from .plans.validate import validate_lines_report
+    from .sources.jsonl import scan_lines
 
     configure(spark)
-    rep = validate_dir(spark, land_lines(spark, sf), glob="*.txt", recursive=True)
-    out = rep.summary.join(rep.stats, "file", "left")
-    return out.select(F.regexp_extract("file", r"shard=([^/]+)/", 1).alias("shard"), "total", "valid", "invalid",
-                      "avg_input_length", "avg_output_length", "min_input_length", "max_input_length")
+    lines = scan_lines(spark, land_lines(spark, sf), glob="*.txt", recursive=True)
+    rep = validate_lines_report(lines.withColumn("file", F.regexp_extract("file", r"shard=([^/]+)/", 1)))
+
+    def rows(df, report, key, n=None, value=None, shard=F.col("file")):
+        return df.select((F.lit(report) if isinstance(report, str) else report).alias("report"), shard.alias("shard"),
+                         key.cast("string").alias("key"), (F.lit(None) if n is None else n).cast("bigint").alias("n"),
+                         (F.lit(None) if value is None else value).cast("double").alias("value"))
+
+    parts = [rows(rep.summary, "lines", F.lit(c), F.col(c)) for c in ("total", "valid", "invalid")]
+    parts += [rows(rep.stats, "length", F.lit(c), value=F.col(c))
+              for c in ("avg_input_length", "avg_output_length", "min_input_length", "max_input_length")]
+    parts += [
+        rows(rep.histogram, F.col("field"), F.col("value"), F.col("n")),
+        rows(rep.top_languages, "top_language", F.col("language"), F.col("rank")),
+        rows(rep.errors, "error", F.col("error"), F.col("line_no"), F.col("shown").cast("int")),
+        rows(rep.samples, "sample", F.col("input_preview"), F.col("line_no")),
+        rows(rep.verdict, "verdict", F.lit("all_valid"), F.col("n_files"), F.col("all_valid").cast("int"),
+             shard=F.lit(None).cast("string")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 # ------------------------------------------------------------- P2 / P5: READMEs
