@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quarry") -> SparkSession:
@@ -83,3 +84,14 @@ def scratch_dir(spark: SparkSession) -> str:
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir.rstrip("/")
+
+
+def write_through(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back.
+
+    Cuts the lineage with a columnar table that all executors can read, so a lost
+    executor costs the tasks it ran, not the stages before the table."""
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/quarry-{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
