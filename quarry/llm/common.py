@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import scratch_dir
+from quarry.session import scratch_dir, write_file
+from quarry.session import write_through as stash  # noqa: F401
 
 BATCH_ROWS = 512  # rows of one Arrow batch: bounds a Python worker's memory on long texts
 
@@ -29,17 +28,6 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()])
 
 
-def stash(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and read it back.
-
-    Cuts the lineage: a lost executor costs the tasks it ran, not the stages
-    before the table."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/llm-{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def id_remainder(column: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (null ids: crc32 of '')."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
@@ -47,12 +35,4 @@ def id_remainder(column: str, modulus: int) -> Column:
 
 def write_shared(spark: SparkSession, name: str, data: bytes) -> str:
     """Write a small file of the driver into the shared folder; returns its URI."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/{name}")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = files.create(path, True)
-    try:
-        out.write(bytearray(data))
-    finally:
-        out.close()
-    return files.makeQualified(path).toString()
+    return write_file(spark, f"{scratch_dir(spark)}/{name}", data)

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import common
-from quarry.llm.links import components
+from quarry.operators.components import components
 
 WIDTH = 5
 ROWS, BANDS = 6, 64

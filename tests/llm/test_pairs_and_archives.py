@@ -10,8 +10,9 @@ import pytest
 from llm_cases import SCHEMA, cases, prose, row
 
 import corpus_pipeline
-from quarry.llm import covertree, links, neardup, secrets, warc
+from quarry.llm import covertree, neardup, secrets, warc
 from quarry.llm.lexicon import Lexicon, compile_words
+from quarry.operators.components import components
 
 
 def brute_components(rows):
@@ -64,7 +65,7 @@ def test_signature_estimates_similarity():
 
 def test_components_of_a_long_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(1, 200)] + [(900, 901), (901, 900)], "a long, b long")
-    got = {r.id: r.component for r in links.components(chain).collect()}
+    got = {r.id: r.component for r in components(chain).collect()}
     assert all(got[i] == 1 for i in range(1, 201)) and got[900] == got[901] == 900
 
 
