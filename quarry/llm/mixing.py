@@ -177,6 +177,11 @@ def _replay(steps: list[tuple[float, ...]], momenta: list[float], least: float)
     return F.aggregate(moves, start, move) if steps else start
 
 
+def _rate(steps: list[tuple[float, ...]], momenta: list[float], least: float) -> Column:
+    """The point whose totals the last round found to match."""
+    return F.greatest(_replay(steps, momenta, least)["y"], F.lit(float(least)))
+
+
 def solve(table: DataFrame, targets: dict[str, float], budget: float, least: float) -> tuple[list[tuple[float, ...]], list[float], np.ndarray]:
     """Steps and momenta of the projected gradient, and the target totals.
 
@@ -201,7 +206,6 @@ def solve(table: DataFrame, targets: dict[str, float], budget: float, least: flo
         miss = np.array([float(at[f"s{k}"]) for k in range(len(DOMAINS))]) - goal
         error = float(np.abs(miss).max() / (budget * total))
         if error < SETTLED:
-            momenta[-1:] = [0.0] if momenta else []
             break
         steps.append(tuple(size * miss))
         # momentum grows as the rounds go on and starts anew when the error rises
@@ -226,9 +230,7 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     """doc_id, n_tokens, posterior of each domain, rate and copies of every document."""
     table = _table(docs, labels)
     steps, momenta, _ = solve(table, targets, budget, least)
-    # after a settled round the gradient's point is the answer
-    rate = _replay(steps, momenta, least)["r"]
-    rated = table.select("*", F.greatest(rate, F.lit(float(least))).alias("rate"))
+    rated = table.select("*", _rate(steps, momenta, least).alias("rate"))
     return rated.select(
         "doc_id", "n_tokens", *[F.col("posterior")[k].alias(f"p_{d}") for k, d in enumerate(DOMAINS)], "rate",
         _copies(F.col("rate"), F.struct("doc_id", "text_key")).alias("copies"), "text_key",
@@ -240,7 +242,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
     table = _table(docs, labels)
     steps, momenta, _ = solve(table, targets, budget, least)
     plan = (
-        table.select("doc_id", "text_key", _copies(F.greatest(_replay(steps, momenta, least)["r"], F.lit(float(least))), F.struct("doc_id", "text_key")).alias("_copies"))
+        table.select("doc_id", "text_key", _copies(_rate(steps, momenta, least), F.struct("doc_id", "text_key")).alias("_copies"))
         .select(F.col("doc_id").alias("_doc"), "_copies").groupBy("_doc").agg(F.max("_copies").alias("_copies"))
     )
     joined = docs.join(plan.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(plan["_doc"]))
