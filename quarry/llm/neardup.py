@@ -18,9 +18,10 @@ Steps, none of which lists all pairs of a group of copies:
    between components stays unseen; members of one component need no further
    comparison.
 
-A pair is compared only if a packed sketch (4 bits of 64 coordinates) agrees in
-at least ``AGREE`` places, which a pair of similarity 0.75 misses with
-probability below 1e-6, and if the set sizes allow the similarity.
+A pair is compared only if a packed sketch (4 bits of every coordinate) agrees
+in at least ``AGREE`` places, which a pair of similarity 0.75 misses with
+probability below 1e-6, and if the set sizes allow the similarity.  A pair that
+shares several buckets is compared in the one of smallest key.
 
 Cases: a null or empty text or one without words has no shingles and is linked
 with nothing; fewer than five words are one shingle; rows repeating a doc_id are
@@ -43,7 +44,8 @@ from quarry.operators.components import components
 WIDTH = 5
 ROWS, BANDS = 6, 64
 SIMILAR = 75  # percent
-SKETCH, AGREE = 64, 32
+AGREE = 253  # of ROWS * BANDS places
+PACKS = ROWS * BANDS // 16  # 64-bit integers of a sketch
 CHUNK = 1 << 16  # shingles hashed at a time
 MEMO = 300_000  # word hashes remembered per worker
 
@@ -118,12 +120,12 @@ def _band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def _sketches(sig: np.ndarray) -> np.ndarray:
-    """Four bits of every sixth coordinate, sixteen to a 64-bit integer."""
-    bits = (sig[:, ::ROWS][:, :SKETCH] >> np.uint32(7) & np.uint32(15)).astype(np.uint64).reshape(len(sig), 4, 16)
+    """Four bits of every coordinate, sixteen to a 64-bit integer."""
+    bits = (sig >> np.uint32(7) & np.uint32(15)).astype(np.uint64).reshape(len(sig), PACKS, 16)
     return (bits << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
-SIGNED = "doc_id long, n_shingles long, f0 long, f1 long, s0 long, s1 long, s2 long, s3 long, keys array<long>"
+SIGNED = "doc_id long, n_shingles long, f0 long, f1 long, sketch array<long>, keys array<long>"
 
 
 def sign(docs: DataFrame) -> DataFrame:
@@ -136,19 +138,16 @@ def sign(docs: DataFrame) -> DataFrame:
             full = [i for i, s in enumerate(sets) if len(s)]
             sig = signatures([sets[i] for i in full])
             print_ = np.zeros((len(sets), 2), np.int64)
-            sketch = np.zeros((len(sets), 4), np.int64)
             for i in full:
                 mixed = _mix64(sets[i] * np.uint64(PLACES[2]) + np.uint64(PLACES[3]))
                 print_[i] = np.array([mixed.sum(dtype=np.uint64), np.bitwise_xor.reduce(mixed)]).view(np.int64)
-            counts = np.zeros(len(sets) + 1, np.int32)
-            keys = np.empty(0, np.int64)
-            if full:
-                sketch[full] = _sketches(sig)
-                counts[np.array(full) + 1] = BANDS
-                keys = _band_keys(sig).ravel()
             columns = [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64())]
-            columns += [pa.array(np.ascontiguousarray(c)) for c in (*print_.T, *sketch.T)]
-            columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum(counts, dtype=np.int32)), pa.array(keys)))
+            columns += [pa.array(np.ascontiguousarray(c)) for c in print_.T]
+            for width, values in ((PACKS, _sketches), (BANDS, _band_keys)):
+                counts = np.zeros(len(sets) + 1, np.int32)
+                counts[np.array(full, np.int64) + 1] = width
+                flat = values(sig).ravel() if full else np.empty(0, np.int64)
+                columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum(counts, dtype=np.int32)), pa.array(flat)))
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in SIGNED.split(", ")])
 
     return common.narrow(docs, doc_id="long", text="string").mapInArrow(run, SIGNED)
@@ -188,14 +187,14 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _agreement(x: str, y: str) -> Column:
     """Equal 4-bit places of two sketches."""
-    total = F.lit(0)
+    differ = F.lit(0)
     ones = F.lit(0x1111111111111111)
-    for i in range(4):
-        d = F.col(f"{x}{i}").bitwiseXOR(F.col(f"{y}{i}"))
+    for i in range(PACKS):
+        d = F.col(x)[i].bitwiseXOR(F.col(y)[i])
         d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
         d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
-        total = total + F.lit(16) - F.bit_count(d.bitwiseAND(ones))
-    return total
+        differ = differ + F.bit_count(d.bitwiseAND(ones))
+    return F.lit(16 * PACKS) - differ
 
 
 def _sizes_allow(m: str, n: str) -> Column:
@@ -211,7 +210,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("doc_id", "n_shingles", F.coalesce("id", "doc_id").alias("id")), "member",
     )
     heads = signed.join(classes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sketch = heads.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "s0", "s1", "s2", "s3")
+    sketch = heads.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch", "keys")
 
     rows = heads.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
     shared = rows.groupBy("key").agg(F.count("*").alias("mates"), F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
@@ -227,7 +226,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     near = mates.join(hubs, "key").filter("id != b").select(F.col("id").alias("a"), "b").distinct()
     tried = common.stash(
         near.join(_side(known, "a", "x"), "a").join(_side(known, "b", "y"), "b")
-        .filter(_sizes_allow("xn", "yn")).withColumn("agree", _agreement("x", "y")).filter(F.col("agree") >= AGREE)
+        .filter(_sizes_allow("x_n", "y_n")).withColumn("agree", _agreement("x_sketch", "y_sketch")).filter(F.col("agree") >= AGREE)
         .select("a", "b", "agree"), "tried",
     )
     best = tried.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("best"))
@@ -239,11 +238,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = mates.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
     mixed = placed.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1").select("key")
     open_ = placed.join(mixed, "key").join(known, "id")
-    x = open_.select("key", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("n").alias("xn"), *[F.col(f"s{i}").alias(f"x{i}") for i in range(4)])
-    y = open_.select("key", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("n").alias("yn"), *[F.col(f"s{i}").alias(f"y{i}") for i in range(4)])
+    x = _side(open_, "a", "x", "key", F.col("c").alias("x_c"))
+    y = _side(open_, "b", "y", F.col("key").alias("y_key"), F.col("c").alias("y_c"))
     across = x.join(
-        y, (x["key"] == y["key"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-        & _sizes_allow("xn", "yn") & (_agreement("x", "y") >= AGREE),
+        y, (F.col("key") == F.col("y_key")) & (F.col("a") < F.col("b")) & (F.col("x_c") != F.col("y_c")) & _sizes_allow("x_n", "y_n")
+        & (_agreement("x_sketch", "y_sketch") >= AGREE) & (F.array_min(F.array_intersect("x_keys", "y_keys")) == F.col("key")),
     ).select("a", "b").distinct()
     links = links.unionAll(common.stash(confirm(across, sets), "links-across"))
     final = components(links)
@@ -255,8 +254,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _side(known: DataFrame, name: str, mark: str) -> DataFrame:
-    return known.select(F.col("id").alias(name), F.col("n").alias(f"{mark}n"), *[F.col(f"s{i}").alias(f"{mark}{i}") for i in range(4)])
+def _side(known: DataFrame, name: str, mark: str, *more: str | Column) -> DataFrame:
+    """One side of a pair: the id under ``name``, the rest marked."""
+    return known.select(F.col("id").alias(name), *more, *[F.col(c).alias(f"{mark}_{c}") for c in ("n", "sketch", "keys")])
 
 
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
