@@ -20,7 +20,7 @@ Steps, none of which lists all pairs of a group of copies:
 
 A pair is compared only if a packed sketch (4 bits of every coordinate) agrees
 in at least ``AGREE`` places, which a pair of similarity 0.75 misses with
-probability below 1e-6, and if the set sizes allow the similarity.  A pair that
+probability 4e-6, about as rarely as the buckets, and if the set sizes allow the similarity.  A pair that
 shares several buckets is compared in the one of smallest key.
 
 Cases: a null or empty text or one without words has no shingles and is linked
@@ -44,7 +44,7 @@ from quarry.operators.components import components
 WIDTH = 5
 ROWS, BANDS = 6, 64
 SIMILAR = 75  # percent
-AGREE = 253  # of ROWS * BANDS places
+AGREE = 256  # of ROWS * BANDS places: the bands miss as often
 PACKS = ROWS * BANDS // 16  # 64-bit integers of a sketch
 CHUNK = 1 << 16  # shingles hashed at a time
 MEMO = 300_000  # word hashes remembered per worker
@@ -186,14 +186,17 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _agreement(x: str, y: str) -> Column:
-    """Equal 4-bit places of two sketches."""
-    differ = F.lit(0)
+    """Equal 4-bit places of two sketches.
+
+    A fold rather than one long expression: unrolled, the generated method would
+    be too large for the JVM to compile."""
     ones = F.lit(0x1111111111111111)
-    for i in range(PACKS):
-        d = F.col(x)[i].bitwiseXOR(F.col(y)[i])
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
-        differ = differ + F.bit_count(d.bitwiseAND(ones))
+
+    def add(total: Column, d: Column) -> Column:
+        pairs = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+        return total + F.bit_count(pairs.bitwiseOR(F.shiftrightunsigned(pairs, 2)).bitwiseAND(ones))
+
+    differ = F.aggregate(F.zip_with(x, y, lambda a, b: a.bitwiseXOR(b)), F.lit(0), add)
     return F.lit(16 * PACKS) - differ
 
 
