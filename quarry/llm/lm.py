@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import common
 
-BLOCK_BYTES = 12 << 20  # text of one block
+BLOCK_BYTES = 6 << 20  # text of one block
 SHARD_BYTES = 16 << 20  # text per shard
 BUCKETS = 24
 DELETED = 10  # one training document in so many is deleted from the estimates
