@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from quarry.llm import common
 
 SCALE, EVERY, K = 256, 50, 5
-BLOCK, QUERY_BLOCK, LEAF = 4096, 1024, 48
+BLOCK, QUERY_BLOCK, LEAF = 4096, 1024, 256
 NO_SCORE, NO_ID = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 PACKED = "dim int, ids binary, vectors binary"
