@@ -16,7 +16,8 @@ from . import fixtures as X
 from .session import scratch_dir, write_file
 
 
-LANDING_VERSION = "3"
+LANDING_VERSION = "4"
+PAGE_IDS = 100  # ids of one page of search results
 
 
 def _tag(spark: SparkSession, sf_dir: str) -> str:
@@ -121,8 +122,9 @@ def land_payloads(spark: SparkSession, sf_dir: str) -> str:
     hit = F.struct(F.struct(F.col("owner").alias("login")).alias("owner"), "name", "html_url",
                    F.col("stars").alias("stargazers_count"), "language", "description",
                    F.date_format("pushed_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("pushed_at"))
-    # half of the hits as search pages with an ``items`` array, the others one per line
-    paged = repos.filter("doc_id % 2 = 0").groupBy((F.col("doc_id") % 64).alias("page")).agg(F.collect_list(hit).alias("items"))
+    # half of the hits as search pages with an ``items`` array, the others one per line;
+    # a page holds a fixed range of ids, so pages grow in number and not in size
+    paged = repos.filter("doc_id % 2 = 0").groupBy(F.floor(F.col("doc_id") / PAGE_IDS).alias("page")).agg(F.collect_list(hit).alias("items"))
     paged.select(F.size("items").alias("total_count"), "items").write.mode("overwrite").json(f"{root}/hits")
     repos.filter("doc_id % 2 = 1").select(hit.alias("h")).select("h.*").write.mode("append").json(f"{root}/hits")
     X.fixture(spark, sf_dir, "fx_readmes").select("owner", "name", "content").write.mode("overwrite").json(

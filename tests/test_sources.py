@@ -119,3 +119,14 @@ def test_no_local_scratch_off_a_local_master(monkeypatch, spark):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_dir(Remote())
+
+
+def test_landed_search_pages_are_bounded(spark):
+    from quarry import landing
+
+    sizes = {}
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        hits = spark.read.json(f"{landing.land_payloads(spark, sf)}/hits").filter("items is not null")
+        sizes[sf] = [r.n for r in hits.select(F.size("items").alias("n")).collect()]
+    small, large = sizes.values()
+    assert max(small + large) <= landing.PAGE_IDS and len(large) > len(small)
