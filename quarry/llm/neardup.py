@@ -273,7 +273,20 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns."""
-    kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    chosen = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["doc_id"]), "left_semi")
-    return chosen.unionByName(docs.filter("doc_id is null"))
+    """One row of each component, with all its columns.
+
+    Rows are told apart by a number of their own, so that repeated rows and rows
+    without an id are members like any other; the row of smallest doc_id stays.
+    Rows without words, linked with nothing, are one if doc_id and text are equal."""
+    rows = common.stash(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    placed = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id", "n_shingles")
+    blank = F.coalesce(~F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.lit(True))
+    named = rows.select("_row", F.col("doc_id").cast("long").alias("_doc"), F.when(blank, F.col("text")).alias("_blank"))
+    lone = F.col("n_shingles") == 0
+    first = F.struct(F.col("_doc").isNull(), "_doc", "_row")
+    kept = (
+        named.join(placed, "_row")
+        .groupBy(F.when(~lone, F.col("component_id")), F.when(lone, F.col("_doc")), F.when(lone, F.col("_blank")))
+        .agg(F.min(first).alias("first")).select("first._row")
+    )
+    return rows.join(kept, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -55,6 +55,16 @@ def test_near_duplicates_match_brute_force(spark, docs, no_docs):
     assert neardup.near_duplicates(no_docs).count() == 0
 
 
+def test_keep_one_of_repeated_rows_and_rows_without_id(spark):
+    base, other, third = prose(31, 60), prose(32, 60), prose(33, 60)
+    near = base.rsplit(" ", 1)[0] + " other"
+    rows = [row(4, base), row(4, base), row(5, near), row(None, base), row(None, other), row(None, other)]
+    rows += [row(6, third), row(6, prose(34, 60)), row(7, None), row(7, None), row(8, ""), row(9, "")]
+    got = neardup.keep_one(spark.createDataFrame(rows, SCHEMA).repartition(4))
+    want = [(4, base), (None, other), (6, third), (6, prose(34, 60)), (7, None), (8, ""), (9, "")]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(5)
     a = rng.integers(0, 2**63, 400).astype(np.uint64)
