@@ -131,13 +131,15 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, each: int = SAMPLE) -> l
     return [(r["domain"], r["text"]) for r in sorted(got, key=lambda r: r["doc_id"])]
 
 
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(text.cast("string"))
+
+
 def posteriors(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
     """doc_id, a hash of the text, n_tokens (words) and posterior of every document."""
     held = docs.sparkSession.sparkContext.broadcast(None if weights is None else weights.astype(np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         w, places = held.value, _Places()
         for b in batches:
             texts = b.column("text").cast(pa.binary()).to_pylist()
@@ -149,14 +151,13 @@ def posteriors(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
                     z = (value @ w[at] if len(at) else 0.0) + w[-1].astype(np.float64)
                     p = np.exp(z - z.max())
                     out[i] = p / p.sum()
-            keys = np.array([xxhash.xxh3_64_intdigest(t or b"") for t in texts], np.uint64).view(np.int64)
             flat = pa.array(out.ravel())
             ends = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * len(DOMAINS))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(keys), pa.array(n, pa.int64()), pa.ListArray.from_arrays(ends, flat)], ["doc_id", "text_key", "n_tokens", "posterior"],
+                [b.column("doc_id"), b.column("text_key"), pa.array(n, pa.int64()), pa.ListArray.from_arrays(ends, flat)], ["doc_id", "text_key", "n_tokens", "posterior"],
             )
 
-    return common.narrow(docs, doc_id="long", text="string").mapInArrow(run, POSTERIOR)
+    return common.narrow(docs, doc_id="long", text="string").withColumn("text_key", _text_key(F.col("text"))).mapInArrow(run, POSTERIOR)
 
 
 def _replay(steps: list[tuple[float, ...]], momenta: list[float], least: float) -> Column:
@@ -241,10 +242,12 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS,
     """The documents, each as often as its copies say, with all their columns."""
     table = _table(docs, labels)
     steps, momenta, _ = solve(table, targets, budget, least)
+    # one line for each document and text: rows of one doc_id, or without any, may differ in text
     plan = (
-        table.select("doc_id", "text_key", _copies(_rate(steps, momenta, least), F.struct("doc_id", "text_key")).alias("_copies"))
-        .select(F.col("doc_id").alias("_doc"), "_copies").groupBy("_doc").agg(F.max("_copies").alias("_copies"))
+        table.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), _copies(_rate(steps, momenta, least), F.struct("doc_id", "text_key")).alias("_copies"))
+        .groupBy("_doc", "_key").agg(F.max("_copies").alias("_copies"))
     )
-    joined = docs.join(plan.hint("shuffle_hash"), docs["doc_id"].cast("long").eqNullSafe(plan["_doc"]))
+    same = docs["doc_id"].cast("long").eqNullSafe(plan["_doc"]) & (_text_key(docs["text"]) == plan["_key"])
+    joined = docs.join(plan.hint("shuffle_hash"), same)
     names = [F.col(f"`{c}`") for c in docs.columns]
     return joined.filter("_copies > 0").withColumn("_nth", F.explode(F.sequence(F.lit(1), "_copies"))).select(*names)

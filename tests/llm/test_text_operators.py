@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 from llm_cases import SCHEMA, cases, prose, row
+from pyspark.sql import functions as F
 
 from quarry.llm import bpe, langid, lm, mixing, quality, toxicity
 
@@ -133,3 +134,15 @@ def test_mixing_meets_targets(spark, docs, no_docs):
     assert {r.doc_id for r in mixed.select("doc_id").collect()} == {r[0] for r in cases()}
     assert mixing.rates(no_docs, labels).count() == 0
     assert mixing.mix(docs, labels.limit(0)).count() > 0
+
+
+def test_mixing_copies_follow_each_row(spark, monkeypatch):
+    texts = [prose(900 + i, 30 + i) for i in range(40)]
+    rows = [row(None, t) for t in texts] + [row(7, t + " seven") for t in texts]
+    table = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    # copies by a rule on the tokens alone stand for rates of different posteriors
+    monkeypatch.setattr(mixing, "solve", lambda *a: ([], [], None))
+    monkeypatch.setattr(mixing, "_copies", lambda rate, key: (F.col("n_tokens") % 3 + 1).cast("int"))
+    got = Counter((r.doc_id, r.text) for r in mixing.mix(table, labels).collect())
+    assert got == Counter({(r[0], r[1]): len(r[1].split()) % 3 + 1 for r in rows})
