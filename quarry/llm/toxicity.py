@@ -12,8 +12,9 @@ Details that make window lengths comparable:
 
 * The toxic dictionary holds the ordinary content after its own, so ordinary
   matches cost the same under both and a gain can only come from toxic content.
-* Toxic training text is the part of toxic documents made of byte runs that are
-  significantly more frequent there than in ordinary documents.
+* Toxic training text is the words of toxic documents that hold a byte run which
+  is significantly more frequent there than in ordinary documents; whole words,
+  so that what follows the run is learnt as well.  A window is one word.
 * Every window is compressed between a primer (the end of the ordinary content)
   and a fixed pad, so a short word meets the block header cost already paid.
 * The shortest match is ``MIN_MATCH`` bytes, so a window that shares no run of
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 from quarry.llm import common
 
 MAX_TOXIC, MAX_ORDINARY, MAX_SAMPLE_BYTES = 2000, 8000, 12000
-ORDINARY_BYTES, TOXIC_BYTES = 32 << 10, 2 << 10
+ORDINARY_BYTES, TOXIC_BYTES = 32 << 10, 8 << 10
 MIN_MATCH, PRIMER = 5, 48
 EVIDENCE = 20.0  # log-likelihood ratio from which a byte run tells the classes apart
 PAD = bytes(range(240, 250))
@@ -191,12 +192,25 @@ def _runs(word: bytes) -> list[bytes]:
     return [padded[i : i + MIN_MATCH] for i in range(len(padded) - MIN_MATCH + 1)]
 
 
-def _telling(used: dict[int, Counter], n: dict[int, int]) -> set[bytes]:
-    """Runs of bytes that toxic documents hold more often than chance allows."""
+def _telling(learn: list[tuple[int, bytes, int]]) -> set[bytes]:
+    """Runs of bytes that toxic documents hold more often than chance allows.
+
+    The rate counts every occurrence, as long ordinary documents hold most runs
+    at least once; the evidence counts documents, so that one alone tells nothing."""
+    docs, times, words, n = {0: Counter(), 1: Counter()}, {0: Counter(), 1: Counter()}, Counter(), Counter()
+    for _, text, label in learn:
+        here: Counter = Counter()
+        for w, c in Counter(words_of(text)).items():
+            words[label] += c
+            for run in _runs(w):
+                here[run] += c
+        docs[label].update(here.keys())
+        times[label].update(here)
+        n[label] += 1
     share, out = n[1] / (n[0] + n[1]), set()
-    for run, c in used[1].items():
-        o = used[0][run]
-        if c / n[1] >= 5 * (o + 0.5) / n[0]:
+    for run, c in docs[1].items():
+        o = docs[0][run]
+        if c / n[1] > o / n[0] and times[1][run] * words[0] >= 5 * (times[0][run] + 0.5) * words[1]:
             both = c + o
             evidence = 2 * (c * math.log(c / (both * share)) + (o * math.log(o / (both * (1 - share))) if o else 0))
             if evidence >= EVIDENCE:
@@ -204,34 +218,11 @@ def _telling(used: dict[int, Counter], n: dict[int, int]) -> set[bytes]:
     return out
 
 
-def _residue(text: bytes, telling: set[bytes]) -> list[bytes]:
-    """The stretches of a text's words that telling runs cover."""
-    out = []
-    for word in words_of(text):
-        at = [i for i, run in enumerate(_runs(word)) if run in telling]
-        if at:
-            padded, start = b" " + word + b" ", at[0]
-            for i, j in zip(at, [*at[1:], None], strict=True):
-                if j is None or j > i + MIN_MATCH:
-                    out.append(padded[start : i + MIN_MATCH])
-                    start = j
-    return out
-
-
 def _dictionaries(learn: list[tuple[int, bytes, int]]) -> tuple[bytes, bytes]:
     """(ordinary, toxic) dictionary contents of labelled rows of both classes."""
-    used = {0: Counter(), 1: Counter()}
-    for _, text, label in learn:
-        used[label].update({run for w in set(words_of(text)) for run in _runs(w)})
-    telling = _telling(used, {k: sum(r[2] == k for r in learn) for k in (0, 1)})
-    rest = [_residue(t, telling) for _, t, label in learn if label]
-    pieces = Counter(p for r in rest for p in r)
-    samples = [x for x in map(b"".join, rest) if len(x) >= 8]
-    if sum(map(len, pieces)) <= TOXIC_BYTES or sum(map(len, samples)) < 8 * TOXIC_BYTES:
-        # too little to train on: the pieces themselves, the commonest last
-        toxic = b"".join(sorted(pieces, key=lambda p: (pieces[p], p)))[-TOXIC_BYTES:]
-    else:
-        toxic = _train(samples, TOXIC_BYTES, k=24, d=6)
+    telling = _telling(learn)
+    rest = [[w for w in words_of(t) if not telling.isdisjoint(_runs(w))] for _, t, label in learn if label]
+    toxic = _train([x for r in rest for x in _cut(b" ".join(r), 64)], TOXIC_BYTES, k=16, d=6)
     toxic = toxic or b"".join(t for _, t, label in learn if label)[-TOXIC_BYTES:]
     plain = [w for _, t, label in learn if not label for w in _cut(t)]
     plain.sort(key=zlib.crc32)

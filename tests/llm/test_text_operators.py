@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -64,6 +65,25 @@ def test_toxicity_separates_and_takes_all_cases(spark, docs, no_docs):
     assert toxicity.score(no_docs, toxicity.train(no_docs, labels.limit(0))).count() == 0
 
 
+def test_toxicity_learns_what_follows_a_telling_run():
+    # half of the toxic texts hold a word of their own, half use one opening often that
+    # over a quarter of the ordinary texts hold too
+    rng = random.Random(3)
+    parts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(30)]
+
+    def text(kind: int) -> bytes:
+        words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(300)]
+        for i in range(0, 300, 25) if kind < 2 else ():
+            words[i] = "worthlessfool" if kind else parts[0] + parts[1] + rng.choice(parts)
+        return " ".join(words).encode()
+
+    rows = [(i, text(i % 10), int(i % 10 < 2)) for i in range(1500)]
+    model = toxicity.fit(rows[:1200])
+    windows = toxicity.Windows(model.ordinary, model.toxic, model.gain)
+    got = [toxicity.score_text(t, windows, model)[0] >= toxicity.CUTOFF for _, t, _ in rows[1200:]]
+    assert sum(g == bool(y) for g, (_, _, y) in zip(got, rows[1200:], strict=True)) >= 290
+
+
 def test_encoding_equals_the_tokenizer(spark, docs, no_docs):
     from tokenizers import Tokenizer
 
