@@ -6,8 +6,9 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tools"))
+sys.path.insert(0, os.path.join(ROOT, "tests"))
 
-SMALL_SF = "/root/testdata/sf0.001"
+from small_inputs import SMALL_SF  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL_SF
+from small_inputs import SMALL_SF
 from quarry import fixtures as X
 from quarry.plans.preprocess import preprocess
 from quarry.plans.validate import validate_lines_report

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SMALL_SF
+from small_inputs import SMALL_SF
 from oracle_check import compare
 from quarry import catalog
 
