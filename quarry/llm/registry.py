@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, common, covertree, langid, lm, mixing, neardup, quality, secrets, toxicity, warc
+from quarry.llm import bpe, common, conversations, covertree, langid, lm, mixing, neardup, quality, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +79,8 @@ ORACLES["op8_cover_tree"] = covertree.oracle_sql()
 @query
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.rates(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit(common.table(spark, sf_dir, "conversations"))
