@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, common, conversations, covertree, langid, lm, mixing, neardup, quality, secrets, toxicity, warc
+from quarry.llm import bpe, common, conversations, covertree, divergence, langid, lm, mixing, neardup, quality, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +84,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.audit(common.table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_term_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(common.table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_term_rows"] = divergence.ORACLE_SQL
