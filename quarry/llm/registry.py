@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, common, conversations, covertree, divergence, langid, lm, mixing, neardup, quality, secrets, toxicity, warc
+from quarry.llm import bpe, common, conversations, covertree, divergence, langid, lm, mixing, neardup, personal, quality, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,8 @@ def op12_term_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_term_rows"] = divergence.ORACLE_SQL
+
+
+@query
+def op11_bootstrapped_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.extract(common.table(spark, sf_dir, "documents"))
