@@ -1177,6 +1177,20 @@ def q_dedup_near(spark, sf):
     return dedup_near(spark, kept, "doc_id", "text").select("doc_id", "lang")
 
 
+@query("near_dup_groups", "WITH RECURSIVE " + _duck_near_pairs(kept_sql="kept AS (SELECT doc_id, text FROM documents),") + """,
+edges AS (SELECT id_a AS s, id_b AS d FROM simpairs UNION SELECT id_b, id_a FROM simpairs),
+reach(s, d) AS (SELECT s, d FROM edges UNION SELECT r.s, e.d FROM reach r JOIN edges e ON e.s = r.d),
+least AS (SELECT s AS id, min(d) AS d FROM reach GROUP BY s)
+SELECT id AS doc_id, min(id) OVER (PARTITION BY list_sort(s)) AS class_id, least(id, coalesce(d, id)) AS component_id
+FROM sets LEFT JOIN least USING (id)""")
+def q_near_dup_groups(spark, sf):
+    """Membership instead of pairs: the class of equal shingle sets and the component of
+    similar ones, of every document with a shingle."""
+    from .operators.neardup import near_classes
+
+    return near_classes(docs(spark, sf), "doc_id", "text").select(F.col("id").alias("doc_id"), "class_id", "component_id")
+
+
 @query("scan_repo_payloads", W(*REPO_FX) + """
 SELECT r.owner, r.name, CAST(r.stars AS BIGINT) AS stars, r.language, r.pushed_at, m.content IS NOT NULL AS has_readme,
        CAST(len(t.tree) AS BIGINT) AS tree_items

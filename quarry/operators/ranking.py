@@ -4,17 +4,16 @@
 of its exact position in a hash order (as ``row_number() over (order by key)``
 would).  Only the cut points matter:
 
-* counts per (group, key prefix) tell which prefix bucket holds each cut; they
-  are combined map-side and carry no other column;
-* the keys of those few buckets alone are ranked, which gives each cut a key
-  and, where equal keys straddle it, the number of them below it;
-* every row is then labelled where it stands, by comparing its key with the cuts
-  of its group.  Only rows whose key straddles a cut are counted and numbered;
-  identical ones are one row in that shuffle, and groups larger than
-  ``chunk_rows`` are cut into chunks that are spread over tasks.
+* the input is computed once and written with a hash and a number of each row, so
+  rows of equal keys, and equal rows, have an order of their own (``numbered``);
+* counts per (group, key prefix) over the key column of that table name the bucket
+  of each cut; only the keys of those buckets are ranked, as counts of equal rows;
+  a cut inside a run of equal rows is placed by counts per written part;
+* every row is then labelled where it stands, in the one pass that reads the
+  content, by comparing (key, hash, number) with the cuts of its group.
 
 So no content column is shuffled, whatever the size of the table or the skew of
-its groups, and nothing is checkpointed.
+its groups, and slices of slices (a cap, then a split) read the same table.
 """
 
 from __future__ import annotations
@@ -25,17 +24,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_ROWS = 100_000
+from ..session import write_through
+
 DIGITS = 4  # leading hex digits of a bucket: 65,536 buckets in a group
-LOCAL_GROUPS = 20_000  # cut tables of so many groups at most are sent to every task
+LOCAL_CUTS = 40_000  # tables of so many cuts at most are sent to every task
+HASH, NUMBER = "_q_h", "_q_rid"
+PART_BITS = 33  # monotonically increasing ids: written part above, row in it below
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` written once, with a hash of each row and a number that no other row has."""
+    if HASH in df.columns and NUMBER in df.columns:
+        return df
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return write_through(df.select("*", row.alias(HASH), F.monotonically_increasing_id().alias(NUMBER)), "numbered")
+
+
+def _same_group(part: list[str], prefix: str) -> Column:
+    on = F.lit(True)
+    for i, c in enumerate(part):
+        on = on & F.col(c).eqNullSafe(F.col(f"{prefix}{i}"))
+    return on
 
 
-def _cuts(df: DataFrame, key: str, bounds: Callable[[Column], list[Column]], part: list[str], digits: int) -> DataFrame:
-    """One row per group: ``cuts``, an array of (key, take) by cut number.
+def _renamed(df: DataFrame, part: list[str], prefix: str, *more: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{prefix}{i}") for i, c in enumerate(part)], *more)
 
-    A row is above cut i if its key is greater than the cut's, or equal and at
-    least ``take`` equal keys come before it.  A null key: nothing is above."""
-    keys = df.select(*part, F.col(key).alias("_k")).withColumn("_b", F.substring("_k", 1, digits))
+
+def _crossing(keys: DataFrame, bounds: Callable[[Column], list[Column]], part: list[str]) -> DataFrame:
+    """(group, i, key, hash, take): the run of equal rows that holds cut i, and how many
+    of its rows come before the cut."""
     counts = keys.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_c"))
     # at most 16**digits rows of each group; a window over counts, not over rows
     order = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -46,21 +64,32 @@ def _cuts(df: DataFrame, key: str, bounds: Callable[[Column], list[Column]], par
         placed.select(*part, "_b", (F.col("_end") - F.col("_c")).alias("_start"), "_end", F.posexplode(ends).alias("_i", "_at"))
         .filter((F.col("_at") >= F.col("_start")) & (F.col("_at") < F.col("_end")))
     )
-    # rank the keys of the buckets that hold a cut
     held = wanted.groupBy(*part, "_b").agg(F.min("_start").alias("_start"), F.collect_list(F.struct("_i", "_at")).alias("_wanted"))
-    same = held.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(part)], F.col("_b").alias("_hb"), "_start", "_wanted")
-    on = F.col("_b") == F.col("_hb")
-    for i, c in enumerate(part):
-        on = on & F.col(c).eqNullSafe(F.col(f"_p{i}"))
-    near = keys.groupBy(*part, "_b", "_k").agg(F.count(F.lit(1)).alias("_c")).join(same, on)
-    order = Window.partitionBy(*part, "_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = _renamed(held, part, "_p", "_start", "_wanted", F.col("_b").alias("_hb"))
+    runs = keys.groupBy(*part, "_b", "_k", HASH).agg(F.count(F.lit(1)).alias("_c"))
+    near = runs.join(held, (F.col("_b") == F.col("_hb")) & _same_group(part, "_p"))
+    order = Window.partitionBy(*part, "_b").orderBy("_k", HASH).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = near.withColumn("_to", F.col("_start") + F.sum("_c").over(order)).withColumn("_from", F.col("_to") - F.col("_c"))
-    crossing = (
-        ranked.select(*part, "_k", "_from", "_to", F.explode("_wanted").alias("_w"))
+    return (
+        ranked.select(*part, "_k", HASH, "_from", "_to", F.explode("_wanted").alias("_w"))
         .filter((F.col("_w._at") >= F.col("_from")) & (F.col("_w._at") < F.col("_to")))
-        .select(*part, F.struct(F.col("_w._i").alias("i"), F.col("_k").alias("key"), (F.col("_w._at") - F.col("_from")).alias("take")).alias("_cut"))
+        .select(*part, F.col("_w._i").alias("i"), F.col("_k").alias("key"), F.col(HASH).alias("hash"), (F.col("_w._at") - F.col("_from")).alias("take"))
     )
-    return crossing.groupBy(*part).agg(F.collect_list("_cut").alias("_cuts"))
+
+
+def _inside(keys: DataFrame, cuts: DataFrame, part: list[str]) -> DataFrame:
+    """(group, i, number): the first row after a cut that falls inside a run of equal
+    rows.  Counts per written part come first, so one part's rows at most are ranked."""
+    inner = _renamed(cuts.filter("take > 0"), part, "_p", "i", "key", F.col("hash").alias("_ch"), "take")
+    tied = keys.join(inner, (F.col("_k") == F.col("key")) & (F.col(HASH) == F.col("_ch")) & _same_group(part, "_p"))
+    tied = tied.select(*part, "i", "take", F.col(NUMBER).alias("number"), F.shiftright(NUMBER, PART_BITS).alias("part"))
+    counts = tied.groupBy(*part, "i", "part").agg(F.count(F.lit(1)).alias("_c"), F.min("take").alias("take"))
+    order = Window.partitionBy(*part, "i").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = counts.withColumn("_to", F.sum("_c").over(order)).withColumn("_from", F.col("_to") - F.col("_c")).filter("take >= _from and take < _to")
+    at = _renamed(at, part, "_p", F.col("i").alias("_i"), F.col("part").alias("_part"), (F.col("take") - F.col("_from")).alias("_nth"))
+    rows = tied.join(at, (F.col("i") == F.col("_i")) & (F.col("part") == F.col("_part")) & _same_group(part, "_p"))
+    order = Window.partitionBy(*part, "i").orderBy("number")
+    return rows.withColumn("_r", F.row_number().over(order)).filter("_r = _nth + 1").select(*part, "i", "number")
 
 
 def ordered_slices(
@@ -71,66 +100,45 @@ def ordered_slices(
     keep: Sequence[int] | None = None,
     slice_col: str = "slice",
     digits: int = DIGITS,
-    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Label rows by the slice their rank falls in.
 
-    ``key`` is a hex string column (an md5); rows are ranked by it inside each
-    ``partition_by`` group.  ``bounds(n)`` maps the group size ``n`` to the
-    cumulative slice ends ``[b1, b2, ...]``: rank r (0-based) is in slice i when
-    ``b_i <= r < b_{i+1}`` (b_0 = 0, last slice open).  Only ``keep`` slices are
-    returned.  Distinct rows sharing a key are ordered by their content hash.
+    ``key`` is a hex string column (an md5; null is the empty string); rows are
+    ranked by it inside each ``partition_by`` group, rows of one key by a hash of
+    their content.  ``bounds(n)`` maps the group size ``n`` to the cumulative slice
+    ends ``[b1, b2, ...]``: rank r (0-based) is in slice i when ``b_i <= r < b_{i+1}``
+    (b_0 = 0, last slice open).  Only ``keep`` slices are returned.
 
-    The cut table (one small row per group) is computed when this is called: up
-    to ``LOCAL_GROUPS`` groups it goes to every task, beyond that it is joined.
+    The input is written and its cuts are found when this is called.  Up to
+    ``LOCAL_CUTS`` cuts go to every task, beyond that they are joined by group.
     """
     spark, part = df.sparkSession, list(partition_by)
-    cuts = _cuts(df, key, bounds, part, digits)
-    rows = cuts.limit(LOCAL_GROUPS + 1).collect()
-    small = len(rows) <= LOCAL_GROUPS
-    if small:
-        cuts = spark.createDataFrame(rows, T.StructType(cuts.schema.fields))
-    names = {c: f"_g{i}" for i, c in enumerate(part)}
-    cuts = cuts.select(*[F.col(c).alias(n) for c, n in names.items()], "_cuts")
-    on = F.lit(True)
-    for c, n in names.items():
-        on = on & F.col(c).eqNullSafe(F.col(n))
-    joined = df.join(F.broadcast(cuts) if small else cuts, on, "left").drop(*names.values())
-    cut = F.coalesce("_cuts", F.array().cast(cuts.schema["_cuts"].dataType))
-    joined = joined.withColumn("_cuts", cut)
-    k = F.col(key)
-    astride = F.exists("_cuts", lambda c: (c["key"] == k) & (c["take"] > 0))
-
-    def above(rank: Column) -> Column:
-        """How many cuts a row is above, given its rank among equal keys."""
-        return F.size(F.filter("_cuts", lambda c: (k > c["key"]) | ((k == c["key"]) & (rank >= c["take"])))).cast("int")
-
-    keep_set = None if keep is None else [int(i) for i in keep]
-    out_cols = [*df.columns, slice_col]
-    clear = joined.filter(~astride).withColumn(slice_col, above(F.lit(0)))
-    if keep_set is not None:
-        clear = clear.filter(F.col(slice_col).isin(keep_set))
-
-    # rows whose key straddles a cut: identical ones are counted, then numbered
-    other = [c for c in df.columns if c not in part and c != key]
-    groups = joined.filter(astride).groupBy(*df.columns, "_cuts").agg(F.count(F.lit(1)).alias("_c"))
-    order = Window.partitionBy(*part, key).orderBy(F.xxhash64(*other) if other else F.lit(0), *other)
-    groups = groups.withColumn("_s", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_c"))
-    # a group's ranks [s, s + c) are split at the cuts of its key
-    takes = F.transform(F.filter("_cuts", lambda c: c["key"] == k), lambda c: c["take"])
-    start, end = F.col("_s"), F.col("_s") + F.col("_c")
-    marks = F.array_sort(F.array_distinct(F.concat(F.array(start), F.filter(takes, lambda t: (t > start) & (t < end)))))
-    pieces = groups.withColumn("_marks", marks).select("*", F.posexplode("_marks").alias("_m", "_lo"))
-    pieces = pieces.withColumn("_hi", F.coalesce(F.get("_marks", F.col("_m") + 1), end)).withColumn(slice_col, above(F.col("_lo")))
-    pieces = pieces.withColumn("_len", F.col("_hi") - F.col("_lo"))
-    if keep_set is not None:
-        pieces = pieces.filter(F.col(slice_col).isin(keep_set))
-    # copies are expanded in chunks, large ones spread over tasks first
-    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_len") - 1) / chunk_rows))
-    spread = pieces.select(*out_cols, "_len", F.explode(chunks).alias("_chunk")).repartition(key, "_chunk")
-    size = F.least(F.lit(chunk_rows).cast("bigint"), F.col("_len") - F.col("_chunk") * chunk_rows)
-    copies = spread.select(*out_cols, F.explode(F.sequence(F.lit(1).cast("bigint"), size)).alias("_x"))
-    return clear.select(*out_cols).unionByName(copies.select(*out_cols))
+    rows = numbered(df)
+    k = F.coalesce(F.col(key), F.lit(""))
+    keys = rows.select(*part, k.alias("_k"), HASH, NUMBER).withColumn("_b", F.substring("_k", 1, digits))
+    crossing = _crossing(keys, bounds, part)
+    found = crossing.limit(LOCAL_CUTS + 1).collect()
+    small = len(found) <= LOCAL_CUTS
+    crossing = spark.createDataFrame(found, T.StructType(crossing.schema.fields)) if small else write_through(crossing, "cuts")
+    first = F.lit(-1).cast("bigint").alias("number")  # before every row of the run
+    cuts = crossing.filter("take = 0").select(*part, "i", "key", "hash", first)
+    if not small or any(r["take"] > 0 for r in found):
+        inside = _inside(keys, crossing, part)
+        if small:
+            inside = spark.createDataFrame(inside.collect(), inside.schema)
+        inner = _renamed(inside, part, "_p", F.col("i").alias("_i"), "number")
+        cuts = cuts.unionByName(
+            crossing.filter("take > 0").join(inner, (F.col("i") == F.col("_i")) & _same_group(part, "_p")).select(*part, "i", "key", "hash", "number"))
+    per_group = _renamed(cuts.groupBy(*part).agg(F.collect_list(F.struct("key", "hash", "number")).alias("_cuts")), part, "_g", "_cuts")
+    joined = rows.join(F.broadcast(per_group) if small else per_group, _same_group(part, "_g"), "left")
+    place = F.struct(k, F.col(HASH), F.col(NUMBER))
+    above = F.size(F.filter(
+        F.coalesce("_cuts", F.array().cast(per_group.schema["_cuts"].dataType)),
+        lambda c: place >= F.struct(c["key"], c["hash"], c["number"])))
+    out = joined.withColumn(slice_col, above.cast("int"))
+    if keep is not None:
+        out = out.filter(F.col(slice_col).isin([int(i) for i in keep]))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], slice_col)
 
 
 def split_bounds(train_ratio: float, val_ratio: float) -> Callable[[Column], list[Column]]:
@@ -188,8 +196,14 @@ def top_k_per_group(df: DataFrame, k: int, partition_by: Sequence[str], order: S
     return out.drop("_q_rn")
 
 
+REPORT_ROWS = 10_000  # so many rows at most are picked by one task
+
+
 def head_in_order(df: DataFrame, key: str, n: int) -> DataFrame:
-    """First n rows in ``key`` order; n <= 0 = all rows."""
+    """First n rows in ``key`` order; n <= 0 = all rows.  A report of few rows is the
+    merged top n of every task; a longer one is a slice."""
+    if 0 < n <= REPORT_ROWS:
+        return df.orderBy(F.col(key)).limit(n)
     return cap_per_group(df, key, n, ())
 
 

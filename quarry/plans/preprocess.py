@@ -1,11 +1,12 @@
 """Preprocessing job: raw sources -> instruction examples -> exact splits -> metadata.
 
-Stages (all lazy DataFrame transformations; shuffles only at the cap, the split
-and the small aggregations):
+Stages (shuffles only of keys, at the cap and the split, and at the small
+aggregations):
 
 1. read each processor's raw folder (missing folders contribute nothing);
 2. filter, clean and convert each to example rows;
 3. optional cap per source (first N in a seeded hash order);
+   the converted examples are written once; every later stage reads that table;
 4. union and exact train/val/test split in a seeded hash order;
 5. metadata: per-processor counts (zeros included), split sizes, seed.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.text import preview_if_longer, seeded_key
 from ..operators import alpaca
-from ..operators.ranking import cap_per_group, exact_split
+from ..operators.ranking import HASH, NUMBER, cap_per_group, exact_split, numbered
 from ..sources import files
 
 
@@ -119,12 +120,14 @@ def preprocess(
     """The preprocessing job; writes only when ``out_dir`` is given and not a dry run."""
     if sources is None:
         sources = read_sources(spark, raw_dir)
-    examples = convert_sources(sources, seed)
+    # converted once: caps, split and counts read the written examples
+    examples = numbered(convert_sources(sources, seed))
     examples = cap_sources(examples, effective_cap(max_per_source, dry_run), seed)
     split = split_examples(examples, train_ratio, val_ratio, seed)
+    examples = examples.drop(HASH, NUMBER)
     result = PreprocessResult(
         examples=examples,
-        split=split.drop("_ck"),
+        split=split.drop("_ck", HASH, NUMBER),
         sources=source_counts(spark, examples),
         metadata=metadata_row(split, seed),
     )

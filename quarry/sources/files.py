@@ -1,23 +1,31 @@
 """Readers for landed raw files.
 
 A folder holds ``{name}.parquet`` entries, each a file or a directory of part
-files.  Every entry is read with its own schema, as the processors read file by
-file, so entries of different columns or types can lie side by side and no
-footers are merged.  An absent folder gives an empty DataFrame of the expected
-schema; an entry without a readable footer is left out and named by
-``skipped_entries``.  Any other error is raised.
+files.  Files may differ in columns and types: their footers are read first, and
+all files of one footer schema are one scan, however many there are; a row's entry
+is taken from the path of its file.
+
+A file that cannot be read is left out whole, as the processors skip a file they
+fail on: one without a readable footer, or one whose pages give fewer rows than its
+footer counts (every page is decoded once for that; ``verify=False`` trusts the
+pages).  ``skipped_entries`` names such files.  An absent folder gives an empty
+DataFrame of the expected schema.  Any other error is raised.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SUFFIX = ".parquet"
+FOOTER_THREADS = 16
 
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -32,58 +40,128 @@ def _string_or_default(df: DataFrame, candidates: list[str], default: str | None
     return F.lit(default).cast("string")
 
 
+@dataclass(frozen=True)
+class PartFile:
+    """One file of an entry; ``schema`` is None when its footer cannot be read."""
+
+    path: str
+    stem: str
+    schema: str | None
+    rows: int
+
+
 def entries(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
-    """(path, stem) of the ``*.parquet`` entries of a folder (non-recursive)."""
+    """(path, stem) of the files of the ``*.parquet`` entries of a folder (non-recursive)."""
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/*{SUFFIX}")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    return sorted((s.getPath().toString(), s.getPath().getName()[: -len(SUFFIX)]) for s in found or [])
+    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for found in system.globStatus(pattern) or []:
+        stem = found.getPath().getName()[: -len(SUFFIX)]
+        parts = system.listStatus(found.getPath()) if found.isDirectory() else [found]
+        out += [(p.getPath().toString(), stem) for p in parts if p.isFile() and p.getPath().getName()[0] not in "_."]
+    return sorted(out)
+
+
+def part_files(spark: SparkSession, folder: str) -> list[PartFile]:
+    """The files of a folder with schema and row count of their footers."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def footer(entry: tuple[str, str]) -> PartFile:
+        path, stem = entry
+        try:
+            source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), conf)
+            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+        except Py4JJavaError as e:
+            # what the footer parser reports; a missing or forbidden file is another matter
+            if e.java_exception.getClass().getName() in ("java.lang.RuntimeException", "java.io.IOException", "java.io.EOFException"):
+                return PartFile(path, stem, None, 0)
+            raise
+        try:
+            return PartFile(path, stem, reader.getFileMetaData().getSchema().toString(), reader.getRecordCount())
+        finally:
+            reader.close()
 
+    found = entries(spark, folder)
+    with ThreadPool(FOOTER_THREADS) as pool:
+        return pool.map(footer, found)
 
-def _read_entry(spark: SparkSession, path: str) -> DataFrame | None:
-    """One entry; None when no footer in it can be read."""
-    try:
-        return spark.read.option("ignoreCorruptFiles", "true").parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER"):
-            return None
-        raise
+
+def _file(spark: SparkSession, folder: str) -> Column:
+    """A row's file, relative to the folder."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/"))
+    top = top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toString()
+    path = F.regexp_replace(_decoded(F.col("_metadata.file_path")), "^([a-z0-9]+):/+", "$1:/")
+    return F.substring(path, len(_one_slash(top)) + 2, 1 << 30)
+
+
+def _scan(spark: SparkSession, files: list[PartFile]) -> DataFrame:
+    return spark.read.option("ignoreCorruptFiles", "true").parquet(*[f.path for f in files])
+
+
+def _by_schema(files: list[PartFile]) -> list[list[PartFile]]:
+    groups: dict[str, list[PartFile]] = {}
+    for f in files:
+        if f.schema is not None:
+            groups.setdefault(f.schema, []).append(f)
+    return list(groups.values())
+
+
+def _damaged(spark: SparkSession, folder: str, files: list[PartFile]) -> set[str]:
+    """Paths of the files (of one schema) that give fewer rows than their footers count."""
+    df = _scan(spark, files)
+    # the hash makes the scan decode every column; one row a file is returned
+    seen = df.groupBy(_file(spark, folder).alias("file")).agg(F.count(F.lit(1)).alias("n"), F.max(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])))
+    rows = {r["file"]: r["n"] for r in seen.collect()}
+    return {f.path for f in files if f.rows > rows.get(_below(f, folder), 0)}
+
+
+def _below(f: PartFile, folder: str) -> str:
+    """A file's path relative to the folder."""
+    name = f.path.rsplit("/", 1)[1]
+    return name if name == f.stem + SUFFIX and not f.path.rsplit("/", 2)[1] == f.stem + SUFFIX else f"{f.stem}{SUFFIX}/{name}"
 
 
 def read_entries(spark: SparkSession, folder: str, schema: T.StructType,
-                 project: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """Union of ``project(entry, stem)`` over the readable entries of a folder."""
+                 project: Callable[[DataFrame, Column], DataFrame], verify: bool = True) -> DataFrame:
+    """Union of ``project(files of one schema, column of their entry's stem)``."""
     out = None
-    for path, stem in entries(spark, folder):
-        df = _read_entry(spark, path)
-        if df is not None:
-            part = project(df, stem)
+    for files in _by_schema(part_files(spark, folder)):
+        bad = _damaged(spark, folder, files) if verify else set()
+        files = [f for f in files if f.path not in bad]
+        if files:
+            stem = F.regexp_extract(_file(spark, folder), r"^([^/]+)\.parquet(?:/|$)", 1)
+            part = project(_scan(spark, files), stem)
             out = part if out is None else out.unionByName(part)
     return _empty(spark, schema) if out is None else out
 
 
 def skipped_entries(spark: SparkSession, folder: str) -> DataFrame:
-    """(entry) of the entries that the readers leave out."""
-    names = [(stem,) for path, stem in entries(spark, folder) if _read_entry(spark, path) is None]
-    return spark.createDataFrame(names, "entry string")
+    """(entry, file, reason) of the files that the readers leave out: ``footer`` or ``pages``."""
+    files = part_files(spark, folder)
+    out = [(f.stem, _below(f, folder), "footer") for f in files if f.schema is None]
+    for group in _by_schema(files):
+        bad = _damaged(spark, folder, group)
+        out += [(f.stem, _below(f, folder), "pages") for f in group if f.path in bad]
+    return spark.createDataFrame(out, "entry string, file string, reason string")
 
 
 PAIR_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
                             ["language", "code", "docstring", "repo", "path"]])
 
 
-def scan_language_files(spark: SparkSession, path: str) -> DataFrame:
+def scan_language_files(spark: SparkSession, path: str, verify: bool = True) -> DataFrame:
     """``{language}.parquet`` files: language is the file stem, not a column."""
     return read_entries(spark, path, PAIR_SCHEMA, lambda df, stem: df.select(
-        F.lit(stem).alias("language"), *[_string_or_default(df, [c]).alias(c) for c in ("code", "docstring", "repo", "path")]))
+        stem.alias("language"), *[_string_or_default(df, [c]).alias(c) for c in ("code", "docstring", "repo", "path")]), verify)
 
 
 CORPUS_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ["desc", "decl", "bodies"]])
 
 
-def scan_corpus(spark: SparkSession, path: str) -> DataFrame:
+def scan_corpus(spark: SparkSession, path: str, verify: bool = True) -> DataFrame:
     """Docstring corpus (desc, decl, bodies); a constant language is added later."""
     return read_entries(spark, path, CORPUS_SCHEMA, lambda df, stem: df.select(
-        *[_string_or_default(df, [c]).alias(c) for c in ("desc", "decl", "bodies")]))
+        *[_string_or_default(df, [c]).alias(c) for c in ("desc", "decl", "bodies")]), verify)
 
 
 INSTR_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ["instruction", "input", "output"]])
@@ -98,17 +176,17 @@ def resolve_instruction_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def scan_instructions(spark: SparkSession, path: str) -> DataFrame:
-    return read_entries(spark, path, INSTR_SCHEMA, lambda df, stem: resolve_instruction_columns(df))
+def scan_instructions(spark: SparkSession, path: str, verify: bool = True) -> DataFrame:
+    return read_entries(spark, path, INSTR_SCHEMA, lambda df, stem: resolve_instruction_columns(df), verify)
 
 
 FILE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ["language", "content", "path"]])
 
 
-def scan_whole_files(spark: SparkSession, path: str) -> DataFrame:
+def scan_whole_files(spark: SparkSession, path: str, verify: bool = True) -> DataFrame:
     """``{language}.parquet`` whole-file records (content, path)."""
     return read_entries(spark, path, FILE_SCHEMA, lambda df, stem: df.select(
-        F.lit(stem).alias("language"), *[_string_or_default(df, [c]).alias(c) for c in ("content", "path")]))
+        stem.alias("language"), *[_string_or_default(df, [c]).alias(c) for c in ("content", "path")]), verify)
 
 
 def _decoded(path: F.Column) -> F.Column:

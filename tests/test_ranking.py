@@ -39,11 +39,11 @@ def _counts(df, cols):
 
 def test_split_matches_sort_with_hot_value_and_chunks(spark):
     df = spark.createDataFrame(_rows(), "g string, v string").withColumn("k", F.md5(F.concat(F.lit("k:"), "v")))
-    for chunk in (7, 100_000):
+    for digits in (1, 4):
         from quarry.operators import ranking
 
         out = ranking.ordered_slices(df.select("v", "k"), "k", ranking.split_bounds(0.8, 0.1),
-                                     slice_col="s", chunk_rows=chunk)
+                                     slice_col="s", digits=digits)
         out = out.withColumn("split", F.element_at(F.array(*[F.lit(x) for x in ranking.SPLIT_NAMES]),
                                                    F.col("s") + 1))
         got = _counts(out, ["v", "split"])
@@ -79,17 +79,44 @@ def test_slices_shuffle_no_content(spark):
         got = _counts(out.filter(F.col("g") == g), ["split"])
         n = len([1 for _, x in rows if x == g])
         assert got[("train",)] == int(n * 0.8) and got[("val",)] == int(n * 0.1)
-    plan = out._jdf.queryExecution().optimizedPlan()
-    while plan.nodeName() != "Union":
-        plan = plan.children().apply(0)
-    clear = plan.children().apply(0).toString()
-    assert not any(x in clear for x in ("Repartition", "Window", "Aggregate"))
+    # one pass over the written rows: nothing above its scan moves or groups them
+    rows = out._jdf.queryExecution().optimizedPlan().children().apply(0)
+    while rows.nodeName() != "Join":
+        rows = rows.children().apply(0)
+    content = rows.children().apply(0).toString()
+    assert "numbered" in content or "Relation" in content
+    assert not any(x in content for x in ("Repartition", "Window", "Aggregate", "Union", "Join"))
+
+
+def test_input_is_computed_once_for_a_cap_and_a_split(spark):
+    """Slices of a numbered table read the table, not its lineage."""
+    from quarry.operators.ranking import numbered
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+
+    rows = spark.createDataFrame([(f"v{i}", i % 3) for i in range(900)], "v string, g int").mapInArrow(count, "v string, g int")
+    table = numbered(rows.withColumn("k", F.md5("v")))
+    out = exact_split(cap_per_group(table, "k", 200, ["g"]), "k", 0.8, 0.1)
+    assert _counts(out, ["split"]) == {("train",): 480, ("val",): 60, ("test",): 60}
+    assert calls.value == 900
+
+
+def test_cut_inside_equal_rows_over_many_parts(spark):
+    df = spark.range(1000).select(F.lit("same").alias("v"), F.md5(F.lit("x")).alias("k")).repartition(7)
+    assert _counts(exact_split(df, "k", 0.8, 0.1), ["split"]) == {("train",): 800, ("val",): 100, ("test",): 100}
+    nulls = spark.range(10).select(F.lit(None).cast("string").alias("k"))
+    assert cap_per_group(nulls, "k", 4).count() == 4
 
 
 def test_groups_beyond_the_local_limit_are_joined(spark, monkeypatch):
     from quarry.operators import ranking
 
-    monkeypatch.setattr(ranking, "LOCAL_GROUPS", 2)
+    monkeypatch.setattr(ranking, "LOCAL_CUTS", 2)
     df = spark.createDataFrame([(f"v{i}", i % 7 or None) for i in range(700)], "v string, g int").withColumn("k", F.md5("v"))
     got = _counts(cap_per_group(df, "k", 30, ["g"]), ["g"])
     assert got == {(g,): 30 for g in (None, 1, 2, 3, 4, 5, 6)}

@@ -130,3 +130,46 @@ def test_landed_search_pages_are_bounded(spark):
         sizes[sf] = [r.n for r in hits.select(F.size("items").alias("n")).collect()]
     small, large = sizes.values()
     assert max(small + large) <= landing.PAGE_IDS and len(large) > len(small)
+
+
+def test_many_files_of_two_schemas_are_two_scans(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from quarry.sources.files import scan_instructions, scan_whole_files
+
+    folder = tmp_path / "many.parquet"
+    folder.mkdir()
+    for i in range(1000):
+        pq.write_table(pa.table({"instruction": [f"i{i}"], "output": ["o"]}), folder / f"a{i}.parquet")
+        pq.write_table(pa.table({"prompt": [f"p{i}"], "input": ["x"], "response": ["r"]}), folder / f"b{i}.parquet")
+    df = scan_instructions(spark, str(folder), verify=False)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    rows = {(r.instruction, r.input, r.output) for r in df.collect()}
+    assert rows == {(f"i{i}", "", "o") for i in range(1000)} | {(f"p{i}", "x", "r") for i in range(1000)}
+    names = {r.language for r in scan_whole_files(spark, str(folder), verify=False).collect()}
+    assert names == {f"{k}{i}" for k in "ab" for i in range(1000)}
+
+
+def test_file_with_damaged_pages_is_left_out_whole(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from quarry.sources.files import scan_whole_files, skipped_entries
+
+    for name in ("good", "torn"):
+        table = pa.table({"content": [f"{name} {i}" for i in range(4000)], "path": ["p"] * 4000})
+        pq.write_table(table, tmp_path / f"{name}.parquet", row_group_size=1000, use_dictionary=False, compression="none")
+    at = pq.read_metadata(tmp_path / "torn.parquet").row_group(2).column(0).data_page_offset
+    with open(tmp_path / "torn.parquet", "r+b") as f:
+        f.seek(at)
+        f.write(b"\xff" * 64)
+    (tmp_path / "parts.parquet").mkdir()
+    pq.write_table(pa.table({"content": ["part"], "path": ["p"]}), tmp_path / "parts.parquet" / "parts.parquet")
+    (tmp_path / "parts.parquet" / "part-1.parquet").write_bytes(b"PAR1 cut")
+    counts = {r.language: r["count"] for r in scan_whole_files(spark, str(tmp_path)).groupBy("language").count().collect()}
+    assert counts == {"good": 4000, "parts": 1}
+    assert {tuple(r) for r in skipped_entries(spark, str(tmp_path)).collect()} == {
+        ("torn", "torn.parquet", "pages"), ("parts", "parts.parquet/part-1.parquet", "footer")}
+    loose = {r.language: r["count"] for r in scan_whole_files(spark, str(tmp_path), verify=False).filter("content <> ''").groupBy("language").count().collect()}
+    assert 0 < loose["torn"] < 4000
