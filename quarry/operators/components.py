@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import write_through
+from ..session import temporary_tables, write_through
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,26 +16,28 @@ def components(links: DataFrame) -> DataFrame:
     one it sees, first its larger neighbours, then its smaller ones.  The number
     of rounds grows with the logarithm of the longest chain; each round's links
     are written to the shared folder, and the driver sees only their number and
-    checksum.  Minima are combined before the shuffle, and an id with very many
+    checksum; tables of earlier rounds are removed.  Minima are combined before the shuffle, and an id with very many
     links is a skewed join key that adaptive execution can split."""
-    now = write_through(_ordered(links), "links")
-    seen = None
-    while True:
-        both = now.unionAll(now.select(F.col("low").alias("high"), F.col("high").alias("low")))
-        least = both.groupBy("high").agg(F.min("low").alias("least")).select("high", F.least("high", "least").alias("least"))
-        large = both.join(least, "high").filter("low > high").select(F.col("low").alias("a"), F.col("least").alias("b"))
-        large = write_through(_ordered(large), "large-star")
-        least = large.groupBy("high").agg(F.min("low").alias("least"))
-        small = large.join(least, "high").select(F.col("low").alias("a"), F.col("least").alias("b"))
-        now = write_through(_ordered(small.unionAll(least.select(F.col("high").alias("a"), F.col("least").alias("b")))), "small-star")
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            break
-        seen = mark
-    ends = now.select("low").distinct()
-    return now.select(F.col("high").alias("id"), F.col("low").alias("component")).unionAll(
-        ends.select(F.col("low").alias("id"), F.col("low").alias("component"))
-    )
+    with temporary_tables(links.sparkSession):
+        now = write_through(_ordered(links), "links")
+        seen = None
+        while True:
+            both = now.unionAll(now.select(F.col("low").alias("high"), F.col("high").alias("low")))
+            least = both.groupBy("high").agg(F.min("low").alias("least")).select("high", F.least("high", "least").alias("least"))
+            large = both.join(least, "high").filter("low > high").select(F.col("low").alias("a"), F.col("least").alias("b"))
+            large = write_through(_ordered(large), "large-star")
+            least = large.groupBy("high").agg(F.min("low").alias("least"))
+            small = large.join(least, "high").select(F.col("low").alias("a"), F.col("least").alias("b"))
+            now = write_through(_ordered(small.unionAll(least.select(F.col("high").alias("a"), F.col("least").alias("b")))), "small-star")
+            mark = now.agg(F.count("*"), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first()
+            if mark == seen:
+                break
+            seen = mark
+        ends = now.select("low").distinct()
+        named = now.select(F.col("high").alias("id"), F.col("low").alias("component")).unionAll(
+            ends.select(F.col("low").alias("id"), F.col("low").alias("component"))
+        )
+        return write_through(named, "components", keep=True)
 
 
 def _ordered(links: DataFrame) -> DataFrame:

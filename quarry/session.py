@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,12 +88,37 @@ def scratch_dir(spark: SparkSession) -> str:
     return conf_dir.rstrip("/")
 
 
-def write_through(df: DataFrame, tag: str) -> DataFrame:
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside (``write_through``) are removed at the end of the block, but
+    for those written with ``keep=True``, which belong to the block around it, if any.
+
+    What the block returns may read kept tables only; those are complete, so a lost
+    executor asks for none of the removed ones."""
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(made)
+        for path in made:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def write_through(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 
     Cuts the lineage with a columnar table that all executors can read, so a lost
-    executor costs the tasks it ran, not the stages before the table."""
+    executor costs the tasks it ran, not the stages before the table.  ``keep``: the
+    table outlives the innermost ``temporary_tables`` block."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/quarry-{tag}-{uuid.uuid4().hex}"
+    scope = len(_open_scopes) - (2 if keep else 1)
+    if scope >= 0:
+        _open_scopes[scope].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
