@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from quarry.llm import common
 from quarry.session import scratch_dir
 
+FRAMES_A_TASK = 64  # read by one task: 16 MB of records
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 128 << 20  # decompressed frame, compressed bundle
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # magic numbers of the seekable format
 INDEX = "page_id long, bundle string, frame int, at long, size long, offset long, length long"
@@ -222,8 +223,10 @@ def read(bundles: DataFrame) -> DataFrame:
                     [c.split()[0] for c in READ.split(", ")],
                 )
 
-    spans = bundles.select("bundle").distinct().mapInArrow(frames, "bundle string, at long, size long")
-    return spans.repartition(F.xxhash64("bundle", "at")).mapInArrow(records, READ)
+    spans = common.stash(bundles.select("bundle").distinct().mapInArrow(frames, "bundle string, at long, size long"), "frames")
+    # the rows are tiny and the frames behind them are not: the number of tasks follows the frames
+    tasks = max(1, -(-spans.count() // FRAMES_A_TASK))
+    return spans.repartition(tasks, "bundle", "at").mapInArrow(records, READ)
 
 
 def fetch(index: DataFrame) -> DataFrame:
