@@ -162,7 +162,7 @@ def test_mixing_copies_follow_each_row(spark, monkeypatch):
     table = spark.createDataFrame(rows, SCHEMA)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     # copies by a rule on the tokens alone stand for rates of different posteriors
-    monkeypatch.setattr(mixing, "solve", lambda *a: ([], [], None))
+    monkeypatch.setattr(mixing, "solve", lambda *a: ([], None, 0.0))
     monkeypatch.setattr(mixing, "_copies", lambda rate, key: (F.col("n_tokens") % 3 + 1).cast("int"))
     got = Counter((r.doc_id, r.text) for r in mixing.mix(table, labels).collect())
     assert got == Counter({(r[0], r[1]): len(r[1].split()) % 3 + 1 for r in rows})
