@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import scratch_dir, write_file
+from quarry.session import scratch_dir, temporary_tables, write_file  # noqa: F401
 from quarry.session import write_through as stash  # noqa: F401
 
 BATCH_ROWS = 512  # rows of one Arrow batch: bounds a Python worker's memory on long texts
@@ -36,3 +36,8 @@ def id_remainder(column: str, modulus: int) -> Column:
 def write_shared(spark: SparkSession, name: str, data: bytes) -> str:
     """Write a small file of the driver into the shared folder; returns its URI."""
     return write_file(spark, f"{scratch_dir(spark)}/{name}", data)
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """All columns, whatever their names, in one struct column ``row``."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))

@@ -12,8 +12,9 @@ Steps, none of which lists all pairs of a group of copies:
 1. Documents of equal sets form a class, named by its smallest doc_id; only the
    class goes on.
 2. Each bucket of two or more classes chooses a hub, the class with most bucket
-   mates.  Each class is compared with the hub that agrees best with it, then
-   with its other hubs; the links found join components.
+   mates.  Each class is compared with the one hub that it shares most buckets
+   with; the links found join components.  Where a bucket still holds two
+   components, its classes are compared with its hub if that is of another one.
 3. Pairs of bucket mates of *different* components are all compared, so no link
    between components stays unseen; members of one component need no further
    comparison.
@@ -26,7 +27,9 @@ shares several buckets is compared in the one of smallest key.
 Cases: a null or empty text or one without words has no shingles and is linked
 with nothing; fewer than five words are one shingle; rows repeating a doc_id are
 one document, each row returned; a null doc_id is returned with a null
-component and kept; extra columns are ignored.
+component and kept; extra columns are ignored by ``near_duplicates`` and kept by
+``keep_one``, whatever their names; texts of any length are read whole, in pieces
+of shingles.
 """
 
 from __future__ import annotations
@@ -204,57 +207,86 @@ def _sizes_allow(m: str, n: str) -> Column:
     return (F.col(m) * 100 >= F.col(n) * SIMILAR) & (F.col(n) * 100 >= F.col(m) * SIMILAR)
 
 
+SPREAD = 8  # places that the members of one class are dealt to
+
+
+def _members(signed: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, id (smallest doc_id of equal sets).
+
+    A class of a third of all documents would be one join key: it is dealt to ``SPREAD``
+    places, and classes of one document, which need no join, stay out."""
+    same = ["f0", "f1", "n_shingles"]
+    classes = signed.filter("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    classes = classes.select(*same, "id", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("place"))
+    rows = signed.select("doc_id", *same, F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD)).cast("int").alias("place"))
+    return rows.join(classes, [*same, "place"], "left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id")).alias("id"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
-    signed = common.stash(sign(docs), "signed")
-    classes = signed.filter("n_shingles > 0").groupBy("f0", "f1", "n_shingles").agg(F.min("doc_id").alias("id"))
-    member = common.stash(
-        signed.select("doc_id", "n_shingles", "f0", "f1").join(classes, ["f0", "f1", "n_shingles"], "left")
-        .select("doc_id", "n_shingles", F.coalesce("id", "doc_id").alias("id")), "member",
+    with common.temporary_tables(docs.sparkSession):
+        signed = common.stash(sign(docs), "signed")
+        member = common.stash(_members(signed), "member", keep=True)
+        heads = signed.filter("n_shingles > 0").join(member.filter("doc_id = id").select("doc_id").distinct(), "doc_id", "left_semi")
+        final = _components(docs, heads)
+    return (
+        member.join(final, "id", "left")
+        .select("doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
-    heads = signed.join(classes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sketch = heads.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch", "keys")
 
-    rows = heads.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
+
+def _components(docs: DataFrame, heads: DataFrame) -> DataFrame:
+    """(id, component) of the classes that are linked, a kept table."""
+    sketch = heads.dropDuplicates(["doc_id", "f0", "f1", "n_shingles"]).select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch", "keys")
+    rows = sketch.select(F.explode("keys").alias("key"), "id")
     shared = rows.groupBy("key").agg(F.count("*").alias("mates"), F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
     mates = common.stash(rows.join(shared.select("key", "mates"), "key"), "mates")
     known = common.stash(sketch.join(mates.select("id").distinct(), "id", "left_semi"), "sketch")
     sets = common.stash(full_sets(docs, known.select("id")), "sets")
 
     weight = mates.groupBy("id").agg(F.sum("mates").alias("weight"))
-    hubs = (
+    hubs = common.stash(
         mates.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("id"))).alias("hub"))
-        .select("key", (-F.col("hub.id")).alias("b"))
+        .select("key", (-F.col("hub.id")).alias("hub")), "hubs",
     )
-    near = mates.join(hubs, "key").filter("id != b").select(F.col("id").alias("a"), "b").distinct()
-    tried = common.stash(
-        near.join(_side(known, "a", "x"), "a").join(_side(known, "b", "y"), "b")
-        .filter(_sizes_allow("x_n", "y_n")).withColumn("agree", _agreement("x_sketch", "y_sketch")).filter(F.col("agree") >= AGREE)
-        .select("a", "b", "agree"), "tried",
-    )
-    best = tried.groupBy("a").agg(F.max(F.struct("agree", (-F.col("b")).alias("b"))).alias("best"))
-    links = common.stash(confirm(best.select("a", (-F.col("best.b")).alias("b")), sets), "links-best")
+    counted = mates.join(hubs, "key").filter("id != hub").groupBy("id", "hub").agg(F.count("*").alias("shared"))
+    best = counted.groupBy("id").agg(F.max(F.struct("shared", (-F.col("hub")).alias("hub"))).alias("best"))
+    links = common.stash(confirm(_alike(best.select(F.col("id").alias("a"), (-F.col("best.hub")).alias("b")), known), sets), "links-best")
     found = components(links)
-    links = links.unionAll(common.stash(confirm(_apart(tried, found).select("a", "b"), sets), "links-hubs"))
-    found = common.stash(components(links), "found")
 
-    placed = mates.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1").select("key")
-    open_ = placed.join(mixed, "key").join(known, "id")
-    x = _side(open_, "a", "x", "key", F.col("c").alias("x_c"))
-    y = _side(open_, "b", "y", F.col("key").alias("y_key"), F.col("c").alias("y_c"))
+    open_ = _open(mates, found)
+    place = open_.select("key", F.col("id").alias("a"), F.col("c").alias("ca"))
+    centre = open_.join(hubs, "key").filter("id = hub").select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
+    more = place.join(centre, "key").filter("ca != cb").select("a", "b").distinct()
+    links = links.unionAll(common.stash(confirm(_alike(more, known), sets), "links-hubs"))
+    found = components(links)
+
+    placed = _open(mates, found).join(known, "id")
+    x = _side(placed, "a", "x", "key", F.col("c").alias("x_c"))
+    y = _side(placed, "b", "y", F.col("key").alias("y_key"), F.col("c").alias("y_c"))
     across = x.join(
         y, (F.col("key") == F.col("y_key")) & (F.col("a") < F.col("b")) & (F.col("x_c") != F.col("y_c")) & _sizes_allow("x_n", "y_n")
         & (_agreement("x_sketch", "y_sketch") >= AGREE) & (F.array_min(F.array_intersect("x_keys", "y_keys")) == F.col("key")),
     ).select("a", "b").distinct()
     links = links.unionAll(common.stash(confirm(across, sets), "links-across"))
-    final = components(links)
+    return common.stash(components(links), "final", keep=True)
 
-    return (
-        member.join(final, "id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    )
+
+def _open(mates: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, id, c) of the buckets that hold classes of different components."""
+    placed = mates.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+    mixed = placed.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 < c1").select("key")
+    return common.stash(placed.join(mixed, "key"), "open")
+
+
+def _alike(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches allow the similarity."""
+    left = known.select(F.col("id").alias("a"), F.col("n").alias("x_n"), F.col("sketch").alias("x_sketch"))
+    right = known.select(F.col("id").alias("b"), F.col("n").alias("y_n"), F.col("sketch").alias("y_sketch"))
+    met = pairs.join(left, "a").join(right, "b")
+    return met.filter(_sizes_allow("x_n", "y_n") & (_agreement("x_sketch", "y_sketch") >= AGREE)).select("a", "b")
 
 
 def _side(known: DataFrame, name: str, mark: str, *more: str | Column) -> DataFrame:
@@ -262,31 +294,24 @@ def _side(known: DataFrame, name: str, mark: str, *more: str | Column) -> DataFr
     return known.select(F.col("id").alias(name), *more, *[F.col(c).alias(f"{mark}_{c}") for c in ("n", "sketch", "keys")])
 
 
-def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs whose ends lie in different components."""
-    left = found.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-    right = found.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    return (
-        pairs.join(left, "a", "left").join(right, "b", "left")
-        .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-    )
-
-
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, with all its columns.
 
     Rows are told apart by a number of their own, so that repeated rows and rows
     without an id are members like any other; the row of smallest doc_id stays.
     Rows without words, linked with nothing, are one if doc_id and text are equal."""
-    rows = common.stash(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    placed = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id", "n_shingles")
-    blank = F.coalesce(~F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.lit(True))
-    named = rows.select("_row", F.col("doc_id").cast("long").alias("_doc"), F.when(blank, F.col("text")).alias("_blank"))
-    lone = F.col("n_shingles") == 0
-    first = F.struct(F.col("_doc").isNull(), "_doc", "_row")
-    kept = (
-        named.join(placed, "_row")
-        .groupBy(F.when(~lone, F.col("component_id")), F.when(lone, F.col("_doc")), F.when(lone, F.col("_blank")))
-        .agg(F.min(first).alias("first")).select("first._row")
-    )
-    return rows.join(kept, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    with common.temporary_tables(docs.sparkSession):
+        rows = common.stash(common.packed(docs).withColumn("number", F.monotonically_increasing_id()), "rows", keep=True)
+        text = F.col("row.text").cast("string")
+        placed = near_duplicates(rows.select(F.col("number").alias("doc_id"), text.alias("text"))).select(F.col("doc_id").alias("number"), "component_id", "n_shingles")
+        blank = F.coalesce(~text.rlike(r"[^ \t\n\x0B\f\r]"), F.lit(True))
+        named = rows.select("number", F.col("row.doc_id").cast("long").alias("doc"), F.when(blank, text).alias("blank"))
+        lone = F.col("n_shingles") == 0
+        first = F.struct(F.col("doc").isNull(), "doc", "number")
+        kept = (
+            named.join(placed, "number")
+            .groupBy(F.when(~lone, F.col("component_id")), F.when(lone, F.col("doc")), F.when(lone, F.col("blank")))
+            .agg(F.min(first).alias("first")).select("first.number")
+        )
+        kept = common.stash(kept, "kept", keep=True)
+    return rows.join(kept, "number", "left_semi").select("row.*")
