@@ -280,6 +280,18 @@ def q_dry_run(spark, sf):
     return res.sources
 
 
+_SAMPLE_JSON = "'{' || " + " || ',' || ".join(f"""'"{c}":' || CAST(to_json({c}) AS VARCHAR)""" for c in alpaca.EXAMPLE_COLUMNS) + " || '}'"
+
+
+@query("dry_run_sample", W(*ALL_FX) + f"""
+SELECT CASE WHEN length(j) > {K.DRY_RUN_PREVIEW_CHARS} THEN substring(j, 1, {K.DRY_RUN_PREVIEW_CHARS}) || '...' ELSE j END AS sample
+FROM (SELECT {_SAMPLE_JSON} AS j FROM ({S.cap_sql(S.ex_all(), K.DRY_RUN_LIMIT)}) ORDER BY {S.seeded(42, 'sample', 'ck')} LIMIT 1)""")
+def q_dry_run_sample(spark, sf):
+    """The sample entry of a dry run, shown in full up to 600 characters."""
+    res = P.preprocess(spark, sources=fixture_sources(spark, sf), dry_run=True)
+    return P.dry_run_sample(res.examples, K.DEFAULT_SEED)
+
+
 HEAD_N = 100
 
 
