@@ -101,14 +101,40 @@ def test_tree_covers_and_prunes():
     centres = rng.normal(size=(20, 6)) * 3000
     points = (centres[rng.integers(0, 20, 3000)] + rng.normal(size=(3000, 6)) * 5).astype(np.int64)
     tree = covertree.CoverTree(np.arange(3000), points)
-    todo, leaves = [tree.root], 0
-    while todo:
-        n = todo.pop()
-        assert (np.sqrt(((tree.real[n.lo : n.hi] - n.centre) ** 2).sum(axis=1)) <= n.radius * (1 + 1e-6) + 1e-6).all()
-        assert not n.children or sum(c.hi - c.lo for c in n.children) == n.hi - n.lo
-        todo += n.children
-        leaves += not n.children
-    assert leaves > 10 and sorted(tree.ids.tolist()) == list(range(3000))
+    assert len(tree.levels) > 3 and sorted(tree.ids.tolist()) == list(range(3000))
+    above = None
+    for level in tree.levels:
+        for n, centre in enumerate(level.centre):
+            inside = slice(level.lo[n], level.lo[n + 1])
+            assert (np.sqrt(((tree.real[inside] - tree.real[centre]) ** 2).sum(axis=1)) <= level.radius[n] * (1 + 1e-6) + 1e-6).all()
+            if above is not None:
+                p = level.parent[n]
+                assert above.lo[p] <= level.lo[n] and level.lo[n + 1] <= above.lo[p + 1]
+        above = level
+    queries = covertree.CoverTree(np.arange(0, 3000, 50), points[::50])
+    best = covertree.search(queries, tree, 5, np.full(60, covertree.NO_SCORE))
+    seeded = covertree.search(queries, tree, 5, best.worst)
+    whole = len(queries.ids) * len(tree.ids)
+    assert seeded.bounded + seeded.scored < 0.4 * whole and seeded.scored < 0.1 * whole
+    for found in (best, seeded):
+        for n, q in enumerate(queries.ids):
+            score = points @ points[q]
+            want = sorted((-int(score[i]), i) for i in range(3000) if i != q)[:5]
+            assert list(zip((-found.score[n]).tolist(), found.ids[n].tolist())) == want
+
+
+def test_tree_of_copies_wide_values_and_one_point():
+    rng = np.random.default_rng(6)
+    for points in (np.ones((50, 3), np.int64), rng.integers(-(2**30), 2**30, (200, 4)), np.zeros((1, 2), np.int64), np.empty((4, 0), np.int64)):
+        ids = np.arange(len(points))
+        tree, queries = covertree.CoverTree(ids, points), covertree.CoverTree(ids, points)
+        again = covertree.CoverTree(tree.ids, tree.whole, [covertree.Level.unpack(x.pack()) for x in tree.levels])
+        best = covertree.search(queries, again, 3, np.full(len(ids), covertree.NO_SCORE))
+        for n, q in enumerate(queries.ids):
+            score = points @ points[q]
+            want = sorted((-int(score[i]), i) for i in ids.tolist() if i != q)[:3]
+            got = [(-s, i) for s, i in zip(best.score[n].tolist(), best.ids[n].tolist()) if i != covertree.NO_ID]
+            assert got == want
 
 
 def test_archives_round_trip(spark):
