@@ -17,7 +17,7 @@ from . import oracle_sql as S
 from .functions import constants as K
 from .functions.quality import has_doc_marker, is_quality_doc
 from .functions.text import clean_text, code_len, fence, preview, py_strip, row_key, seeded_key
-from .operators import alpaca
+from .operators import alpaca, joins
 from .plans import preprocess as P
 from .session import configure
 
@@ -680,29 +680,42 @@ def q_readmes_job(spark, sf):
                     tree_text("file_tree").alias("tree_text"))
 
 
-@query("prompt_repo_context", W(*REPO_FX) + f"""
-SELECT repo_name, {S.repo_prompt('repo_name', 'file_tree')} AS prompt FROM ({S.records_sql(None)})
-WHERE status = 'scraped'""")
+def _scraped_sql() -> str:
+    """Scraped records with the key files that their prompts show."""
+    records = f"SELECT * FROM ({S.records_sql(None)}) WHERE status = 'scraped'"
+    return f"SELECT r.*, k.shown FROM ({records}) r LEFT JOIN ({S.key_file_rows(records)}) k ON k.repo_name = r.repo_name"
+
+
+def _contents(spark, sf):
+    from .landing import land_contents
+    from .sources.repos import read_contents
+
+    return read_contents(spark, land_contents(spark, sf))
+
+
+@query("prompt_repo_context", W(*REPO_FX, "fx_contents") + f"""
+SELECT repo_name, {S.repo_prompt('repo_name', 'file_tree', 'shown')} AS prompt FROM ({_scraped_sql()})""")
 def q_prompt_repo_context(spark, sf):
-    from .operators.repos import repo_context_prompt
+    """Repository prompts with the contents of key files."""
+    from .operators.repos import repo_context_prompt, with_key_files
 
-    s = _readme_result(spark, sf).scraped
-    return s.select("repo_name", repo_context_prompt("repo_name", "file_tree").alias("prompt"))
+    s = with_key_files(_readme_result(spark, sf).scraped, _contents(spark, sf))
+    return s.select("repo_name", repo_context_prompt("repo_name", "file_tree", "key_files").alias("prompt"))
 
 
 def _readme_examples_sql() -> str:
     return f"""
 SELECT {S.template('readme_gen', 'ck')} AS instruction, input, output, source, language FROM (
   SELECT *, {S.rowkey('source', 'language', "''", 'input', 'output')} AS ck FROM (
-    SELECT {S.repo_prompt('repo_name', 'file_tree')} AS input, readme AS output, 'github_readme' AS source, language
-    FROM ({S.records_sql(None)}) WHERE status = 'scraped'))"""
+    SELECT {S.repo_prompt('repo_name', 'file_tree', 'shown')} AS input, readme AS output, 'github_readme' AS source, language
+    FROM ({_scraped_sql()})))"""
 
 
-@query("readme_examples_job", W(*REPO_FX) + _readme_examples_sql())
+@query("readme_examples_job", W(*REPO_FX, "fx_contents") + _readme_examples_sql())
 def q_readme_examples_job(spark, sf):
     from .plans.readmes import readme_examples
 
-    return readme_examples(_readme_result(spark, sf).scraped).select(*alpaca.EXAMPLE_COLUMNS)
+    return readme_examples(_readme_result(spark, sf).scraped, _contents(spark, sf)).select(*alpaca.EXAMPLE_COLUMNS)
 
 
 # ------------------------------------------------------------------ P1: ingest
@@ -1059,6 +1072,24 @@ def q_curated_semi_join(spark, sf):
     return linked_from_pages(fx(spark, sf, "fx_repos"), pages, "topic").select("doc_id", "topic")
 
 
+def _repository_sql(url: str) -> str:
+    pattern = S.q(joins.REPOSITORY_URL)
+    part = lambda i: f"regexp_extract(lower(trim({url})), {pattern}, {i})"
+    return f"{part(1)} AS host, {part(2)} AS owner, regexp_replace({part(3)}, '\\.git$', '') AS name"
+
+
+@query("curated_repositories", W("fx_repos", "fx_lists") + f"""
+SELECT doc_id, html_url FROM (SELECT doc_id, html_url, {_repository_sql('html_url')} FROM fx_repos) r
+WHERE host <> '' AND name <> '' AND EXISTS (
+  SELECT 1 FROM (SELECT {_repository_sql('url')} FROM (
+    SELECT unnest(list_concat(regexp_extract_all(html, {S.q(joins.HREF)}, 1), regexp_extract_all(html, {S.q(joins.MARKDOWN_LINK)}, 1))) AS url
+    FROM fx_lists)) l
+  WHERE l.host = r.host AND l.owner = r.owner AND l.name = r.name)""")
+def q_curated_repositories(spark, sf):
+    """Repositories linked from curated lists, by host, owner and name."""
+    return joins.curated_repositories(fx(spark, sf, "fx_repos"), fx(spark, sf, "fx_lists"), "html_url").select("doc_id", "html_url")
+
+
 @query("documented_stats", W(*ALL_FX) + f"""
 SELECT count(*) AS total_entries, avg({S.token_count('input')}) AS avg_input_tokens,
        avg({S.token_count('output')}) AS avg_output_tokens FROM ({S.ex_all()})""")

@@ -299,6 +299,39 @@ FROM {d.table('documents')}
 """
 
 
+def sql_contents(d: Dialect) -> str:
+    """Contents of files (base64): manifests, a file that is no key file, some missing,
+    malformed or not UTF-8."""
+    manifest = "CASE doc_id % 2 WHEN 0 THEN 'package.json' ELSE 'pyproject.toml' END"
+    return f"""
+SELECT doc_id, concat('user', {_s('doc_id % 37')}) AS owner, concat('repo', {_s('doc_id')}) AS name, path,
+  CASE WHEN doc_id % 31 = 0 THEN '//79' WHEN doc_id % 27 = 0 THEN concat({d.b64('text')}, 'A') ELSE {d.b64('text')} END AS content
+FROM (SELECT doc_id, text, {manifest} AS path FROM {d.table('documents')} WHERE doc_id % 7 <> 0
+      UNION ALL SELECT doc_id, text, 'src/pkg/mod.py' FROM {d.table('documents')} WHERE doc_id % 6 = 0) f
+"""
+
+
+def sql_lists(d: Dialect) -> str:
+    """Curated lists: entries of HTML and Markdown with links of every form to
+    repositories, to profiles and to sections."""
+    url = f"concat('example.org/user', {_s('doc_id % 37')}, '/repo', {_s('doc_id')})"
+    return f"""
+SELECT doc_id AS page_id, concat('<li><a class="x" ',
+  CASE doc_id % 9
+    WHEN 0 THEN concat('href="https://', {url}, '"')
+    WHEN 1 THEN concat('href="http://www.', {url}, '.git"')
+    WHEN 2 THEN concat('HREF = "HTTPS://', upper({url}), '/"')
+    WHEN 3 THEN concat('href="//', {url}, '/tree/main#readme"')
+    WHEN 4 THEN concat('href="https://example.org/user', {_s('doc_id % 37')}, '"')
+    WHEN 5 THEN concat('href="https://elsewhere.net/user', {_s('doc_id % 37')}, '/repo', {_s('doc_id')}, '"')
+    WHEN 6 THEN concat('href="#x">x</a> [r](https://', {url}, '?tab=readme) <a href="#y"')
+    WHEN 7 THEN concat('href="/user', {_s('doc_id % 37')}, '/repo', {_s('doc_id')}, '"')
+    ELSE concat('href="https://', {url}, '-fork"') END,
+  '>', text, '</a></li>') AS html
+FROM {d.table('documents')}
+"""
+
+
 # ------------------------------------------------------------------------- versions
 
 def sql_versions(d: Dialect) -> str:
@@ -324,6 +357,8 @@ FIXTURES = {
     "fx_readme_text": (sql_readme_text, ["documents"]),
     "fx_readmes": (sql_readmes, ["documents"]),
     "fx_trees": (sql_trees, ["documents"]),
+    "fx_contents": (sql_contents, ["documents"]),
+    "fx_lists": (sql_lists, ["documents"]),
     "fx_versions": (sql_versions, ["documents"]),
 }
 

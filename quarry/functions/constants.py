@@ -174,6 +174,15 @@ KEY_FILE_NAMES: list[str] = [
     "lib.rs",
 ]
 
+# Key files in a repository prompt: code points of each, files of each repository
+# (nearest the root first), and the language of a fence by file extension.
+KEY_FILE_CHARS = 2000
+KEY_FILE_LIMIT = 50
+FENCE_LANGUAGES: dict[str, str] = {
+    "json": "json", "toml": "toml", "py": "python", "js": "javascript", "ts": "typescript",
+    "go": "go", "rs": "rust", "xml": "xml", "cfg": "ini", "gradle": "groovy",
+}
+
 # License families: (license name, family, case-insensitive pattern).
 LICENSE_RULES: list[tuple[str, str, str]] = [
     ("MIT", "permissive", r"\bMIT License\b|\bLicensed under the MIT\b|\bMIT licen[cs]e"),

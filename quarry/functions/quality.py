@@ -151,6 +151,13 @@ def stopword_hits(tokens: Column, lang: str) -> Column:
     return F.size(F.filter(tokens, lambda t: t.isin(words))).cast("bigint")
 
 
+def stopwords_of(tokens: Column) -> Column:
+    """The tokens that are a stopword of any language: the one pass over all tokens (a
+    hash set); counts by language then go over these few."""
+    words = sorted({w for listed in K.STOPWORDS.values() for w in listed})
+    return F.filter(tokens, lambda t: t.isin(words))
+
+
 def detect_language(text: Column | str) -> Column:
     """[decision] Language with the most stopword hits (en, de, fr, es order on
     ties); 'unknown' without any hit."""
@@ -166,4 +173,4 @@ def detect_language(text: Column | str) -> Column:
     def body(tokens: Column) -> Column:
         return let(F.array(*(stopword_hits(tokens, x) for x in ("en", "de", "fr", "es"))), pick)
 
-    return let(language_tokens(text), body)
+    return let(stopwords_of(language_tokens(text)), body)

@@ -133,3 +133,13 @@ def land_payloads(spark: SparkSession, sf_dir: str) -> str:
         "ignoreNullFields", "false").json(f"{root}/trees")
     spark.range(1).write.mode("overwrite").parquet(marker)
     return root
+
+
+def land_contents(spark: SparkSession, sf_dir: str) -> str:
+    """Contents of repository files as JSON lines."""
+    root = landed_dir(spark, sf_dir, "contents")
+    marker = f"{root}_landed"
+    if not _done(spark, marker):
+        X.fixture(spark, sf_dir, "fx_contents").select("owner", "name", "path", "content").write.mode("overwrite").json(root)
+        spark.range(1).write.mode("overwrite").parquet(marker)
+    return root

@@ -143,12 +143,53 @@ def funnel(records: DataFrame) -> DataFrame:
     )
 
 
-def repo_context_prompt(repo_name: Column | str, tree: Column | str, names: list[str] = K.KEY_FILE_NAMES) -> Column:
-    """Repository prompt: project name, structure (sorted paths) and key files."""
+def fence_language(path: Column) -> Column:
+    """Language of a fence by the file's extension ('' without a known one)."""
+    extension = F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))
+    expr = None
+    for ext, lang in K.FENCE_LANGUAGES.items():
+        expr = F.when(extension == ext, F.lit(lang)) if expr is None else expr.when(extension == ext, F.lit(lang))
+    return expr.otherwise(F.lit(""))
+
+
+def key_file_contents(records: DataFrame, contents: DataFrame, max_chars: int = K.KEY_FILE_CHARS,
+                      max_files: int = K.KEY_FILE_LIMIT) -> DataFrame:
+    """(repo_name, key_files): per repository the key files of its tree, by path, each
+    with the first ``max_chars`` code points of its text.
+
+    ``contents`` holds (owner, name, path, content in base64).  Tree and contents are joined by file,
+    so a repository of many files is spread over tasks; of a repository's key files
+    the ``max_files`` nearest its root (then by path) go into the prompt, which bounds the
+    fold.  A file without contents, or whose contents do not decode, has a null text;
+    contents of other files are not read further; a file given twice counts once (the
+    greatest content); a repository without key files has no row.
+    """
+    keys = records.select("repo_name", F.explode(key_files("file_tree")).alias("path")).distinct()
+    keys = top_k_per_group(keys, max_files, ["repo_name"], [path_depth(F.col("path")), F.col("path")])
+    base = F.regexp_extract("path", r"([^/]+)$", 1)
+    texts = (
+        contents.filter(base.isin(K.KEY_FILE_NAMES))
+        .groupBy(F.concat_ws("/", "owner", "name").alias("repo_name"), "path").agg(F.max("content").alias("content"))
+        .select("repo_name", "path", F.left(decode_base64_text("content"), F.lit(max_chars)).alias("text"))
+    )
+    joined = keys.join(texts, ["repo_name", "path"], "left")
+    return joined.groupBy("repo_name").agg(F.array_sort(F.collect_list(F.struct("path", "text"))).alias("key_files"))
+
+
+def with_key_files(records: DataFrame, contents: DataFrame, max_chars: int = K.KEY_FILE_CHARS,
+                   max_files: int = K.KEY_FILE_LIMIT) -> DataFrame:
+    """Records with their ``key_files`` (null without any)."""
+    return records.join(key_file_contents(records, contents, max_chars, max_files), "repo_name", "left")
+
+
+def repo_context_prompt(repo_name: Column | str, tree: Column | str, files: Column | str) -> Column:
+    """Repository prompt: project name, structure (sorted paths) and key files, each with
+    its text in a fence (its path alone when the text is missing)."""
     paths = F.array_sort(F.transform(col(tree), lambda x: x["path"]))
-    keys = F.array_sort(key_files(tree, names))
+    fenced = lambda x: F.concat(x["path"], F.lit(":\n```"), fence_language(x["path"]), F.lit("\n"), x["text"], F.lit("\n```,"))
+    shown = F.transform(col(files), lambda x: F.coalesce(fenced(x), x["path"]))
     return F.concat(
         F.lit("Project: "), col(repo_name), F.lit("\n\nStructure:\n"),
         F.coalesce(F.array_join(paths, "\n"), F.lit("")),
-        F.lit("\n\nKey Files:\n"), F.coalesce(F.array_join(keys, "\n"), F.lit("")),
+        F.lit("\n\nKey Files:\n"), F.coalesce(F.array_join(shown, "\n\n"), F.lit("")),
     )

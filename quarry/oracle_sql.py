@@ -238,12 +238,27 @@ SELECT *, {status('readme')} AS status FROM (
   LEFT JOIN fx_trees t ON t.owner = r.owner AND t.name = r.name)"""
 
 
-def repo_prompt(repo_name: str, tree: str) -> str:
+def key_file_rows(records: str) -> str:
+    """(repo_name, shown): the key files of each repository as they stand in its prompt."""
+    language = " ".join(f"WHEN {q(e)} THEN {q(lang)}" for e, lang in K.FENCE_LANGUAGES.items())
+    fenced = (f"k.path || ':' || chr(10) || '```' || (CASE lower(regexp_extract(k.path, '\\.([^./]+)$', 1)) {language} ELSE '' END) "
+              f"|| chr(10) || substring(c.text, 1, {K.KEY_FILE_CHARS}) || chr(10) || '```,'")
+    depth = "length(path) - length(replace(path, '/', ''))"
+    return f"""
+SELECT k.repo_name, string_agg(coalesce({fenced}, k.path), chr(10) || chr(10) ORDER BY k.path) AS shown
+FROM (SELECT *, row_number() OVER (PARTITION BY repo_name ORDER BY {depth}, path) AS nth
+      FROM (SELECT DISTINCT repo_name, unnest({key_paths('file_tree')}) AS path FROM ({records}))) k
+LEFT JOIN (SELECT owner || '/' || name AS repo_name, path, {decode_b64('content')} AS text
+           FROM (SELECT owner, name, path, max(content) AS content FROM fx_contents GROUP BY ALL)) c
+  ON c.repo_name = k.repo_name AND c.path = k.path
+WHERE k.nth <= {K.KEY_FILE_LIMIT} GROUP BY k.repo_name"""
+
+
+def repo_prompt(repo_name: str, tree: str, shown: str) -> str:
     paths = f"list_sort(list_transform({tree}, lambda x: struct_extract(x, 'path')))"
-    keys = f"list_sort({key_paths(tree)})"
     return (f"('Project: ' || {repo_name} || chr(10) || chr(10) || 'Structure:' || chr(10) || "
             f"coalesce(array_to_string({paths}, chr(10)), '') || chr(10) || chr(10) || 'Key Files:' || chr(10) || "
-            f"coalesce(array_to_string({keys}, chr(10)), ''))")
+            f"coalesce({shown}, ''))")
 
 
 # ------------------------------------------------------------------- spec tier

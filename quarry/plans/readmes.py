@@ -46,11 +46,12 @@ def write_batch(scraped: DataFrame, root: str, batch: str) -> None:
     scraped.write.mode("overwrite").option("compression", "none").json(f"{root.rstrip('/')}/batch={batch}")
 
 
-def readme_examples(scraped: DataFrame, seed: int = K.DEFAULT_SEED) -> DataFrame:
-    """README generation examples: repository context -> README text."""
-    df = scraped.select(
+def readme_examples(scraped: DataFrame, contents: DataFrame, seed: int = K.DEFAULT_SEED) -> DataFrame:
+    """README generation examples: repository context (structure and contents of the key
+    files) -> README text."""
+    df = R.with_key_files(scraped, contents).select(
         F.lit(None).cast("string").alias("instruction"),
-        R.repo_context_prompt("repo_name", "file_tree").alias("input"),
+        R.repo_context_prompt("repo_name", "file_tree", "key_files").alias("input"),
         F.col("readme").alias("output"),
         F.lit("github_readme").alias("source"),
         F.col("language").cast("string").alias("language"),

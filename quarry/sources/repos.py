@@ -35,6 +35,12 @@ TREE_SCHEMA = T.StructType([
 ])
 
 
+CONTENT_SCHEMA = T.StructType([
+    T.StructField("owner", T.StringType()), T.StructField("name", T.StringType()),
+    T.StructField("path", T.StringType()), T.StructField("content", T.StringType()),
+])
+
+
 def read_hits(spark: SparkSession, path: str) -> DataFrame:
     """Search hits flattened to (owner, name, html_url, stars, language, pushed_at, description)."""
     raw = spark.read.schema(HIT_SCHEMA).json(path)
@@ -52,3 +58,8 @@ def read_readmes(spark: SparkSession, path: str) -> DataFrame:
 
 def read_trees(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TREE_SCHEMA).json(path)
+
+
+def read_contents(spark: SparkSession, path: str) -> DataFrame:
+    """Contents of files, one (owner, name, path, base64 content) a line."""
+    return spark.read.schema(CONTENT_SCHEMA).json(path)
