@@ -763,6 +763,47 @@ def q_ingest_job(spark, sf):
     return ingest_job(spark, _shard_pairs(spark, sf)).pairs
 
 
+_DUCK_DOCUMENTED = """coalesce(CASE
+    WHEN language = 'python' THEN contains(content, repeat(chr(34), 3))
+                                  OR contains(content, repeat(chr(39), 3))
+    WHEN language IN ('javascript', 'typescript') THEN contains(content, '/**') OR contains(content, '///')
+    WHEN language IN ('java', 'go') THEN contains(content, '/**')
+    ELSE contains(content, '/**') OR contains(content, '///') END, false)"""
+
+
+@query("ingest_run", W("fx_pairs", "fx_files") + ", " + _DUCK_SHARD_PAIRS + f"""
+, documented AS (SELECT content, language, path FROM fx_files WHERE {_DUCK_DOCUMENTED})
+SELECT 'pairs' AS part, language AS key, count(*) AS n FROM ingested GROUP BY ROLLUP (language)
+UNION ALL SELECT 'files', language, count(*) FROM documented GROUP BY ROLLUP (language)
+UNION ALL SELECT 'rows', 'pairs', count(*) FROM ingested UNION ALL SELECT 'rows', 'files', count(*) FROM documented
+UNION ALL SELECT 'gate', 'all_valid', CAST(1 AS BIGINT) UNION ALL SELECT 'read again', 'all', CAST(0 AS BIGINT)""")
+def q_ingest_run(spark, sf):
+    """The ingest job over landed shards and whole files: rows by language, rows of the
+    written datasets, the gate, and the files that a second run reads (none)."""
+    import uuid
+
+    from .landing import land_raw, land_shards
+    from .plans.ingest import ingest_landed
+    from .session import scratch_dir
+
+    configure(spark)
+    out = f"{scratch_dir(spark)}/quarry-ingest-{uuid.uuid4().hex}"
+    lang = F.regexp_extract(F.col("file"), r"language=([^/]+)/", 1)
+    run = lambda: ingest_landed(spark, out, land_shards(spark, sf), land_raw(spark, sf) + "/the_stack_smol", suffix=".txt.gz", language=lang)
+    run()
+    again = run()
+    row = lambda df, part, key, n: df.select((F.lit(part) if isinstance(part, str) else part).alias("part"), key.alias("key"), n.cast("bigint").alias("n"))
+    parts = [
+        row(again.stats, F.col("kind"), F.col("language"), F.col("n")), row(again.inventory, "rows", F.col("dataset"), F.col("n_rows")),
+        row(again.gate, "gate", F.lit("all_valid"), F.col("all_valid").cast("int")),
+        row(again.read.agg(F.count(F.lit(1)).alias("n")), "read again", F.lit("all"), F.col("n")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @query("cap_per_language", W("fx_pairs") + ", " + _DUCK_SHARD_PAIRS +
        f"SELECT {PAIR5} FROM capped")
 def q_cap_per_language(spark, sf):

@@ -1,7 +1,8 @@
 """Ingest job: landed raw pairs / whole files -> filtered, capped, per-language parquet + stats.
 
 Network downloads are out of scope; the job starts from landed shards
-(gzip JSON lines, optionally inside ZIP archives) and whole-file records.
+(gzip JSON lines) and whole-file records.  ``ingest_landed`` keeps a manifest of the
+files it has finished, so that a later run reads new files only.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from ..functions import constants as K
 from ..functions.quality import has_doc_marker
 from ..functions.text import col, py_strip, row_key, seeded_key
 from ..operators.ranking import cap_per_group
-from ..sources.files import file_inventory
+from ..sources.files import file_inventory, landed_files, scan_whole_files
+from ..sources.jsonl import scan_jsonl_pairs
+from ..sources.sinks import write_parquet_by_language
 
 
 def ingest_pair_filter(code: Column | str, docstring: Column | str) -> Column:
@@ -69,8 +72,6 @@ def ingest_job(spark: SparkSession, pairs: DataFrame, out_dir: str | None = None
                n_languages: int = len(K.INGEST_LANGUAGES)) -> IngestResult:
     out = ingest_pairs(pairs, max_examples, n_languages)
     if out_dir:
-        from ..sources.sinks import write_parquet_by_language
-
         write_parquet_by_language(out, out_dir)
     return IngestResult(pairs=out, stats=ingest_stats(out))
 
@@ -88,3 +89,87 @@ def verify(spark: SparkSession, root: str, datasets: list[str]) -> tuple[DataFra
         "total_files", "total_rows",
     )
     return inv, gate
+
+
+MANIFEST = "run int, kind string, file string, length bigint, modified timestamp"
+KINDS = {"pairs": PAIR_COLS, "files": FILE_COLS}
+
+
+@dataclass
+class IngestRun:
+    """A run over landed files: its number (0: nothing was new), the files that it read,
+    and everything ingested so far."""
+
+    run: int
+    read: DataFrame
+    pairs: DataFrame
+    files: DataFrame
+    stats: DataFrame
+    inventory: DataFrame
+    gate: DataFrame
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def manifest(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Files of all finished runs."""
+    path = f"{out_dir.rstrip('/')}/manifest"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).parquet(path)
+
+
+def ingested(spark: SparkSession, out_dir: str, kind: str) -> DataFrame:
+    """Rows of a kind (``pairs`` or ``files``) from finished runs; of a file that was
+    ingested again after it changed, the rows of its last run."""
+    columns = KINDS[kind]
+    done = manifest(spark, out_dir).filter(F.col("kind") == kind)
+    last = done.agg(F.max("run")).first()[0]
+    path = f"{out_dir.rstrip('/')}/{kind}"
+    if last is None or not _exists(spark, path):
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+    schema = ", ".join(f"{c} string" for c in columns) + ", file string, run int"
+    rows = spark.read.schema(schema).parquet(path).filter(F.col("run") <= last)  # prunes folders
+    newest = done.groupBy("file").agg(F.max("run").alias("newest"))
+    stale = done.join(newest, "file").filter("run < newest").select("run", "file")
+    return rows.join(stale, ["run", "file"], "left_anti").select(*columns)
+
+
+def ingest_landed(spark: SparkSession, out_dir: str, pairs_dir: str, files_dir: str, name_contains: str = "train",
+                  suffix: str = ".jsonl.gz", language: Column | str | None = None) -> IngestRun:
+    """Ingest the pair shards and whole-file records that no earlier run has finished.
+
+    Files are new when the manifest holds none of their path, length and time.  New rows
+    are filtered and written by language as a run of their own; the manifest gets the
+    run's files last, so a run that dies leaves nothing that is read and is done again
+    under its number.  Without new files nothing is written.  One run writes to a folder
+    at a time.  Rows are not capped: a cap needs all runs (``cap_per_language`` on the
+    result).  Names of new files pass through the driver, as in any Spark scan.
+    """
+    root = out_dir.rstrip("/")
+    done = manifest(spark, root)
+    shards = landed_files(spark, pairs_dir, suffix).filter(F.col("file").contains(name_contains))
+    landed = shards.withColumn("kind", F.lit("pairs")).unionByName(landed_files(spark, files_dir, ".parquet").withColumn("kind", F.lit("files")))
+    new = landed.join(done.select("kind", "file", "length", "modified"), ["kind", "file", "length", "modified"], "left_anti").collect()
+    number = 0
+    if new:
+        number = (done.agg(F.max("run")).first()[0] or 0) + 1
+        names = {kind: [r.file for r in new if r.kind == kind] for kind in KINDS}
+        if names["pairs"]:
+            found = scan_jsonl_pairs(spark, pairs_dir, language, name_contains, suffix, names["pairs"], keep_file=True)
+            kept = found.filter(ingest_pair_filter("code", "docstring"))
+            write_parquet_by_language(kept.select(*PAIR_COLS, "file"), f"{root}/pairs/run={number}")
+        if names["files"]:
+            found = scan_whole_files(spark, files_dir, only=set(names["files"]), keep_file=True)
+            kept = found.filter(has_doc_marker("content", "language"))
+            write_parquet_by_language(kept.select(*FILE_COLS, "file"), f"{root}/files/run={number}")
+        rows = [(number, r.kind, r.file, r.length, r.modified) for r in new]
+        spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+    read = spark.createDataFrame([(r.kind, r.file) for r in new], "kind string, file string")
+    pairs, files = ingested(spark, root, "pairs"), ingested(spark, root, "files")
+    by_kind = [ingest_stats(df).select(F.lit(kind).alias("kind"), "language", "n") for kind, df in (("pairs", pairs), ("files", files))]
+    inventory, gate = verify(spark, root, list(KINDS))
+    return IngestRun(number, read, pairs, files, by_kind[0].unionByName(by_kind[1]), inventory, gate)

@@ -122,10 +122,12 @@ def _below(f: PartFile, folder: str) -> str:
 
 
 def read_entries(spark: SparkSession, folder: str, schema: T.StructType,
-                 project: Callable[[DataFrame, Column], DataFrame], verify: bool = True) -> DataFrame:
-    """Union of ``project(files of one schema, column of their entry's stem)``."""
+                 project: Callable[[DataFrame, Column], DataFrame], verify: bool = True,
+                 only: set[str] | None = None) -> DataFrame:
+    """Union of ``project(files of one schema, column of their entry's stem)``; ``only``
+    names the files to read by their paths below the folder (all, if None)."""
     out = None
-    for files in _by_schema(part_files(spark, folder)):
+    for files in _by_schema([f for f in part_files(spark, folder) if only is None or _below(f, folder) in only]):
         bad = _damaged(spark, folder, files) if verify else set()
         files = [f for f in files if f.path not in bad]
         if files:
@@ -183,10 +185,27 @@ def scan_instructions(spark: SparkSession, path: str, verify: bool = True) -> Da
 FILE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ["language", "content", "path"]])
 
 
-def scan_whole_files(spark: SparkSession, path: str, verify: bool = True) -> DataFrame:
-    """``{language}.parquet`` whole-file records (content, path)."""
-    return read_entries(spark, path, FILE_SCHEMA, lambda df, stem: df.select(
-        stem.alias("language"), *[_string_or_default(df, [c]).alias(c) for c in ("content", "path")]), verify)
+def scan_whole_files(spark: SparkSession, path: str, verify: bool = True, only: set[str] | None = None,
+                     keep_file: bool = False) -> DataFrame:
+    """``{language}.parquet`` whole-file records (content, path); ``keep_file`` adds the
+    path of their file below the folder as ``file``."""
+    extra = [_file(spark, path).alias("file")] if keep_file else []
+    schema = T.StructType([*FILE_SCHEMA.fields, *([T.StructField("file", T.StringType())] if keep_file else [])])
+    return read_entries(spark, path, schema, lambda df, stem: df.select(
+        stem.alias("language"), *[_string_or_default(df, [c]).alias(c) for c in ("content", "path")], *extra), verify, only)
+
+
+def landed_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
+    """(file, length, modified) of the files below a folder, by path below it; no content
+    is read.  An absent folder has none."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/"))
+    system = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(top):
+        return spark.createDataFrame([], "file string, length bigint, modified timestamp")
+    below = len(_one_slash(system.makeQualified(top).toString())) + 2
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).filter(F.col("path").endswith(suffix))
+    path = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/")
+    return found.select(F.substring(path, below, 1 << 30).alias("file"), "length", F.col("modificationTime").alias("modified"))
 
 
 def _decoded(path: F.Column) -> F.Column:

@@ -9,6 +9,8 @@ file's earlier blocks (a per-block table, one row per block).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -83,19 +85,30 @@ def encoded_root(spark: SparkSession, path: str) -> str:
     return spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/")).toUri().getRawPath()
 
 
+def glob_escaped(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def scan_jsonl_pairs(spark: SparkSession, path: str, language: Column | str | None = None,
-                     name_contains: str = "train", suffix: str = ".jsonl.gz") -> DataFrame:
+                     name_contains: str = "train", suffix: str = ".jsonl.gz",
+                     files: list[str] | None = None, keep_file: bool = False) -> DataFrame:
     """Code/docstring pairs from gzip JSON-lines shards.
 
     Only files whose path below the root contains ``name_contains`` and ends with
     ``suffix`` are read (gzip is decoded by the text source, one task per file).  Lines
     that are not one JSON object are skipped.  Fields fall back by key presence:
     code <- code | func_code_string | '', docstring likewise, repo/path <- ''.
+    ``files`` (paths below the root, not empty) are read instead of the whole root;
+    ``keep_file`` adds the path below the root as ``file``.
     """
+    root = encoded_root(spark, path)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    source = path if files is None else [f"{path.rstrip('/')}/{glob_escaped(f)}" for f in files]
     lines = (
-        spark.read.option("recursiveFileLookup", "true").text(path)
+        reader.text(source)
         .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
-        .filter(F.substring_index("file", encoded_root(spark, path) + "/", -1).contains(name_contains) & F.col("file").endswith(suffix))
+        .filter(F.substring_index("file", root + "/", -1).contains(name_contains) & F.col("file").endswith(suffix))
     )
     v = parse_strict("line")
     parsed = lines.select("file", v.alias("v")).filter(is_object(F.col("v")))
@@ -106,4 +119,5 @@ def scan_jsonl_pairs(spark: SparkSession, path: str, language: Column | str | No
         lang.cast("string").alias("language"),
         field_text_or(F.col("v"), ["repo"], "").alias("repo"),
         field_text_or(F.col("v"), ["path"], "").alias("path"),
+        *([F.url_decode(F.replace(F.substring_index("file", root + "/", -1), F.lit("+"), F.lit("%2B"))).alias("file")] if keep_file else []),
     )
