@@ -1072,6 +1072,25 @@ def q_filter_readme_strict(spark, sf):
     return fx(spark, sf, "fx_readme_text").filter(readme_strict_ok("readme")).select("doc_id")
 
 
+@query("generated_readmes", W("fx_readme_forms") + S.generated_sql("fx_readme_forms", "doc_id", "readme"))
+def q_generated_readmes(spark, sf):
+    """READMEs whose skeleton of headings and line shapes recurs over the corpus."""
+    from .operators.filters import generated_readmes
+
+    return generated_readmes(fx(spark, sf, "fx_readme_forms"), "doc_id", "readme")
+
+
+@query("filter_readme_authored", W("fx_readme_forms") + f"""
+SELECT doc_id FROM fx_readme_forms
+WHERE coalesce(length(readme) > {K.README_MIN_CHARS} AND {S.readme_ok('readme', 3)} AND {S.detect_language('readme')} = 'en', false)
+  AND doc_id NOT IN (SELECT doc_id FROM ({S.generated_sql("fx_readme_forms", "doc_id", "readme")}) WHERE generated)""")
+def q_filter_readme_authored(spark, sf):
+    """The documented README criteria, generated READMEs left out."""
+    from .operators.filters import authored_readmes
+
+    return authored_readmes(fx(spark, sf, "fx_readme_forms"), "doc_id", "readme").select("doc_id")
+
+
 @query("dedup_exact", f"""
 SELECT doc_id, lang FROM documents
 WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY md5({S.normalized('text')}))""")

@@ -299,6 +299,22 @@ FROM {d.table('documents')}
 """
 
 
+def sql_readme_forms(d: Dialect) -> str:
+    """READMEs written by hand (headings from the text) and by two tools (headings of
+    the tool, with its version and a list or a table)."""
+    words = "regexp_extract(text, '^([^ ]+ [^ ]+ [^ ]+)', 1)"
+    code = f"{NL}, '```python', {NL}, 'run(', {_s('doc_id')}, ')', {NL}, '```', {NL}"
+    return f"""
+SELECT doc_id, concat(
+  CASE doc_id % 5
+    WHEN 0 THEN concat('# API reference v', {_s('doc_id % 10')}, {NL}, text, {NL}, '## Modules', {NL}, '- a', {NL}, '- b', {code}, '## Index', {NL}, text)
+    WHEN 1 THEN concat('# Generated client ', {_s('doc_id')}, {NL}, {NL}, '## Models', {NL}, '| a | b |', {NL}, '## Methods', {code}, text)
+    WHEN 2 THEN concat('# Notes', {NL}, text, {code}, '## More', {NL}, text)
+    ELSE concat('# ', {words}, {NL}, text, {NL}, '## Use of ', {words}, {code}, '## About ', {words}, {NL}, '1. one', {NL}, text, {NL}, '## Contact', {NL}, 'mail') END) AS readme
+FROM {d.table('documents')}
+"""
+
+
 def sql_contents(d: Dialect) -> str:
     """Contents of files (base64): manifests, a file that is no key file, some missing,
     malformed or not UTF-8."""
@@ -359,6 +375,7 @@ FIXTURES = {
     "fx_trees": (sql_trees, ["documents"]),
     "fx_contents": (sql_contents, ["documents"]),
     "fx_lists": (sql_lists, ["documents"]),
+    "fx_readme_forms": (sql_readme_forms, ["documents"]),
     "fx_versions": (sql_versions, ["documents"]),
 }
 

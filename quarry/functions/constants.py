@@ -203,6 +203,11 @@ STOPWORDS: dict[str, list[str]] = {
 # Length buckets of the stratified split (characters of output).
 LENGTH_BUCKETS = (500, 2000)
 
+# A README is generated when at least so many READMEs share its skeleton, which has at
+# least so many headings (shorter skeletons recur by chance).
+GENERATED_MIN_READMES = 5
+GENERATED_MIN_HEADINGS = 3
+
 # Near-duplicate parameters.
 SHINGLE_WORDS = 3
 JACCARD_NUM, JACCARD_DEN = 7, 10  # similarity >= 0.7, compared in integers

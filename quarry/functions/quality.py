@@ -174,3 +174,33 @@ def detect_language(text: Column | str) -> Column:
         return let(F.array(*(stopword_hits(tokens, x) for x in ("en", "de", "fr", "es"))), pick)
 
     return let(stopwords_of(language_tokens(text)), body)
+
+
+# shapes of a line after trimming, in the order they are tried; blank lines have none
+HEADING = "^#{1,6}[ \t]"
+LINE_SHAPES = [("`", "^```"), ("-", "^(?:[-*+]|[0-9]+[.)])[ \t]"), ("|", "^[|]")]
+PROSE_SHAPE = "."
+
+
+def skeleton(text: Column | str) -> Column:
+    """The form of a Markdown text: its headings (lower case, digits as 0) and, between
+    them, the shapes of the lines (fence, list, table, prose), each run of one shape
+    once; a line each.  Null for null, empty for a text without lines."""
+
+    def shape(line: Column) -> Column:
+        expr = F.when(line == "", F.lit("")).when(line.rlike(HEADING), F.lower(F.regexp_replace(line, "[0-9]+", "0")))
+        for mark, pattern in LINE_SHAPES:
+            expr = expr.when(line.rlike(pattern), F.lit(mark))
+        return expr.otherwise(F.lit(PROSE_SHAPE))
+
+    lines = F.transform(F.split(col(text), "\n"), lambda x: F.trim(F.regexp_replace(x, "[\t\r]", " ")))
+    shapes = F.filter(F.transform(lines, shape), lambda x: x != "")
+    out = F.concat(F.array_join(shapes, "\n"), F.lit("\n"))
+    for mark in [m for m, _ in LINE_SHAPES] + [PROSE_SHAPE]:
+        out = F.regexp_replace(out, f"(?m)(?:^[{mark}]\n)+", f"{mark}\n")
+    return out
+
+
+def skeleton_headings(form: Column | str) -> Column:
+    """Number of headings of a skeleton."""
+    return F.regexp_count(col(form), F.lit("(?m)" + HEADING)).cast("bigint")

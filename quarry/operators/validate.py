@@ -80,36 +80,84 @@ def error_sample(validated: DataFrame, cap: int = 10, shown: int = 3) -> DataFra
                       F.coalesce(F.col("rank") <= shown, F.lit(False)).alias("shown"))
 
 
+def field_value_or_unknown(v: Column, name: str) -> Column:
+    """Absent key -> 'unknown'; JSON null -> null; else the value as text."""
+    return let(field(v, name), lambda f: F.when(f.isNull(), F.lit("unknown"))
+               .otherwise(F.try_variant_get(f, "$", "string")))
+
+
+FACTS = ["file", "line_no", "parsed", "valid", "error", "is_object", "input_length", "output_length", "source", "language",
+         "instruction_preview", "input_preview", "output_preview"]
+
+
+def line_facts(validated: DataFrame) -> DataFrame:
+    """What the reports need of a validated line: flags, first error, lengths, source,
+    language and previews, without the line or its parsed document.  Facts stay as
+    they are."""
+    if "input_length" in validated.columns:
+        return validated
+    v = F.col("v")
+    of_object = lambda c: F.when(is_object(v), c)
+    return validated.select(
+        "file", "line_no", "parsed", "valid", "error", F.coalesce(is_object(v), F.lit(False)).alias("is_object"),
+        F.length(field_string(v, "input")).alias("input_length"), F.length(field_string(v, "output")).alias("output_length"),
+        *[of_object(field_value_or_unknown(v, f)).alias(f) for f in ("source", "language")],
+        *[preview(field_string(v, f), K.PREVIEW_CHARS[f]).alias(f"{f}_preview") for f in ("instruction", "input", "output")],
+    )
+
+
+def _lengths(measured: Column) -> list[Column]:
+    of = lambda c: F.when(measured, F.col(c))
+    return [
+        F.avg(of("input_length")).cast("double").alias("avg_input_length"), F.avg(of("output_length")).cast("double").alias("avg_output_length"),
+        F.min(of("input_length")).cast("bigint").alias("min_input_length"), F.max(of("input_length")).cast("bigint").alias("max_input_length"),
+    ]
+
+
+LENGTHS = ["avg_input_length", "avg_output_length", "min_input_length", "max_input_length"]
+
+
 def length_stats(validated: DataFrame) -> DataFrame:
     """Per file over objects whose input and output are strings: average input
     and output length, min and max input length."""
-    v = F.col("v")
-    rows = validated.filter(F.col("parsed")).select(
-        "file", F.length(field_string(v, "input")).alias("li"), F.length(field_string(v, "output")).alias("lo")
-    ).filter(F.col("li").isNotNull() & F.col("lo").isNotNull())
-    return rows.groupBy("file").agg(
-        F.avg("li").cast("double").alias("avg_input_length"),
-        F.avg("lo").cast("double").alias("avg_output_length"),
-        F.min("li").cast("bigint").alias("min_input_length"),
-        F.max("li").cast("bigint").alias("max_input_length"),
+    measured = F.col("parsed") & F.col("input_length").isNotNull() & F.col("output_length").isNotNull()
+    return line_facts(validated).filter(measured).groupBy("file").agg(*_lengths(F.lit(True)))
+
+
+def counts(validated: DataFrame) -> DataFrame:
+    """Every count of the reports in one aggregation with grouping sets: rows of
+    (file), (file, source) and (file, language), told apart by ``level``."""
+    measured = F.col("parsed") & F.col("input_length").isNotNull() & F.col("output_length").isNotNull()
+    facts = line_facts(validated)
+    file, source, language = F.col("file"), F.col("source"), F.col("language")
+    return facts.groupingSets([[file], [file, source], [file, language]], file, source, language).agg(
+        F.grouping_id().cast("int").alias("level"), F.count(F.lit(1)).alias("total"), F.count_if("valid").alias("valid"),
+        F.count_if(~F.col("valid")).alias("invalid"), F.count_if("is_object").alias("objects"), F.count_if(measured).alias("measured"),
+        *_lengths(measured),
     )
 
 
-def field_value_or_unknown(v: Column, name: str) -> Column:
-    """Absent key -> 'unknown'; JSON null -> null; else the value as text."""
-    return let(field(v, name), lambda f: F.when(f.isNull(), F.lit("unknown"))
-               .otherwise(F.try_variant_get(f, "$", "string")))
+BY_FILE, BY_SOURCE, BY_LANGUAGE = 3, 1, 2  # levels of ``counts``
+
+
+def summary_of(counted: DataFrame) -> DataFrame:
+    return counted.filter(F.col("level") == BY_FILE).select("file", "total", "valid", "invalid")
+
+
+def length_stats_of(counted: DataFrame) -> DataFrame:
+    return counted.filter((F.col("level") == BY_FILE) & (F.col("measured") > 0)).select("file", *LENGTHS)
+
+
+def histogram_of(counted: DataFrame) -> DataFrame:
+    named = F.when(F.col("level") == BY_SOURCE, F.lit("source")).otherwise(F.lit("language"))
+    value = F.when(F.col("level") == BY_SOURCE, F.col("source")).otherwise(F.col("language"))
+    kept = counted.filter((F.col("level") != BY_FILE) & (F.col("objects") > 0))
+    return kept.select("file", named.alias("field"), value.alias("value"), F.col("objects").alias("n"))
 
 
 def histogram(validated: DataFrame) -> DataFrame:
     """Per file: counts by source and by language of parsed objects."""
-    v = F.col("v")
-    objs = validated.filter(F.col("parsed") & is_object(v))
-    src = objs.groupBy("file", field_value_or_unknown(v, "source").alias("value")).agg(
-        F.count(F.lit(1)).alias("n")).withColumn("field", F.lit("source"))
-    lang = objs.groupBy("file", field_value_or_unknown(v, "language").alias("value")).agg(
-        F.count(F.lit(1)).alias("n")).withColumn("field", F.lit("language"))
-    return src.unionByName(lang).select("file", "field", "value", "n")
+    return histogram_of(counts(validated))
 
 
 def top_languages(hist: DataFrame, k: int = 5) -> DataFrame:
@@ -121,16 +169,10 @@ def top_languages(hist: DataFrame, k: int = 5) -> DataFrame:
 
 def sample_entries(validated: DataFrame, n: int = 5, seed: int = K.DEFAULT_SEED) -> DataFrame:
     """n parsed objects per file by a seeded hash order (all when fewer), previewed."""
-    v = F.col("v")
-    objs = validated.filter(F.col("parsed") & is_object(v)).withColumn(
+    objs = line_facts(validated).filter("parsed and is_object").withColumn(
         "_ks", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("file"), F.col("line_no").cast("string"))))
     top = top_k_per_group(objs, n, ["file"], [F.col("_ks")])
-    return top.select(
-        "file", "line_no",
-        preview(field_string(v, "instruction"), K.PREVIEW_CHARS["instruction"]).alias("instruction_preview"),
-        preview(field_string(v, "input"), K.PREVIEW_CHARS["input"]).alias("input_preview"),
-        preview(field_string(v, "output"), K.PREVIEW_CHARS["output"]).alias("output_preview"),
-    )
+    return top.select("file", "line_no", "instruction_preview", "input_preview", "output_preview")
 
 
 def verdict(summ: DataFrame) -> DataFrame:

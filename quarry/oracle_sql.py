@@ -308,6 +308,31 @@ def detect_language(x: str) -> str:
             f"WHEN {hits['de']} = {best} THEN 'de' WHEN {hits['fr']} = {best} THEN 'fr' ELSE 'es' END)")
 
 
+def skeleton(x: str) -> str:
+    from .functions import quality as Q
+
+    shapes = " ".join(f"WHEN regexp_matches(l, {q(p)}) THEN {q(m)}" for m, p in Q.LINE_SHAPES)
+    shape = (f"CASE WHEN l = '' THEN '' WHEN regexp_matches(l, {q(Q.HEADING)}) THEN lower(regexp_replace(l, '[0-9]+', '0', 'g')) "
+             f"{shapes} ELSE {q(Q.PROSE_SHAPE)} END")
+    lines = f"list_transform(string_split({x}, chr(10)), lambda y: trim(regexp_replace(y, '[\t\r]', ' ', 'g')))"
+    out = f"(array_to_string(list_filter(list_transform({lines}, lambda l: {shape}), lambda l: l <> ''), chr(10)) || chr(10))"
+    for mark in [m for m, _ in Q.LINE_SHAPES] + [Q.PROSE_SHAPE]:
+        out = f"regexp_replace({out}, '(?m)(?:^[{mark}]\n)+', '{mark}' || chr(10), 'g')"
+    return out
+
+
+def generated_sql(src: str, id_col: str, text_col: str) -> str:
+    from .functions import quality as Q
+
+    forms = f"SELECT {id_col}, {skeleton(text_col)} AS form FROM {src}"
+    headed = (f"SELECT DISTINCT {id_col}, CASE WHEN len(regexp_extract_all(form, {q('(?m)' + Q.HEADING)})) >= {K.GENERATED_MIN_HEADINGS} "
+              f"THEN form END AS form FROM ({forms})")
+    return f"""
+SELECT {id_col}, bool_or(n >= {K.GENERATED_MIN_READMES}) AS generated FROM (
+  SELECT {id_col}, CASE WHEN form IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY form) END AS n FROM ({headed}))
+GROUP BY {id_col}"""
+
+
 def tokens_ok(i: str, o: str) -> str:
     (ilo, ihi), (olo, ohi) = K.TOKEN_LIMITS["input"], K.TOKEN_LIMITS["output"]
     return f"({token_count(i)} BETWEEN {ilo} AND {ihi} AND {token_count(o)} BETWEEN {olo} AND {ohi})"

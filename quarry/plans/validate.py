@@ -1,19 +1,20 @@
 """Validation job: JSONL files -> per-file counts, error sample, stats, samples, verdict.
 
-The text is scanned once and parsed once; the parsed lines are persisted
-because every report reads them.
+The text is scanned once and parsed once: what the reports need of each line is
+written as a narrow table in the shared folder, and all counts come from one
+aggregation with grouping sets over it, written too.  Both belong to the caller's
+``temporary_tables`` block, if any; nothing is cached in the session.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import constants as K
 from ..operators import validate as V
-from ..session import configure
+from ..session import configure, write_through
 from ..sources.jsonl import scan_lines
 
 
@@ -30,27 +31,24 @@ class ValidationReport:
 
 
 def validate_dir(spark: SparkSession, path: str, glob: str = "*.jsonl", recursive: bool = False,
-                 bounds: dict[str, tuple[int, int]] = K.TRAINING_BOUNDS, sample: int = 5,
-                 persist: bool = True) -> ValidationReport:
+                 bounds: dict[str, tuple[int, int]] = K.TRAINING_BOUNDS, sample: int = 5) -> ValidationReport:
     configure(spark)
     lines = scan_lines(spark, path, glob=glob, recursive=recursive)
-    return validate_lines_report(lines, bounds, sample, persist)
+    return validate_lines_report(lines, bounds, sample)
 
 
 def validate_lines_report(lines: DataFrame, bounds: dict[str, tuple[int, int]] = K.TRAINING_BOUNDS,
-                          sample: int = 5, persist: bool = True) -> ValidationReport:
-    validated = V.validate_lines(lines, bounds)
-    if persist:
-        validated = validated.persist(StorageLevel.MEMORY_AND_DISK)
-    summ = V.summary(validated)
-    hist = V.histogram(validated)
+                          sample: int = 5) -> ValidationReport:
+    facts = write_through(V.line_facts(V.validate_lines(lines, bounds)), "validated-lines")
+    counted = write_through(V.counts(facts), "validated-counts")
+    summ, hist = V.summary_of(counted), V.histogram_of(counted)
     return ValidationReport(
-        lines=validated,
+        lines=facts,
         summary=summ,
-        errors=V.error_sample(validated),
-        stats=V.length_stats(validated),
+        errors=V.error_sample(facts),
+        stats=V.length_stats_of(counted),
         histogram=hist,
         top_languages=V.top_languages(hist),
-        samples=V.sample_entries(validated, sample),
+        samples=V.sample_entries(facts, sample),
         verdict=V.verdict(summ),
     )

@@ -42,9 +42,22 @@ def test_cap_and_dry_run(spark):
 def test_validation_totals(spark):
     lines = X.fixture(spark, SMALL_SF, "fx_lines").select(
         F.col("shard").alias("file"), F.col("doc_id").alias("line_no"), "line")
-    rep = validate_lines_report(lines, persist=False)
+    rep = validate_lines_report(lines)
     for r in rep.summary.collect():
         assert r.valid + r.invalid == r.total
     errs = rep.errors.groupBy("file").agg(F.count_if("shown").alias("shown")).collect()
     assert all(r.shown <= 3 for r in errs)
     assert rep.verdict.first().all_valid is False
+
+
+def test_validation_parses_once_and_caches_nothing(spark):
+    rows = [("f", i, line) for i, line in enumerate(['{"source": null, "input": "a", "output": "bb"}', '{"source": "s"}', '{"input": "abc", "output": "d", "source": "s"}', "[1]", "no", ""])]
+    rep = validate_lines_report(spark.createDataFrame(rows, "file string, line_no int, line string"))
+    assert {(r.field, r.value, r.n) for r in rep.histogram.collect()} == {("language", "unknown", 3), ("source", None, 1), ("source", "s", 2)}
+    assert tuple(rep.stats.first()) == ("f", 2.0, 1.5, 1, 3)
+    assert tuple(rep.summary.first())[:2] == ("f", 6)
+    for df in (rep.summary, rep.errors, rep.stats, rep.histogram, rep.top_languages, rep.samples, rep.verdict):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "parse_json" not in plan.lower() and "InMemoryRelation" not in plan
+    empty = validate_lines_report(spark.createDataFrame([], "file string, line_no int, line string"))
+    assert empty.summary.count() == 0 and tuple(empty.verdict.first()) == (0, False)

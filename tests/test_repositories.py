@@ -4,6 +4,8 @@ import base64
 
 from pyspark.sql import functions as F
 
+from quarry.functions.quality import skeleton, skeleton_headings
+from quarry.operators.filters import authored_readmes, generated_readmes
 from quarry.operators.joins import curated_repositories, repository_of
 from quarry.operators.repos import key_file_contents, repo_context_prompt, with_key_files
 
@@ -73,3 +75,26 @@ def test_curated_repositories(spark):
     assert curated_repositories(repos, pages.limit(0), "url").count() == 0
     assert curated_repositories(repos, pages, "url").columns == ["id", "url", "host"]
     assert curated_repositories(repos.filter(F.lit(False)), pages, "url").count() == 0
+
+
+def test_skeleton_of_a_readme(spark):
+    text = "# Tool v12.3 \n\none\ntwo\r\n- a\n* b\n3) c\n```py\nx = 1\n```\n## API.\n| a |\n|--|\n\tend.\n"
+    form, n = spark.createDataFrame([(text,)], "t string").select(skeleton("t").alias("f")).select("f", skeleton_headings("f")).first()
+    assert form == "# tool v0.0\n.\n-\n`\n.\n`\n## api.\n|\n.\n" and n == 2
+    none, empty = (r[0] for r in spark.createDataFrame([(None,), ("",)], "t string").select(skeleton("t")).collect())
+    assert none is None and empty == "\n"
+
+
+def test_generated_readmes(spark):
+    made = [(i, f"# Client {i}\n\ntext {i}\n{'more' * i}\n## Models\n- m{i}\n## Methods\n") for i in range(5)]
+    own = [(10 + i, f"# {w}\ntext\n## why {w}\n## how\n") for i, w in enumerate("abcdef")]
+    short = [(20 + i, f"# Notes\n{i}") for i in range(9)]
+    rows = made + own + short + [own[0]] * 6 + [(30, None), (None, made[0][1]), (31, "")]
+    table = spark.createDataFrame(rows, "id int, t string").selectExpr("id", "t", "1 AS n", "'x' AS generated")
+    got = {r.id: r.generated for r in generated_readmes(table, "id", "t").collect()}
+    assert {i for i, g in got.items() if g} == set(range(5)) and set(got) == {i for i, _ in rows}
+    assert not any(r.generated for r in generated_readmes(table.filter("id > 0 or id is null"), "id", "t").collect())
+    assert generated_readmes(table.limit(0), "id", "t").count() == 0
+    body = "the text and the use of it is in the file " * 20 + "\n```\nx\n```\n"
+    full = spark.createDataFrame([(i, t + body) for i, t in made + own], "id int, t string")
+    assert {r.id for r in authored_readmes(full, "id", "t", min_sections=2).collect()} == {i for i, _ in own}
