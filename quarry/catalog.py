@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as X
@@ -394,10 +394,10 @@ def q_scan_jsonl_strict(spark, sf):
        " SELECT shard, line_no, doc_id FROM numbered")
 def q_line_numbers(spark, sf):
     """Line numbers recovered from the files, matched to the fixture's doc_id order."""
+    from .operators.windows import row_numbers
+
     v = _validated(spark, sf)
-    lines = fx(spark, sf, "fx_lines")
-    w = Window.partitionBy("shard").orderBy("doc_id")
-    expected = lines.withColumn("line_no", F.row_number().over(w)).select("shard", "line_no", "doc_id")
+    expected = row_numbers(fx(spark, sf, "fx_lines").select("shard", "doc_id"), "shard", "doc_id", width=1000)
     return v.select(F.col("file").alias("shard"), "line_no").join(expected, ["shard", "line_no"], "left")
 
 

@@ -120,3 +120,16 @@ def test_groups_beyond_the_local_limit_are_joined(spark, monkeypatch):
     df = spark.createDataFrame([(f"v{i}", i % 7 or None) for i in range(700)], "v string, g int").withColumn("k", F.md5("v"))
     got = _counts(cap_per_group(df, "k", 30, ["g"]), ["g"])
     assert got == {(g,): 30 for g in (None, 1, 2, 3, 4, 5, 6)}
+
+
+def test_row_numbers_by_ranges(spark):
+    from quarry.operators.windows import row_numbers
+
+    rows = [("a" if i % 3 else None, (i * 7919) % 5000 - 2500) for i in range(2000)] + [("b", None), ("b", 5), ("a", None)]
+    got = row_numbers(spark.createDataFrame(rows, "g string, k int"), "g", "k", width=100).collect()
+    assert len(got) == len(rows)
+    for g in ("a", "b", None):
+        want = sorted((k for h, k in rows if h == g), key=lambda k: (k is not None, k or 0))
+        assert [r.k for r in sorted((r for r in got if r.g == g), key=lambda r: r.line_no)] == want
+        assert sorted(r.line_no for r in got if r.g == g) == list(range(1, len(want) + 1))
+    assert row_numbers(spark.createDataFrame([], "g string, k int"), "g", "k").count() == 0
