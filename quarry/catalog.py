@@ -348,8 +348,8 @@ def _validated(spark, sf, bounds=K.TRAINING_BOUNDS):
 
     configure(spark)
     root = land_lines(spark, sf)
-    lines = scan_lines(spark, root, glob="*.txt", recursive=True)
-    lines = lines.withColumn("file", F.regexp_extract("file", r"shard=([^/]+)/", 1))
+    lines = scan_lines(spark, root, glob="*.txt", recursive=True, by_folder=True)
+    lines = lines.withColumn("file", F.regexp_extract("file", r"shard=([^/]+)$", 1))
     return V.validate_lines(lines, bounds)
 
 
@@ -532,11 +532,11 @@ def q_validate_job(spark, sf):
     from lines that are scanned and parsed once."""
     from .landing import land_lines
     from .plans.validate import validate_lines_report
-    from .sources.jsonl import scan_lines
+    from .sources.jsonl import scan_positions
 
     configure(spark)
-    lines = scan_lines(spark, land_lines(spark, sf), glob="*.txt", recursive=True)
-    rep = validate_lines_report(lines.withColumn("file", F.regexp_extract("file", r"shard=([^/]+)/", 1)))
+    lines = scan_positions(spark, land_lines(spark, sf), glob="*.txt", recursive=True, by_folder=True)
+    rep = validate_lines_report(lines.withColumn("file", F.regexp_extract("file", r"shard=([^/]+)$", 1)))
 
     def rows(df, report, key, n=None, value=None, shard=F.col("file")):
         return df.select((F.lit(report) if isinstance(report, str) else report).alias("report"), shard.alias("shard"),

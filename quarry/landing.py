@@ -16,7 +16,7 @@ from . import fixtures as X
 from .session import scratch_dir, write_file
 
 
-LANDING_VERSION = "4"
+LANDING_VERSION = "5"
 PAGE_IDS = 100  # ids of one page of search results
 
 
@@ -77,13 +77,14 @@ def land_raw(spark: SparkSession, sf_dir: str) -> str:
 
 
 def land_lines(spark: SparkSession, sf_dir: str) -> str:
-    """JSONL shards of the validator: one text file per shard, lines in doc_id order."""
+    """JSONL shards of the validator, lines in doc_id order.  A shard is a folder whose files
+    hold successive ranges of it, as many as the data needs; their names are in order."""
     root = landed_dir(spark, sf_dir, "lines")
     marker = f"{root}_landed"
     if _done(spark, marker):
         return root
     lines = X.fixture(spark, sf_dir, "fx_lines")
-    (lines.repartition("shard").sortWithinPartitions("shard", "doc_id")
+    (lines.repartitionByRange("shard", "doc_id").sortWithinPartitions("shard", "doc_id")
      .select("shard", "line").write.mode("overwrite").partitionBy("shard").text(root))
     spark.range(1).write.mode("overwrite").parquet(marker)
     return root

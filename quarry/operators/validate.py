@@ -92,14 +92,15 @@ FACTS = ["file", "line_no", "parsed", "valid", "error", "is_object", "input_leng
 
 def line_facts(validated: DataFrame) -> DataFrame:
     """What the reports need of a validated line: flags, first error, lengths, source,
-    language and previews, without the line or its parsed document.  Facts stay as
-    they are."""
+    language and previews, without the line or its parsed document.  A line not numbered
+    yet keeps its position ``at``.  Facts stay as they are."""
     if "input_length" in validated.columns:
         return validated
     v = F.col("v")
     of_object = lambda c: F.when(is_object(v), c)
     return validated.select(
-        "file", "line_no", "parsed", "valid", "error", F.coalesce(is_object(v), F.lit(False)).alias("is_object"),
+        "file", "at" if "at" in validated.columns else "line_no", "parsed", "valid", "error",
+        F.coalesce(is_object(v), F.lit(False)).alias("is_object"),
         F.length(field_string(v, "input")).alias("input_length"), F.length(field_string(v, "output")).alias("output_length"),
         *[of_object(field_value_or_unknown(v, f)).alias(f) for f in ("source", "language")],
         *[preview(field_string(v, f), K.PREVIEW_CHARS[f]).alias(f"{f}_preview") for f in ("instruction", "input", "output")],

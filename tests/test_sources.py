@@ -5,6 +5,7 @@ import gzip
 import json
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -35,6 +36,62 @@ def test_line_numbers_across_blocks(spark):
         assert got[f] == {i + 1: x for i, x in enumerate(lines)}
 
 
+def test_folder_of_parts_is_one_file_read_once(spark, tmp_path):
+    """Parts of a folder are numbered through; the second reader finds the first one's table."""
+    from quarry.plans.validate import validate_dir
+
+    root, expected = tmp_path / "shards", {}
+    for shard, rows in (("a", 5000), ("b", 7), ("c", 0)):
+        (root / f"shard={shard}").mkdir(parents=True)
+        lines = [f"{shard} {i} " + "y" * (i % 40) for i in range(rows)]
+        cuts = [0, rows // 5, rows // 5, rows // 2, rows]  # the second part is empty
+        for part, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+            (root / f"shard={shard}" / f"part-{part:05d}.txt").write_text("".join(x + "\n" for x in lines[lo:hi]))
+        expected[shard] = lines
+    prev = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        read = lambda: scan_lines(spark, str(root), glob="*.txt", recursive=True, by_folder=True)
+        df = read()
+        rows = df.select(F.regexp_extract("file", r"shard=(.)$", 1).alias("s"), "line_no", "line").collect()
+        rep = validate_dir(spark, str(root), glob="*.txt", recursive=True, by_folder=True)
+        numbered = {(r.file[-1], r.line_no) for r in rep.lines.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
+    assert {(r.s, r.line_no, r.line) for r in rows} == {(s, i + 1, x) for s, xs in expected.items() for i, x in enumerate(xs)}
+    assert len(rows) == 5007 and numbered == {(r.s, r.line_no) for r in rows}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and "FileScan parquet" in plan
+    assert sorted(read().inputFiles()) == sorted(df.inputFiles())
+    (root / "shard=b" / "part-00004.txt").write_text("more\n")
+    assert read().count() == 5008
+
+
+def test_landed_shards_are_several_files(spark):
+    """A shard is spread over files by ranges of ids, and its numbers hold across them."""
+    from small_inputs import SMALL_SF
+    from quarry import landing
+
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is small
+    version, landing.LANDING_VERSION = landing.LANDING_VERSION, uuid.uuid4().hex
+    try:
+        root = landing.land_lines(spark, SMALL_SF)
+    finally:
+        landing.LANDING_VERSION = version
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(root).inputFiles()
+    assert len(files) > 3
+    got = scan_lines(spark, root, glob="*.txt", recursive=True, by_folder=True)
+    landed = {(r.file.rsplit("=")[-1], r.line_no): r.line for r in got.collect()}
+    from quarry import fixtures as X
+
+    want = {}
+    for r in sorted(X.fixture(spark, SMALL_SF, "fx_lines").collect(), key=lambda r: r.doc_id):
+        want.setdefault(r.shard, []).append(r.line)
+    assert landed == {(s, i + 1): x for s, xs in want.items() for i, x in enumerate(xs)}
+
+
 def _py_lenient(s):
     try:
         return base64.b64decode(s).decode("utf-8")
