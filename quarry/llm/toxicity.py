@@ -21,20 +21,27 @@ Details that make window lengths comparable:
   that length with the toxic content has gain 0 and needs no compression.
 
 Learning uses a bounded sample: at most ``max_toxic`` and ``max_ordinary``
-labelled documents, those with the smallest id hashes, each cut to at most
-``MAX_SAMPLE_BYTES`` taken at even distances.  Scoring reads every whole text.
+labelled documents, those with the smallest id hashes.  Their whole texts stay on
+the executors, which count runs, cut dictionary pieces and measure the windows of
+the calibration; the driver gets the telling runs (``MAX_RUNS`` with the most
+evidence), at most ``PIECES`` pieces of a class (those with the smallest
+checksums, no longer than four times a piece's length) and four numbers a sampled
+document.  Scoring reads every whole text.
 
 Cases: a null or empty text has no windows and gets the curve's value at zero; a
 repeated row is scored like any other; without labels of both classes, every
-score is 0.0; conflicting labels of one document count as toxic; null labels and
-rows without an id teach nothing; extra columns are ignored.
+score is 0.0; conflicting labels of one document count as toxic; of different
+texts under one labelled id, the one with the smallest hash teaches; null labels
+and rows without an id teach nothing; a very long text is read whole by one task,
+word by word; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import astuple, dataclass
 
@@ -45,8 +52,12 @@ from pyspark.sql import functions as F
 
 from quarry.llm import common
 
-MAX_TOXIC, MAX_ORDINARY, MAX_SAMPLE_BYTES = 2000, 8000, 12000
-ORDINARY_BYTES, TOXIC_BYTES = 32 << 10, 8 << 10
+MAX_TOXIC, MAX_ORDINARY = 2000, 8000
+MAX_RUNS, PIECES = 20_000, 20_000
+TASKS = 24  # files of the written sample
+HELD_RUNS = 500_000  # runs a task counts before it passes them on
+# chosen by the loss on folds of learnable rows; both must lie within the match window
+ORDINARY_BYTES, TOXIC_BYTES = 48 << 10, 4 << 10
 MIN_MATCH, PRIMER = 5, 48
 EVIDENCE = 20.0  # log-likelihood ratio from which a byte run tells the classes apart
 PAD = bytes(range(240, 250))
@@ -129,13 +140,6 @@ def score_text(text: bytes | None, windows: Windows, model: Model) -> tuple[floa
     return _sigmoid(a + b * share + c * count), len(words), hits
 
 
-def _spread(text: bytes, limit: int = MAX_SAMPLE_BYTES, pieces: int = 10) -> bytes:
-    if len(text) <= limit:
-        return text
-    size, step = limit // pieces, len(text) // pieces
-    return b" ".join(text[i * step : i * step + size] for i in range(pieces))
-
-
 def _train(samples: list[bytes], size: int, **how: int) -> bytes:
     """Content of a dictionary trained on the samples; too little text is used as it is."""
     import zstandard as zs
@@ -151,24 +155,19 @@ def _train(samples: list[bytes], size: int, **how: int) -> bytes:
     return whole[-size:]
 
 
-def _cut(text: bytes, size: int = 128) -> list[bytes]:
-    words, out, held = words_of(text), [], b""
-    for w in words:
-        held += b" " + w
-        if len(held) >= size:
-            out.append(held)
+def _cut(words: list[bytes], size: int) -> Iterator[bytes]:
+    """Pieces of at least ``size`` bytes; what is over four times that is cut on."""
+    held = b""
+    for w in [*words, None]:
+        held += b"" if w is None else b" " + w
+        if held and (w is None or len(held) >= size):
+            yield from (held[i : i + 4 * size] for i in range(0, len(held), 4 * size))
             held = b""
-    return [*out, held] if held else out
 
 
-def _distinct(rows: list[tuple[int, bytes, int]]) -> list[tuple[int, bytes, int]]:
-    """One row of each group of near copies (equal least five-word run)."""
-    seen: dict[tuple[int, int], tuple[int, bytes, int]] = {}
-    for row in rows:
-        words = words_of(row[1])
-        key = min((zlib.crc32(b" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4))), default=0)
-        seen.setdefault((key, row[2]), row)
-    return list(seen.values())
+def _likeness(words: list[bytes]) -> int:
+    """Least checksum of the five-word runs: equal for most near copies."""
+    return min((zlib.crc32(b" ".join(words[i : i + 5])) for i in range(max(1, len(words) - 4))), default=0)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float, float, float]:
@@ -192,101 +191,168 @@ def _runs(word: bytes) -> list[bytes]:
     return [padded[i : i + MIN_MATCH] for i in range(len(padded) - MIN_MATCH + 1)]
 
 
-def _telling(learn: list[tuple[int, bytes, int]]) -> set[bytes]:
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, int]]:
+    for b in batches:
+        yield from zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic")), strict=True)
+
+
+def _telling(learn: DataFrame, sizes: tuple[int, int]) -> list[bytes]:
     """Runs of bytes that toxic documents hold more often than chance allows.
 
     The rate counts every occurrence, as long ordinary documents hold most runs
-    at least once; the evidence counts documents, so that one alone tells nothing."""
-    docs, times, words, n = {0: Counter(), 1: Counter()}, {0: Counter(), 1: Counter()}, Counter(), Counter()
-    for _, text, label in learn:
-        here: Counter = Counter()
-        for w, c in Counter(words_of(text)).items():
-            words[label] += c
-            for run in _runs(w):
-                here[run] += c
-        docs[label].update(here.keys())
-        times[label].update(here)
-        n[label] += 1
-    share, out = n[1] / (n[0] + n[1]), set()
-    for run, c in docs[1].items():
-        o = docs[0][run]
-        if c / n[1] > o / n[0] and times[1][run] * words[0] >= 5 * (times[0][run] + 0.5) * words[1]:
-            both = c + o
-            evidence = 2 * (c * math.log(c / (both * share)) + (o * math.log(o / (both * (1 - share))) if o else 0))
-            if evidence >= EVIDENCE:
-                out.add(run)
-    return out
-
-
-def _dictionaries(learn: list[tuple[int, bytes, int]]) -> tuple[bytes, bytes]:
+    at least once; the evidence counts documents, so that one alone tells nothing.
+    ``sizes``: ordinary and toxic documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+
+        def flush() -> pa.RecordBatch:
+            counts = [pa.array(c, pa.int64()) for c in zip(*held.values(), strict=True)]
+            out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), *counts], ["run", "docs0", "docs1", "times0", "times1"])
+            held.clear()
+            return out
+
+        for _, text, toxic in _rows(batches):
+            words = words_of(text)
+            here: Counter = Counter()
+            for w, c in Counter(words).items():
+                for run in _runs(w):
+                    here[run] += c
+            here[b""] = len(words)  # all words, under the empty run
+            for run, c in here.items():
+                row = held[run]
+                row[toxic] += 1
+                row[2 + toxic] += c
+            if len(held) >= HELD_RUNS:
+                yield flush()
+        if held:
+            yield flush()
+
+    names = ["docs0", "docs1", "times0", "times1"]
+    found = learn.mapInArrow(count, "run binary, docs0 long, docs1 long, times0 long, times1 long")
+    found = found.groupBy("run").agg(*[F.sum(c).alias(c) for c in names])
+    with common.temporary_tables(learn.sparkSession):
+        found = common.stash(found.filter("docs1 > 0 or run = X''"), "toxic-runs")
+        words = found.filter("run = X''").first()
+        n0, n1 = sizes
+        both, share = F.col("docs0") + F.col("docs1"), n1 / (n0 + n1)
+        odds = F.when(F.col("docs0") > 0, F.col("docs0") * F.log(F.col("docs0") / (both * (1 - share)))).otherwise(0.0)
+        evidence = 2 * (F.col("docs1") * F.log(F.col("docs1") / (both * share)) + odds)
+        more = (F.col("docs1") / n1 > F.col("docs0") / n0) & (F.col("times1") * words.times0 >= 5 * (F.col("times0") + 0.5) * words.times1)
+        telling = found.filter("run <> X''").filter(more).select("run", evidence.alias("evidence")).filter(F.col("evidence") >= EVIDENCE)
+        return [bytes(r.run) for r in telling.orderBy(F.desc("evidence"), "run").limit(MAX_RUNS).collect()]
+
+
+def _pieces(learn: DataFrame, toxic: int, size: int, telling: frozenset[bytes] = frozenset()) -> list[bytes]:
+    """At most ``PIECES`` pieces of one class, those with the smallest checksums; of words
+    that hold a telling run, if runs are given."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def all_pieces() -> Iterator[tuple[int, bytes]]:
+            for _, text, label in _rows(batches):
+                if label == toxic:
+                    words = words_of(text)
+                    for p in _cut([w for w in words if not telling.isdisjoint(_runs(w))] if telling else words, size):
+                        yield zlib.crc32(p), p
+
+        least = heapq.nsmallest(PIECES, all_pieces())
+        yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in least], pa.int64()), pa.array([p for _, p in least], pa.binary())], ["crc", "piece"])
+
+    return [bytes(r.piece) for r in learn.mapInArrow(cut, "crc long, piece binary").orderBy("crc", "piece").limit(PIECES).collect()]
+
+
+def _dictionaries(learn: DataFrame, sizes: tuple[int, int]) -> tuple[bytes, bytes]:
     """(ordinary, toxic) dictionary contents of labelled rows of both classes."""
-    telling = _telling(learn)
-    rest = [[w for w in words_of(t) if not telling.isdisjoint(_runs(w))] for _, t, label in learn if label]
-    toxic = _train([x for r in rest for x in _cut(b" ".join(r), 64)], TOXIC_BYTES, k=16, d=6)
-    toxic = toxic or b"".join(t for _, t, label in learn if label)[-TOXIC_BYTES:]
-    plain = [w for _, t, label in learn if not label for w in _cut(t)]
-    plain.sort(key=zlib.crc32)
-    return _train(plain[:20000], ORDINARY_BYTES, k=50, d=8), toxic
+    telling = frozenset(_telling(learn, sizes))
+    toxic = _train(_pieces(learn, 1, 64, telling), TOXIC_BYTES, k=16, d=6)
+    return _train(_pieces(learn, 0, 128), ORDINARY_BYTES, k=50, d=8), toxic
+
+
+def _measured(check: DataFrame, ordinary: bytes, toxic: bytes) -> list[tuple[int, int, list[int]]]:
+    """(label, windows, windows of each of ``GAINS`` or more) of each document."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gains, out = Windows(ordinary, toxic, None), []
+        for _, text, label in _rows(batches):
+            words = words_of(text)
+            by = Counter(map(gains.__getitem__, words))
+            out.append((label, len(words), [sum(c for g, c in by.items() if g >= least) for least in GAINS]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.list_(pa.int64()))],
+            ["toxic", "n", "hits"],
+        )
+
+    rows = check.mapInArrow(measure, "toxic int, n long, hits array<long>").collect()
+    return sorted((r.toxic, r.n, list(r.hits)) for r in rows)
 
 
-def fit(rows: list[tuple[int, bytes, int]]) -> Model:
-    """A model of labelled rows (id, text, label).
+def fit(sample: DataFrame) -> Model:
+    """A model of labelled rows (doc_id, text binary, toxic 0 or 1) of distinct ids.
 
     Threshold and curve come from one half of the rows under dictionaries of the
-    other half; then the dictionaries are trained once more on all of them."""
-    rows = sorted(rows)
-    half = [zlib.crc32(b"half%d" % (r[0] or 0)) % 2 for r in rows]
-    learn = _distinct([r for r, h in zip(rows, half, strict=True) if h]) or rows
-    check = [r for r, h in zip(rows, half, strict=True) if not h]
-    if len({r[2] for r in learn}) < 2:
-        learn = rows
-    if len({r[2] for r in check}) < 2:
-        check = rows
-    if len({r[2] for r in rows}) < 2:
+    other half; then the dictionaries are trained once more on all of them.  Of near
+    copies (equal ``_likeness``) only the first trains a dictionary."""
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            like = [_likeness(words_of(t)) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(like, pa.int64())], ["doc_id", "toxic", "likeness"])
+
+    # three numbers for each row of the bounded sample
+    rows = sorted((r.doc_id, r.toxic, r.likeness) for r in sample.mapInArrow(marks, "doc_id long, toxic int, likeness long").collect())
+    if len({r[1] for r in rows}) < 2:
         return Model(b"", b"", 1, (0.0, 0.0, 0.0), known=False)
-    ordinary, toxic = _dictionaries(learn)
-    gains = Windows(ordinary, toxic, None)
+    first = [r for r in rows if zlib.crc32(b"half%d" % r[0]) % 2]
+    second = [r for r in rows if not zlib.crc32(b"half%d" % r[0]) % 2]
+    first, second = [part if len({r[1] for r in part}) == 2 else rows for part in (first, second)]
+
+    def dictionaries(part: list[tuple[int, int, int]]) -> tuple[bytes, bytes]:
+        alone = list({(r[2], r[1]): r for r in reversed(part)}.values())
+        n1 = sum(r[1] for r in alone)
+        return _dictionaries(chosen(alone), (len(alone) - n1, n1))
+
+    def chosen(part: list[tuple[int, int, int]]) -> DataFrame:
+        ids = sample.sparkSession.createDataFrame([(r[0],) for r in part], "doc_id long")
+        return sample.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic")  # ids of the bounded sample
+
+    found = _measured(chosen(second), *dictionaries(first))
     best: tuple[float, int, tuple[float, float, float]] | None = None
-    y = np.array([r[2] for r in check], dtype=float)
-    found = [(len(ws), Counter(map(gains.__getitem__, ws))) for ws in (words_of(r[1]) for r in check)]
-    for least in GAINS:
-        x = np.array([_features(sum(c for g, c in by.items() if g >= least), n) for n, by in found])
+    y = np.array([r[0] for r in found], dtype=float)
+    for at, least in enumerate(GAINS):
+        x = np.array([_features(hits[at], n) for _, n, hits in found])
         w = _logistic(x, y)
         p = 1 / (1 + np.exp(-np.clip(w[0] + x @ np.array(w[1:]), -30, 30)))
         loss = float(-np.mean(y * np.log(p + 1e-12) + (1 - y) * np.log(1 - p + 1e-12)))
         if best is None or loss < best[0]:
             best = (loss, least, w)
-    return Model(*_dictionaries(_distinct(rows)), best[1], best[2])
+    return Model(*dictionaries(rows), best[1], best[2])
 
 
-def sample_labelled(docs: DataFrame, labels: DataFrame, max_toxic: int, max_ordinary: int) -> list[tuple[int, bytes, int]]:
-    """The bounded sample of learnable labelled rows: (doc_id, text, label)."""
+def sample_labelled(docs: DataFrame, labels: DataFrame, max_toxic: int, max_ordinary: int) -> DataFrame:
+    """The bounded sample of learnable labelled rows: doc_id, whole text in bytes, label."""
     marks = (
         common.narrow(labels, doc_id="long", toxic="int")
         .filter("doc_id is not null and toxic is not null")
         .filter(common.id_remainder("doc_id", 3) != 1)
-        .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+        .groupBy("doc_id").agg((F.max("toxic") == 1).cast("int").alias("toxic"), F.max("toxic").alias("mark"))
     )
     order = [F.xxhash64("doc_id"), "doc_id"]
     picked = (
-        marks.filter("toxic = 1").orderBy(*order).limit(max_toxic)
-        .unionAll(marks.filter("toxic = 0").orderBy(*order).limit(max_ordinary))
+        marks.filter("mark = 1").orderBy(*order).limit(max_toxic)
+        .unionAll(marks.filter("mark = 0").orderBy(*order).limit(max_ordinary))
     )
     # at most max_toxic + max_ordinary rows of two numbers: small enough to broadcast
-    texts = common.narrow(docs, doc_id="long", text="string").join(F.broadcast(picked), "doc_id")
-
-    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cut = [_spread(t or b"") for t in b.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(cut, pa.binary()), b.column("toxic")], ["doc_id", "text", "toxic"])
-
-    rows = texts.mapInArrow(shorten, "doc_id long, text binary, toxic int").dropDuplicates(["doc_id"]).toArrow().to_pylist()
-    return [(r["doc_id"], r["text"], int(r["toxic"] == 1)) for r in rows]
+    texts = common.narrow(docs, doc_id="long", text="string").join(F.broadcast(picked.select("doc_id", "toxic")), "doc_id")
+    text = F.coalesce("text", F.lit(""))
+    return texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64(text), text.alias("text"))).alias("least"), F.max("toxic").alias("toxic")).select(
+        "doc_id", F.col("least.text").cast("binary").alias("text"), "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY) -> Model:
     """Learn from labelled documents whose crc32(doc_id) mod 3 is not 1."""
-    return fit(sample_labelled(docs, labels, max_toxic, max_ordinary))
+    with common.temporary_tables(docs.sparkSession):
+        sample = sample_labelled(docs, labels, max_toxic, max_ordinary)
+        return fit(common.stash(sample.repartition(TASKS, "doc_id"), "toxic-sample"))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

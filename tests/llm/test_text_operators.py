@@ -65,7 +65,7 @@ def test_toxicity_separates_and_takes_all_cases(spark, docs, no_docs):
     assert toxicity.score(no_docs, toxicity.train(no_docs, labels.limit(0))).count() == 0
 
 
-def test_toxicity_learns_what_follows_a_telling_run():
+def test_toxicity_learns_what_follows_a_telling_run(spark):
     # half of the toxic texts hold a word of their own, half use one opening often that
     # over a quarter of the ordinary texts hold too
     rng = random.Random(3)
@@ -78,12 +78,52 @@ def test_toxicity_learns_what_follows_a_telling_run():
         return " ".join(words).encode()
 
     rows = [(i, text(i % 10), int(i % 10 < 2)) for i in range(1500)]
-    model = toxicity.fit(rows[:1200])
+    model = toxicity.fit(spark.createDataFrame(rows[:1200], "doc_id long, text binary, toxic int"))
     windows = toxicity.Windows(model.ordinary, model.toxic, model.gain)
     got = [toxicity.score_text(t, windows, model)[0] >= toxicity.CUTOFF for _, t, _ in rows[1200:]]
     assert sum(g == bool(y) for g, (_, _, y) in zip(got, rows[1200:], strict=True)) >= 290
 
 
+def test_toxicity_equals_brute_force_and_takes_whole_texts(spark):
+    import zstandard as zs
+
+    bad = "stupidhead worthlessfool disgustingrat".split()
+    # the marks stand at the very end of texts of 40 KB: no prefix shows them
+    rows = [row(i, prose(i, 80 if i % 10 else 7000) + (" " + " ".join(bad[(i + k) % 3] for k in range(5)) if i % 3 == 0 else "")) for i in range(200)]
+    again = [row(0, "another text of a labelled id"), row(3, None)]
+    table = spark.createDataFrame(rows + again, SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(200)], "doc_id long, toxic int")
+    model = toxicity.train(table, labels)
+    assert toxicity.train(table.repartition(5), labels) == model
+    params = zs.ZstdCompressionParameters(
+        window_log=17, hash_log=16, chain_log=16, search_log=6, min_match=toxicity.MIN_MATCH, target_length=64,
+        strategy=zs.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    def length(content, window):
+        held = zs.ZstdCompressionDict(content, dict_type=zs.DICT_TYPE_RAWCONTENT)
+        return len(zs.ZstdCompressor(dict_data=held, compression_params=params).compress(window))
+
+    gains = {}
+
+    def toxic_window(w):
+        if w not in gains:
+            window = model.ordinary[-toxicity.PRIMER :] + b" " + w + b" " + toxicity.PAD
+            gains[w] = length(model.ordinary, window) - length(model.toxic + model.ordinary, window)
+        return gains[w] >= model.gain
+
+    got = sorted((r.doc_id, r.n_windows, r.n_toxic_windows, round(r.score, 9)) for r in toxicity.score(table, model).collect())
+    want = []
+    for i, text, *_ in rows[1:60] + again:
+        words = (text or "").lower().encode().split()
+        hits = sum(map(toxic_window, words))
+        a, b, c = model.weights
+        z = a + b * min(100 * hits / (len(words) + toxicity.SMOOTH), 5) + c * math.log1p(hits)
+        want.append((i, len(words), hits, round(1 / (1 + math.exp(-z)), 9)))
+    assert not Counter(want) - Counter(got) and len(got) == 202
+    long = [r for r in got if r[0] % 10 == 0 and r[1] > 5000]
+    assert len(long) == 20 and all((r[2] >= 5) == (r[0] % 3 == 0) for r in long)
+
+
 def test_encoding_equals_the_tokenizer(spark, docs, no_docs):
     from tokenizers import Tokenizer
 
