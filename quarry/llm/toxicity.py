@@ -5,8 +5,9 @@ A text is cut into word windows; a window's *gain* is the number of bytes by
 which the toxic dictionary compresses it shorter than the ordinary one.  A
 window counts as toxic when its gain reaches a threshold, and a logistic curve
 over the share and number of such windows is the text's score.  Threshold and
-curve are calibrated with dictionaries of one half of the labelled rows on the
-other half; the dictionaries in use are then trained on both.
+curve are calibrated with dictionaries of two thirds of the labelled rows on the
+other third, and those dictionaries are the ones in use: gains are whole bytes and
+shift by one or two between dictionaries, so others would need thresholds of their own.
 
 Details that make window lengths comparable:
 
@@ -16,7 +17,9 @@ Details that make window lengths comparable:
   is significantly more frequent there than in ordinary documents; whole words,
   so that what follows the run is learnt as well.  A window is one word.
 * Every window is compressed between a primer (the end of the ordinary content)
-  and a fixed pad, so a short word meets the block header cost already paid.
+  and a fixed pad, so a short word meets the block header cost already paid.  Lengths
+  are whole bytes; a gain is the sum under primers of several lengths, which end at
+  different bits, so that rounding decides less.
 * The shortest match is ``MIN_MATCH`` bytes, so a window that shares no run of
   that length with the toxic content has gain 0 and needs no compression.
 
@@ -57,11 +60,11 @@ MAX_RUNS, PIECES = 20_000, 20_000
 TASKS = 24  # files of the written sample
 HELD_RUNS = 500_000  # runs a task counts before it passes them on
 # chosen by the loss on folds of learnable rows; both must lie within the match window
-ORDINARY_BYTES, TOXIC_BYTES = 48 << 10, 4 << 10
-MIN_MATCH, PRIMER = 5, 48
+ORDINARY_BYTES, TOXIC_BYTES = 48 << 10, 2 << 10
+MIN_MATCH, PRIMERS = 5, (24, 48, 100, 200)
 EVIDENCE = 20.0  # log-likelihood ratio from which a byte run tells the classes apart
 PAD = bytes(range(240, 250))
-GAINS = (2, 3, 4)  # thresholds tried in calibration
+GAINS = tuple(range(5, 19))  # thresholds tried in calibration, in bytes over all primers
 SMOOTH = 30.0  # words added to a text's length, so that short texts need real evidence
 MEMO = 400_000  # windows remembered per worker before the memo starts anew
 CUTOFF = 0.7
@@ -92,7 +95,7 @@ class Windows(dict):
         self.limit = gain
         own = toxic + b"  "
         self.runs = {own[i : i + MIN_MATCH] for i in range(len(toxic) - MIN_MATCH + 1)}
-        self.primer = ordinary[-PRIMER:]
+        self.primers = [ordinary[-n:] for n in PRIMERS]
         params = zs.ZstdCompressionParameters(
             window_log=17, hash_log=16, chain_log=16, search_log=6, min_match=MIN_MATCH, target_length=64,
             strategy=zs.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False,
@@ -110,8 +113,8 @@ class Windows(dict):
         runs = self.runs
         if not any(padded[i : i + MIN_MATCH] in runs for i in range(len(padded) - MIN_MATCH + 1)):
             return 0
-        window = self.primer + padded + PAD
-        return len(self.plain(window)) - len(self.toxic(window))
+        windows = [primer + padded + PAD for primer in self.primers]
+        return sum(len(self.plain(w)) - len(self.toxic(w)) for w in windows)
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMO:
@@ -289,9 +292,8 @@ def _measured(check: DataFrame, ordinary: bytes, toxic: bytes) -> list[tuple[int
 def fit(sample: DataFrame) -> Model:
     """A model of labelled rows (doc_id, text binary, toxic 0 or 1) of distinct ids.
 
-    Threshold and curve come from one half of the rows under dictionaries of the
-    other half; then the dictionaries are trained once more on all of them.  Of near
-    copies (equal ``_likeness``) only the first trains a dictionary."""
+    Threshold and curve come from one third of the rows under the dictionaries of the
+    others.  Of near copies (equal ``_likeness``) only the first trains a dictionary."""
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -302,20 +304,18 @@ def fit(sample: DataFrame) -> Model:
     rows = sorted((r.doc_id, r.toxic, r.likeness) for r in sample.mapInArrow(marks, "doc_id long, toxic int, likeness long").collect())
     if len({r[1] for r in rows}) < 2:
         return Model(b"", b"", 1, (0.0, 0.0, 0.0), known=False)
-    first = [r for r in rows if zlib.crc32(b"half%d" % r[0]) % 2]
-    second = [r for r in rows if not zlib.crc32(b"half%d" % r[0]) % 2]
+    first = [r for r in rows if zlib.crc32(b"part%d" % r[0]) % 3]
+    second = [r for r in rows if not zlib.crc32(b"part%d" % r[0]) % 3]
     first, second = [part if len({r[1] for r in part}) == 2 else rows for part in (first, second)]
 
-    def dictionaries(part: list[tuple[int, int, int]]) -> tuple[bytes, bytes]:
-        alone = list({(r[2], r[1]): r for r in reversed(part)}.values())
-        n1 = sum(r[1] for r in alone)
-        return _dictionaries(chosen(alone), (len(alone) - n1, n1))
-
     def chosen(part: list[tuple[int, int, int]]) -> DataFrame:
         ids = sample.sparkSession.createDataFrame([(r[0],) for r in part], "doc_id long")
         return sample.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic")  # ids of the bounded sample
 
-    found = _measured(chosen(second), *dictionaries(first))
+    alone = list({(r[2], r[1]): r for r in reversed(first)}.values())
+    n1 = sum(r[1] for r in alone)
+    ordinary, toxic = _dictionaries(chosen(alone), (len(alone) - n1, n1))
+    found = _measured(chosen(second), ordinary, toxic)
     best: tuple[float, int, tuple[float, float, float]] | None = None
     y = np.array([r[0] for r in found], dtype=float)
     for at, least in enumerate(GAINS):
@@ -325,7 +325,7 @@ def fit(sample: DataFrame) -> Model:
         loss = float(-np.mean(y * np.log(p + 1e-12) + (1 - y) * np.log(1 - p + 1e-12)))
         if best is None or loss < best[0]:
             best = (loss, least, w)
-    return Model(*dictionaries(rows), best[1], best[2])
+    return Model(ordinary, toxic, best[1], best[2])
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, max_toxic: int, max_ordinary: int) -> DataFrame:

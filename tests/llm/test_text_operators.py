@@ -107,8 +107,8 @@ def test_toxicity_equals_brute_force_and_takes_whole_texts(spark):
 
     def toxic_window(w):
         if w not in gains:
-            window = model.ordinary[-toxicity.PRIMER :] + b" " + w + b" " + toxicity.PAD
-            gains[w] = length(model.ordinary, window) - length(model.toxic + model.ordinary, window)
+            windows = [model.ordinary[-n:] + b" " + w + b" " + toxicity.PAD for n in toxicity.PRIMERS]
+            gains[w] = sum(length(model.ordinary, x) - length(model.toxic + model.ordinary, x) for x in windows)
         return gains[w] >= model.gain
 
     got = sorted((r.doc_id, r.n_windows, r.n_toxic_windows, round(r.score, 9)) for r in toxicity.score(table, model).collect())
