@@ -315,3 +315,22 @@ def keep_one(docs: DataFrame) -> DataFrame:
         )
         kept = common.stash(kept, "kept", keep=True)
     return rows.join(kept, "number", "left_semi").select("row.*")
+
+
+# near_duplicates in DuckDB's SQL: shingles as text, one row for each set, all links, reachability
+ORACLE_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END) AS s FROM words),
+classes AS (SELECT doc_id, s, CASE WHEN len(s) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY s) END AS id FROM sets),
+shingles AS (SELECT id, len(s) AS n, unnest(s) AS shingle FROM classes WHERE doc_id = id),
+links AS (
+  SELECT a.id AS a, b.id AS b FROM shingles a JOIN shingles b USING (shingle) WHERE a.id <> b.id
+  GROUP BY a.id, b.id HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (SELECT DISTINCT a AS id, a AS other FROM links UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other),
+components AS (SELECT id, min(other) AS c FROM reach GROUP BY id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(c, id) AS component_id, doc_id = coalesce(c, id) AS kept
+FROM classes LEFT JOIN components USING (id)"""

@@ -33,6 +33,9 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(common.table(spark, sf_dir, "documents"))
 
 
+ORACLES["op7_minhash"] = neardup.ORACLE_SQL
+
+
 @query
 def op10_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(common.table(spark, sf_dir, "documents"))

@@ -256,3 +256,20 @@ def test_pipeline_of_an_empty_table(spark, corpus, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, out, corpus)
     assert out.count() == 0
+
+
+def test_near_duplicates_equal_their_sql(spark):
+    import duckdb
+
+    once = {r[0]: r for r in cases() if r[0] is not None}
+    chain = [prose(50, 200).split()]
+    for i in range(1, 6):  # each text differs from the next by a few words, the ends by more
+        chain.append([*chain[-1][:-3], *chain[0][: 3 * i]][-200:] if i % 2 else [f"new{i}", *chain[-1][5:]])
+    rows = [*once.values(), *[row(5000 - i, " ".join(words)) for i, words in enumerate(chain)]]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(r[0], r[1]) for r in rows])
+    want = set(con.execute(neardup.ORACLE_SQL).fetchall())
+    got = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert set(map(tuple, got)) == want and len(got) == len(rows)
+    assert len({r.component_id for r in got if r.doc_id >= 4995}) < 6
