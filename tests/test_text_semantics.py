@@ -62,3 +62,19 @@ def test_token_and_ratio(spark):
     assert [r.n for r in rows] == [10, 3, 0]  # "h", "é", "llo": accented letters count alone
     assert [round(r.r, 3) for r in rows] == [0.0, 0.2, 0.0]
     assert F is not None
+
+
+def test_words_counted_and_base64_cleaned_without_matching(spark):
+    """Splits and translations, equal to the patterns they stand for."""
+    import random
+
+    from quarry.functions.text import NON_WS, WS, one_spaced, word_count
+    from quarry.operators.repos import decode_base64_text
+
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("ab \t\n\xa0\u3000\x1c\u200b", k=rng.randint(0, 9))) for _ in range(500)] + ["", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    same = word_count("t").eqNullSafe(F.regexp_count("t", F.lit(f"{NON_WS}+")).cast("bigint")) & one_spaced("t").eqNullSafe(F.regexp_replace("t", f"{WS}+", " "))
+    assert df.filter(~same).count() == 0
+    plan = df.select(word_count("t"), decode_base64_text("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan
