@@ -10,6 +10,8 @@ from ..functions.quality import has_code_fence, readme_passes, readme_sections
 from ..functions.text import col, let
 from .ranking import top_k_per_group
 
+BASE64_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/="
+
 
 def decode_base64_text(content: Column | str) -> Column:
     """Lenient base64 -> UTF-8 text, null on any failure.
@@ -28,7 +30,10 @@ def decode_base64_text(content: Column | str) -> Column:
         raw = F.try_to_binary(F.concat(d, F.repeat(F.lit("="), (F.lit(4) - m) % 4)), F.lit("base64"))
         return F.when(ok, F.try_validate_utf8(raw.cast("string")))
 
-    return let(F.regexp_replace(col(content), r"[^A-Za-z0-9+/=]", ""), body)
+    # what is left of the text without the alphabet goes: a negated class in a pattern
+    # takes ten times as long on long texts
+    foreign = lambda s: F.call_function("translate", s, F.lit(BASE64_CHARS), F.lit(""))
+    return let(F.call_function("translate", col(content), foreign(col(content)), F.lit("")), body)
 
 
 def path_depth(path: Column) -> Column:
