@@ -16,8 +16,9 @@ from . import fixtures as X
 from .session import scratch_dir, write_file
 
 
-LANDING_VERSION = "5"
+LANDING_VERSION = "6"
 PAGE_IDS = 100  # ids of one page of search results
+RANGE_BYTES = 8 << 20  # input of one range of landed lines, so that a task sorts them in memory
 
 
 def _tag(spark: SparkSession, sf_dir: str) -> str:
@@ -61,17 +62,17 @@ def land_raw(spark: SparkSession, sf_dir: str) -> str:
     for lang in ["python", "javascript", "java", "go", "ruby", "php"]:
         (pairs.filter(F.col("language") == lang)
          .select("code", "docstring", "language", "repo", "path")
-         .write.mode("overwrite").parquet(f"{root}/codesearchnet/{lang}.parquet"))
+         .write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/codesearchnet/{lang}.parquet"))
     (X.fixture(spark, sf_dir, "fx_corpus").select("desc", "decl", "bodies")
-     .write.mode("overwrite").parquet(f"{root}/code_docstring_corpus/train.parquet"))
+     .write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/code_docstring_corpus/train.parquet"))
     (X.fixture(spark, sf_dir, "fx_instr").select("instruction", "input", "output")
-     .write.mode("overwrite").parquet(f"{root}/python_code_instructions/train.parquet"))
+     .write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/python_code_instructions/train.parquet"))
     # one unreadable entry: skipped by every reader, still listed by the inventory
     write_file(spark, f"{root}/codesearchnet/broken.parquet", b"not a parquet file")
     filesdf = X.fixture(spark, sf_dir, "fx_files")
     for lang in X.FILE_LANGS:
         (filesdf.filter(F.col("language") == lang).select("content", "path")
-         .write.mode("overwrite").parquet(f"{root}/the_stack_smol/{lang}.parquet"))
+         .write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/the_stack_smol/{lang}.parquet"))
     spark.range(1).write.mode("overwrite").parquet(marker)
     return root
 
@@ -84,7 +85,10 @@ def land_lines(spark: SparkSession, sf_dir: str) -> str:
     if _done(spark, marker):
         return root
     lines = X.fixture(spark, sf_dir, "fx_lines")
-    (lines.repartitionByRange("shard", "doc_id").sortWithinPartitions("shard", "doc_id")
+    source = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/documents.parquet")
+    size = source.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(source).getLength()
+    ranges = [-(-size // RANGE_BYTES)] if size > 8 * RANGE_BYTES else []  # small inputs: as the session has it
+    (lines.repartitionByRange(*ranges, "shard", "doc_id").sortWithinPartitions("shard", "doc_id")
      .select("shard", "line").write.mode("overwrite").partitionBy("shard").text(root))
     spark.range(1).write.mode("overwrite").parquet(marker)
     return root
@@ -126,12 +130,12 @@ def land_payloads(spark: SparkSession, sf_dir: str) -> str:
     # half of the hits as search pages with an ``items`` array, the others one per line;
     # a page holds a fixed range of ids, so pages grow in number and not in size
     paged = repos.filter("doc_id % 2 = 0").groupBy(F.floor(F.col("doc_id") / PAGE_IDS).alias("page")).agg(F.collect_list(hit).alias("items"))
-    paged.select(F.size("items").alias("total_count"), "items").write.mode("overwrite").json(f"{root}/hits")
-    repos.filter("doc_id % 2 = 1").select(hit.alias("h")).select("h.*").write.mode("append").json(f"{root}/hits")
-    X.fixture(spark, sf_dir, "fx_readmes").select("owner", "name", "content").write.mode("overwrite").json(
-        f"{root}/readmes")
+    paged.select(F.size("items").alias("total_count"), "items").write.mode("overwrite").option("compression", "gzip").json(f"{root}/hits")
+    repos.filter("doc_id % 2 = 1").select(hit.alias("h")).select("h.*").write.mode("append").option("compression", "gzip").json(f"{root}/hits")
+    X.fixture(spark, sf_dir, "fx_readmes").select("owner", "name", "content").write.mode("overwrite").option(
+        "compression", "gzip").json(f"{root}/readmes")
     X.fixture(spark, sf_dir, "fx_trees").select("owner", "name", "tree").write.mode("overwrite").option(
-        "ignoreNullFields", "false").json(f"{root}/trees")
+        "ignoreNullFields", "false").option("compression", "gzip").json(f"{root}/trees")
     spark.range(1).write.mode("overwrite").parquet(marker)
     return root
 
@@ -141,6 +145,6 @@ def land_contents(spark: SparkSession, sf_dir: str) -> str:
     root = landed_dir(spark, sf_dir, "contents")
     marker = f"{root}_landed"
     if not _done(spark, marker):
-        X.fixture(spark, sf_dir, "fx_contents").select("owner", "name", "path", "content").write.mode("overwrite").json(root)
+        X.fixture(spark, sf_dir, "fx_contents").select("owner", "name", "path", "content").write.mode("overwrite").option("compression", "gzip").json(root)
         spark.range(1).write.mode("overwrite").parquet(marker)
     return root

@@ -230,3 +230,19 @@ def test_file_with_damaged_pages_is_left_out_whole(spark, tmp_path):
         ("torn", "torn.parquet", "pages"), ("parts", "parts.parquet/part-1.parquet", "footer")}
     loose = {r.language: r["count"] for r in scan_whole_files(spark, str(tmp_path), verify=False).filter("content <> ''").groupBy("language").count().collect()}
     assert 0 < loose["torn"] < 4000
+
+
+def test_payloads_and_lines_are_joined_and_kept_narrow(spark):
+    """Contents do not enter the join of payloads, validated lines are no copy of the text,
+    and landed tables are compressed well."""
+    from small_inputs import SMALL_SF
+    from quarry import catalog, landing
+
+    plan = catalog.QUERIES["scan_repo_payloads"](spark, SMALL_SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("isnotnull(content")
+    checked = catalog.QUERIES["validate_entries"](spark, SMALL_SF)
+    assert checked.count() > 0 and not [f for f in checked.inputFiles() if "/quarry-lines/" in f]
+    names = lambda folder: [f.rsplit("/", 1)[1] for f in folder.inputFiles()]
+    raw, payloads = landing.land_raw(spark, SMALL_SF), landing.land_payloads(spark, SMALL_SF)
+    assert all(".zstd." in n for n in names(spark.read.parquet(f"{raw}/code_docstring_corpus/train.parquet")))
+    assert all(n.endswith(".gz") for n in names(spark.read.text(f"{payloads}/readmes")))
