@@ -14,7 +14,8 @@ Steps, none of which lists all pairs of a group of copies:
 2. Each bucket of two or more classes chooses a hub, the class with most bucket
    mates.  Each class is compared with the one hub that it shares most buckets
    with; the links found join components.  Where a bucket still holds two
-   components, its classes are compared with its hub if that is of another one.
+   components, its classes may be compared with its hub, if that is of another one:
+   each class with the one such hub that it shares most buckets with.
 3. Pairs of bucket mates of *different* components are all compared, so no link
    between components stays unseen; members of one component need no further
    comparison.
@@ -259,7 +260,9 @@ def _components(docs: DataFrame, heads: DataFrame) -> DataFrame:
     open_ = _open(mates, found)
     place = open_.select("key", F.col("id").alias("a"), F.col("c").alias("ca"))
     centre = open_.join(hubs, "key").filter("id = hub").select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
-    more = place.join(centre, "key").filter("ca != cb").select("a", "b").distinct()
+    # one hub a class, that it shares most of these buckets with: what others would show, step 3 sees
+    met = place.join(centre, "key").filter("ca != cb").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    more = met.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("b"))).alias("best")).select("a", (-F.col("best.b")).alias("b"))
     links = links.unionAll(common.stash(confirm(_alike(more, known), sets), "links-hubs"))
     found = components(links)
 
