@@ -21,8 +21,12 @@ Steps, none of which lists all pairs of a group of copies:
 
 A pair is compared only if a packed sketch (4 bits of every coordinate) agrees
 in at least ``AGREE`` places, which a pair of similarity 0.75 misses with
-probability 4e-6, about as rarely as the buckets, and if the set sizes allow the similarity.  A pair that
-shares several buckets is compared in the one of smallest key.
+probability 4e-6, about as rarely as the buckets, and if the set sizes and the
+parities of the sets allow the similarity.  The latter loses no link: a shingle
+flips one of ``PARITY`` bits, shingles of both sets cancel out, so sets differ in at
+least as many shingles as their parities in bits.  It keeps texts that resemble each
+other without a link from being listed pair by pair; such mates of a bucket are
+still compared by their bits, within the join.
 
 Cases: a null or empty text or one without words has no shingles and is linked
 with nothing; fewer than five words are one shingle; rows repeating a doc_id are
@@ -42,13 +46,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import common
-from quarry.operators.components import components
+from quarry.operators.components import components, join_components
 
 WIDTH = 5
 ROWS, BANDS = 6, 64
 SIMILAR = 75  # percent
 AGREE = 256  # of ROWS * BANDS places: the bands miss as often
 PACKS = ROWS * BANDS // 16  # 64-bit integers of a sketch
+PARITY = 4096  # bits that the shingles of a set flip
 CHUNK = 1 << 16  # shingles hashed at a time
 MEMO = 300_000  # word hashes remembered per worker
 
@@ -156,18 +161,27 @@ def sign(docs: DataFrame) -> DataFrame:
     return common.narrow(docs, doc_id="long", text="string").mapInArrow(run, SIGNED)
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """``PARITY`` bits in 64-bit integers, each the parity of its shingles' number."""
+    odd = np.bincount((shingles % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, shingles) of the documents in ``ids``."""
+    """(id, n, shingles, parity) of the documents in ``ids``; n is the set's size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for b in batches:
-            packed = [shingles(t, hashes).tobytes() for t in b.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(packed, pa.binary())], ["id", "shingles"])
+            sets = [shingles(t, hashes) for t in b.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
+                 pa.array([parity(s) for s in sets], pa.list_(pa.int64()))],
+                ["id", "n", "shingles", "parity"])
 
     texts = common.narrow(docs, doc_id="long", text="string").withColumnRenamed("doc_id", "id")
     # hash join: the ids are built into a table, the texts stream past unsorted
-    return texts.join(ids.hint("shuffle_hash"), "id", "left_semi").mapInArrow(run, "id long, shingles binary")
+    return texts.join(ids.hint("shuffle_hash"), "id", "left_semi").mapInArrow(run, "id long, n long, shingles binary, parity array<long>")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -207,6 +221,18 @@ def _sizes_allow(m: str, n: str) -> Column:
     return (F.col(m) * 100 >= F.col(n) * SIMILAR) & (F.col(n) * 100 >= F.col(m) * SIMILAR)
 
 
+def _parities_allow(m: str, n: str, x: str, y: str) -> Column:
+    """Sets of sizes m and n with a link differ in at most (m + n) / 7 shingles."""
+    flips = F.aggregate(F.zip_with(x, y, lambda a, b: a.bitwiseXOR(b)), F.lit(0), lambda total, d: total + F.bit_count(d))
+    return flips * (100 + SIMILAR) <= (F.col(m) + F.col(n)) * (100 - SIMILAR)
+
+
+def _may_link() -> Column:
+    """Whether the sizes, sketches and parities of sides x and y allow the similarity."""
+    alike = _agreement("x_sketch", "y_sketch") >= AGREE
+    return _sizes_allow("x_n", "y_n") & alike & _parities_allow("x_n", "y_n", "x_parity", "y_parity")
+
+
 SPREAD = 8  # places that the members of one class are dealt to
 
 
@@ -243,8 +269,9 @@ def _components(docs: DataFrame, heads: DataFrame) -> DataFrame:
     rows = sketch.select(F.explode("keys").alias("key"), "id")
     shared = rows.groupBy("key").agg(F.count("*").alias("mates"), F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
     mates = common.stash(rows.join(shared.select("key", "mates"), "key"), "mates")
-    known = common.stash(sketch.join(mates.select("id").distinct(), "id", "left_semi"), "sketch")
-    sets = common.stash(full_sets(docs, known.select("id")), "sets")
+    sets = common.stash(full_sets(docs, mates.select("id").distinct()), "sets")
+    # a repeated doc_id may have several sets: the size tells them apart
+    known = common.stash(sketch.drop("keys").join(sets.select("id", "n", "parity").distinct(), ["id", "n"]), "sketch")
 
     weight = mates.groupBy("id").agg(F.sum("mates").alias("weight"))
     hubs = common.stash(
@@ -260,18 +287,13 @@ def _components(docs: DataFrame, heads: DataFrame) -> DataFrame:
     place = open_.select("key", F.col("id").alias("a"), F.col("c").alias("ca"))
     centre = open_.join(hubs, "key").filter("id = hub").select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
     more = place.join(centre, "key").filter("ca != cb").select("a", "b").distinct()
-    links = links.unionAll(common.stash(confirm(_alike(more, known), sets), "links-hubs"))
-    found = components(links)
+    found = join_components(found, common.stash(confirm(_alike(more, known), sets), "links-hubs"))
 
     placed = _open(mates, found).join(known, "id")
     x = _side(placed, "a", "x", "key", F.col("c").alias("x_c"))
-    y = _side(placed, "b", "y", F.col("key").alias("y_key"), F.col("c").alias("y_c"))
-    across = x.join(
-        y, (F.col("key") == F.col("y_key")) & (F.col("a") < F.col("b")) & (F.col("x_c") != F.col("y_c")) & _sizes_allow("x_n", "y_n")
-        & (_agreement("x_sketch", "y_sketch") >= AGREE) & (F.array_min(F.array_intersect("x_keys", "y_keys")) == F.col("key")),
-    ).select("a", "b").distinct()
-    links = links.unionAll(common.stash(confirm(across, sets), "links-across"))
-    return common.stash(components(links), "final", keep=True)
+    y = _side(placed, "b", "y", "key", F.col("c").alias("y_c"))
+    across = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("x_c") != F.col("y_c")) & _may_link()).select("a", "b").distinct()
+    return common.stash(join_components(found, common.stash(confirm(across, sets), "links-across")), "final", keep=True)
 
 
 def _open(mates: DataFrame, found: DataFrame) -> DataFrame:
@@ -282,16 +304,15 @@ def _open(mates: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _alike(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sizes and sketches allow the similarity."""
-    left = known.select(F.col("id").alias("a"), F.col("n").alias("x_n"), F.col("sketch").alias("x_sketch"))
-    right = known.select(F.col("id").alias("b"), F.col("n").alias("y_n"), F.col("sketch").alias("y_sketch"))
+    """The pairs (a, b) whose sizes, sketches and parities allow the similarity."""
+    left, right = _side(known, "a", "x"), _side(known, "b", "y")
     met = pairs.join(left, "a").join(right, "b")
-    return met.filter(_sizes_allow("x_n", "y_n") & (_agreement("x_sketch", "y_sketch") >= AGREE)).select("a", "b")
+    return met.filter(_may_link()).select("a", "b")
 
 
 def _side(known: DataFrame, name: str, mark: str, *more: str | Column) -> DataFrame:
     """One side of a pair: the id under ``name``, the rest marked."""
-    return known.select(F.col("id").alias(name), *more, *[F.col(c).alias(f"{mark}_{c}") for c in ("n", "sketch", "keys")])
+    return known.select(F.col("id").alias(name), *more, *[F.col(c).alias(f"{mark}_{c}") for c in ("n", "sketch", "parity")])
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from llm_cases import SCHEMA, cases, prose, row
 import corpus_pipeline
 from quarry.llm import covertree, neardup, secrets, warc
 from quarry.llm.lexicon import Lexicon, compile_words
-from quarry.operators.components import components
+from quarry.operators.components import components, join_components
 
 
 def brute_components(rows):
@@ -55,6 +55,47 @@ def test_near_duplicates_match_brute_force(spark, docs, no_docs):
     assert neardup.near_duplicates(no_docs).count() == 0
 
 
+def test_texts_that_resemble_without_a_link_are_not_listed_pair_by_pair(spark, monkeypatch):
+    """Each text is another edit of one text; no two are similar enough, nearly all share a bucket."""
+    rng, base, rows = np.random.default_rng(91), prose(91, 176).split(), []
+    for i in range(60):
+        words = list(base)
+        for k in range(3):
+            words[5 + 58 * k + rng.integers(50)] = f"edit{i}x{k}"
+        rows.append(row(1000 + i, " ".join(words)))
+    sets = [neardup.shingles(r[1].encode(), neardup._Hashes()) for r in rows]
+    alike = [len(np.intersect1d(a, b)) / len(np.union1d(a, b)) for i, a in enumerate(sets) for b in sets[:i]]
+    assert sum(0.65 < x < 0.75 for x in alike) > 900
+    compared, confirm = [], neardup.confirm
+
+    def counted(pairs, full):
+        compared.append(pairs.distinct().count())
+        return confirm(pairs, full)
+
+    monkeypatch.setattr(neardup, "confirm", counted)
+    want = brute_components(rows)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert sum(compared) < 300
+
+
+def test_parities_lose_no_link():
+    rng = np.random.default_rng(7)
+    for n, d in ((40, 3), (500, 70), (3000, 900), (20_000, 4000)):
+        a = rng.integers(0, 2**63, n).astype(np.uint64)
+        b = np.concatenate([a[d:], rng.integers(0, 2**63, d).astype(np.uint64)])
+        flips = sum(int(x).bit_count() for x in (neardup.parity(a) ^ neardup.parity(b)).view(np.uint64))
+        assert flips <= len(np.setxor1d(a, b)) and flips % 2 == len(np.setxor1d(a, b)) % 2
+
+
+def test_components_joined_by_further_links(spark):
+    table = lambda *links: spark.createDataFrame(list(links), "a long, b long")
+    found = components(table((5, 6), (6, 7), (20, 21), (30, 31)))
+    got = {r.id: r.component for r in join_components(found, table((7, 21), (40, 31), (50, 51), (52, 51), (6, 5))).collect()}
+    assert got == {5: 5, 6: 5, 7: 5, 20: 5, 21: 5, 30: 30, 31: 30, 40: 30, 50: 50, 51: 50, 52: 50}
+    assert join_components(found, table((1, 2)).limit(0)).count() == found.count()
+
+
 def test_keep_one_of_repeated_rows_and_rows_without_id(spark):
     base, other, third = prose(31, 60), prose(32, 60), prose(33, 60)
     near = base.rsplit(" ", 1)[0] + " other"
