@@ -12,7 +12,8 @@ absent from most sources, so the sum over all kept terms is built from
   ancestors is computed once and taken as often as terms pass the node.
 
 Paths are range-partitioned in order, so that each task walks its part of the tree
-depth first with only the current branch in memory and sends one sum per pair of
+depth first with the current branch and up to ``NODES`` complete nodes in memory,
+which meet their ancestors together, level by level, and sends one sum per pair of
 sources.  All sums are exact (no value passes the square of 10^9 + V, which is why
 they fit a long).  Terms are counted per batch before they are shuffled, so
 neither a frequent term nor a large source is a hot key.
@@ -29,6 +30,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +42,8 @@ TOP_TERMS = 200
 SCALE = 1_000_000_000
 PIECE = 4 << 20  # bytes of a text that are split into terms at once
 HELD = 300_000  # counts that a task holds before it sends them on
+NODES = 50_000  # nodes of the tree that a task holds
+LIMB = 21  # bits of a correction that are summed at a time
 COUNTED = "lang string, source string, term string, n long, docs long"
 MEETING = "lang string, source string, other string, value decimal(38,0)"
 # letters keep their case-folded value, every other ASCII byte parts terms
@@ -105,6 +109,28 @@ def _part(p: Column | str, q: Column | str) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
+def _corrections(p: np.ndarray, z: np.ndarray, q: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of a term present in both sources, whose shares are p and q, and z and y when absent."""
+
+    def part(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        return (p - q) * (p - q) // q
+
+    return part(p, q) - part(p, y) - part(z, q) + part(z, y)
+
+
+def _sums(keys: np.ndarray, values: np.ndarray, times: np.ndarray) -> Iterator[tuple[int, int]]:
+    """The exact sum of values * times of each key: values (below 2^62) go limb by limb,
+    so that no sum of fewer than 2^42 times leaves 64 bits."""
+    order = np.argsort(keys)
+    keys, values, times = keys[order], values[order], times[order]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    low = (1 << LIMB) - 1
+    limbs = (values & low, values >> LIMB & low, values >> 2 * LIMB)
+    sums = [np.add.reduceat(x * times, starts).tolist() for x in limbs]
+    for key, *parts in zip(keys[starts].tolist(), *sums):
+        yield key, sum(x << LIMB * i for i, x in enumerate(parts))
+
+
 def tree_pairs(paths: DataFrame) -> DataFrame:
     """Corrections of all pairs of sources that share a term: (lang, source, other, value).
 
@@ -112,20 +138,37 @@ def tree_pairs(paths: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[str, str, str], int] = defaultdict(int)
-        branch: list[list] = []  # source, p, zero, terms that passed
-
-        def part(p: int, q: int) -> int:
-            return (p - q) * (p - q) // q
+        numbers: dict[str, int] = {}  # of the sources
+        nodes: list[list[int]] = [[], [], [], [], []]  # source, p, zero, node above, terms that passed
+        sources, shares, zeros, above, passed = nodes
+        branch: list[int] = []
 
-        def leave(lang: str, keep: int) -> None:
-            """Nodes below depth ``keep`` are complete: each meets its ancestors once."""
+        def leave(keep: int) -> None:
+            """Nodes below depth ``keep`` are complete."""
             while len(branch) > keep:
-                g, p, z, m = branch.pop()
+                n = branch.pop()
                 if branch:
-                    branch[-1][3] += m
-                for h, q, y, _ in branch:
-                    sums[lang, g, h] += m * (part(p, q) - part(p, y) - part(z, q) + part(z, y))
-                    sums[lang, h, g] += m * (part(q, p) - part(q, z) - part(y, p) + part(y, z))
+                    passed[branch[-1]] += passed[n]
+
+        def settle(lang: str) -> None:
+            """Each complete node meets its ancestors once; the branch stays."""
+            names = list(numbers)
+            source, share, zero, up, m = (np.array(x, np.int64) for x in nodes)
+            complete = np.ones(len(up), bool)
+            complete[branch] = False
+            n = np.flatnonzero(complete)
+            a = up[n]
+            while (met := a >= 0).any():
+                n, a = n[met], a[met]
+                mine, theirs = (share[n], zero[n]), (share[a], zero[a])
+                for x, y, of, other in ((mine, theirs, n, a), (theirs, mine, a, n)):
+                    for key, value in _sums(source[of] << 32 | source[other], _corrections(*x, *y), m[n]):
+                        sums[lang, names[key >> 32], names[key & 0xFFFFFFFF]] += value
+                a = up[a]
+            for x in nodes:
+                x[:] = [x[n] for n in branch]
+            branch[:] = range(len(branch))
+            above[:] = range(-1, len(branch) - 1)
 
         def send() -> pa.RecordBatch:
             from decimal import Decimal
@@ -138,19 +181,35 @@ def tree_pairs(paths: DataFrame) -> DataFrame:
 
         at = None
         for batch in batches:
-            for lang, path, m in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            path = batch.column(1)
+            entries = path.flatten()
+            source = [numbers.setdefault(x, len(numbers)) for x in entries.field(0).to_pylist()]
+            p, zero = entries.field(1).to_pylist(), entries.field(2).to_pylist()
+            end = 0
+            for lang, length, m in zip(batch.column(0).to_pylist(), path.value_lengths().to_pylist(), batch.column(2).to_pylist()):
+                start, end = end, end + length
                 if lang != at:
-                    leave(at, 0)
+                    leave(0)
+                    settle(at)
                     at = lang
                 same = 0
-                while same < min(len(branch), len(path)) and branch[same][0] == path[same]["source"] and branch[same][1] == path[same]["p"]:
+                while same < min(len(branch), length) and sources[branch[same]] == source[start + same] and shares[branch[same]] == p[start + same]:
                     same += 1
-                leave(lang, same)
-                branch.extend([e["source"], e["p"], e["zero"], 0] for e in path[same:])
-                branch[-1][3] += m
+                leave(same)
+                if len(passed) > max(NODES, 2 * len(branch)):
+                    settle(lang)
+                for i in range(start + same, end):
+                    above.append(branch[-1] if branch else -1)
+                    branch.append(len(sources))
+                    sources.append(source[i])
+                    shares.append(p[i])
+                    zeros.append(zero[i])
+                    passed.append(0)
+                passed[branch[-1]] += m
                 if len(sums) > HELD:
                     yield send()
-        leave(at, 0)
+        leave(0)
+        settle(at)
         yield send()
 
     in_order = paths.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path").select("lang", "path", "m")

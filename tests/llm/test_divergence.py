@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 from llm_cases import SCHEMA, row
 
 from quarry.llm import divergence, registry
@@ -74,3 +75,19 @@ def test_query_equals_its_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
     assert collected(registry.QUERIES["op12_term_rows"](spark, SMALL)) == set(con.execute(divergence.ORACLE_SQL).fetchall())
+
+
+def test_sums_of_corrections_beyond_64_bits():
+    rng = random.Random(8)
+    rows = [(rng.randrange(5), rng.randint(-(2**61), 2**61), rng.randint(1, 10**9)) for _ in range(2000)]
+    want = Counter()
+    for key, value, times in rows:
+        want[key] += value * times
+    assert dict(divergence._sums(*(np.array(c, np.int64) for c in zip(*rows)))) == dict(want)
+
+
+def test_tree_is_settled_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "NODES", 3)
+    rows = corpus()
+    got = collected(divergence.divergence(spark.createDataFrame(rows, SCHEMA)))
+    assert got == dense([(r[1], r[2], r[3]) for r in rows])
