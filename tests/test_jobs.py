@@ -61,3 +61,14 @@ def test_validation_parses_once_and_caches_nothing(spark):
         assert "parse_json" not in plan.lower() and "InMemoryRelation" not in plan
     empty = validate_lines_report(spark.createDataFrame([], "file string, line_no int, line string"))
     assert empty.summary.count() == 0 and tuple(empty.verdict.first()) == (0, False)
+
+
+def test_exact_dedup_moves_no_texts(spark):
+    """One example per normalized content, the smallest key; only keys are shuffled."""
+    from quarry.plans.documented import dedup_examples
+
+    rows = [("i", "A  b", "x", "k3"), ("j", "a b", "X ", "k1"), ("j", "a b", "X ", "k1"), ("i", "c", None, "k2"), ("i", "c", None, "k2")]
+    ex = spark.createDataFrame(rows, "instruction string, input string, output string, _ck string").repartition(3)
+    got = dedup_examples(ex)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[1], rows[3]], key=str) and got.columns == ex.columns
+    assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
